@@ -49,13 +49,15 @@ def pearson_from_moments(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def ols_columns(n, sx, sy, sxx, sxy) -> tuple[Column, Column]:
-    """slope = (n*sxy - sx*sy) / (n*sxx - sx^2); intercept = sy/n - slope*sx/n.
+    """slope = (sxy - sx*sy/n) / (sxx - sx^2/n); intercept = sy/n - slope*sx/n.
 
-    Null before any row arrives and for a constant x (zero denominator).
+    Evaluated in doubles from the sums (exact sums in, one rounding per
+    operation).  Null before any row arrives and for a constant x.
     """
-    den = _d(n * sxx - sx * sx)
-    beta = F.when(den != 0, _d(n * sxy - sx * sy) / den)
-    alpha = _d(sy) / _d(n) - beta * _d(sx) / _d(n)
+    n, sx, sy, sxx, sxy = (_d(c) for c in (n, sx, sy, sxx, sxy))
+    den = sxx - sx * sx / n
+    beta = F.when(den != 0, (sxy - sx * sy / n) / den)
+    alpha = sy / n - beta * sx / n
     return beta, alpha
 
 

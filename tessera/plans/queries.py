@@ -206,9 +206,11 @@ def q_shortest_path(spark, d):
 # --- set operations, top-k -------------------------------------------------
 
 def q_except_distinct(spark, d):
+    """(user, day) pairs with a purchase but no view that day."""
     ev = load(spark, d, "events")
-    return setops.except_distinct(ev.where(F.col("value") > 200).select("user_id", "event_type"),
-                                  ev.where(F.col("value") <= 200).select("user_id", "event_type"))
+    day = F.col("ts").cast("date").alias("day")
+    return setops.except_distinct(ev.where(F.col("event_type") == "purchase").select("user_id", day),
+                                  ev.where(F.col("event_type") == "view").select("user_id", day))
 
 
 def q_union_all(spark, d):
