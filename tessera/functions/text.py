@@ -27,6 +27,12 @@ LINE_BREAK = r"\r\n|\r|\n"
 PUNCT_CLASS = f"[{PUNCT_RANGES}]"
 SPACE_RUN = f"[{SPACE_RANGES}]+"
 DELIM_RUN = f"[{PUNCT_RANGES}{SPACE_RANGES}]+"
+# The same sets for Java, where the built-in \s (= [ \t\n\x0B\f\r]) class
+# matches faster than the spelled-out ranges; RE2's \s lacks \x0B, so the
+# DuckDB oracle keeps the spelled-out form above.
+_JAVA_EXTRA = r"\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SPACE_RUN_JAVA = rf"[\s{_JAVA_EXTRA}]+"
+DELIM_RUN_JAVA = rf"[{PUNCT_RANGES}\s{_JAVA_EXTRA}]+"
 
 
 def case_fold(c: Column) -> Column:
@@ -44,28 +50,27 @@ def split_lines(c: Column) -> Column:
 
 
 def whitespace_tokens(c: Column) -> Column:
-    """``str.split()`` tokens, punctuation deleted, case folded.
+    """``str.split()`` tokens with punctuation deleted (not case folded).
 
     Punctuation is never whitespace, so deleting it from the whole text
     before splitting gives the same tokens as deleting it per token, with
     one regex pass per text instead of one per token.  Empty tokens (from
-    leading space or punctuation-only words) are removed.
+    leading space or punctuation-only words) must be dropped by the caller
+    (after ``explode`` a plain filter stays inside whole-stage codegen,
+    unlike a higher-order ``filter`` on the array).
     """
-    toks = F.split(strip_punctuation(case_fold(c)), SPACE_RUN, -1)
-    return F.filter(toks, lambda t: t != F.lit(""))
+    return F.split(strip_punctuation(c), SPACE_RUN_JAVA, -1)
 
 
-def delimited_tokens(c: Column, keep_empty: bool = False) -> Column:
-    """``re.split('[punct\\s]+', line)`` tokens, case folded.
+def delimited_tokens(c: Column) -> Column:
+    """``re.split('[punct\\s]+', line)`` tokens (not case folded).
 
     With ``keep_empty`` the empty strings ``re.split`` yields at a line's
     start/end (and for empty lines) are kept, reproducing the original job;
-    the caller must then split into lines first.
+    the caller must then split into lines first.  Otherwise the caller
+    drops empty tokens after exploding.
     """
-    toks = F.split(case_fold(c), DELIM_RUN, -1)
-    if keep_empty:
-        return toks
-    return F.filter(toks, lambda t: t != F.lit(""))
+    return F.split(c, DELIM_RUN_JAVA, -1)
 
 
 def format_count_line(word: Column, count: Column) -> Column:

@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.logs import log_field, log_matches, log_time
+from ..functions.logs import log_fields, log_time
 from ..functions.stats import pearson_from_moments
+from .partitioning import spread
 
 
 def parse_log_lines(df: DataFrame, line_col: str = "value", seq_col: str | None = None,
-                    with_id: bool = True) -> DataFrame:
+                    with_id: bool = True, min_partitions: int | None = None) -> DataFrame:
     """Lines -> (host, datetime, path, bytes[, id]); non-matching lines are dropped.
 
     ``id`` replaces the original random UUID with a stable key:
     ``sha2(seq | line)``, so re-running a load upserts instead of
     duplicating.  ``seq_col`` (a line number) tells identical lines apart.
+    ``min_partitions`` spreads few-split input (e.g. gzip files, one task
+    each) before the regex work, like the original's ``repartition(80)``.
     """
+    if min_partitions:
+        df = spread(df, min_partitions)
     line = F.col(line_col)
-    parsed = df.where(log_matches(line)).select(
-        *([seq_col] if seq_col else []), line_col,
-        log_field(line, 1).alias("host"),
-        log_time(log_field(line, 2)).alias("datetime"),
-        log_field(line, 3).alias("path"),
-        log_field(line, 4).try_cast("bigint").alias("bytes"),
-    ).where(F.col("datetime").isNotNull() & F.col("bytes").isNotNull())
+    keep = [seq_col, line_col] if seq_col else [line_col]
+    fields = df.select(*keep, log_fields(line).alias("_f"))
+    # inline() of a one-element array (or of null for a rejected line) drops
+    # rejected lines inside the generator.  A Filter here would be pushed
+    # below the projection by the optimizer, which inlines (and so repeats)
+    # the regex once per referenced field.
+    f = F.col("_f")
+    parsed_row = F.struct(f[0].alias("host"), log_time(f[1]).alias("datetime"),
+                          f[2].alias("path"), f[3].try_cast("bigint").alias("bytes"))
+    parsed = fields.select(*keep, F.inline(F.when(F.size(f) == 4, F.array(parsed_row)))) \
+                   .where(F.col("datetime").isNotNull() & F.col("bytes").isNotNull())
     cols = ["host", "datetime", "path", "bytes"]
     if with_id:
         key = F.concat_ws("|", F.col(seq_col).cast("string"), line) if seq_col else line

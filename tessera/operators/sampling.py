@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import TWO_52, draw52, hash_bucket
+from .partitioning import spread
 
 # 32 draws: the chance that 32 uniforms sum below 1 is 1/32! (about 4e-36),
 # so no sample at any realistic scale runs out; one that did would get a
@@ -28,12 +29,18 @@ def draws_to_pass_one(id_col: str, seed=42, max_draws: int = MAX_DRAWS) -> F.Col
         return F.when(acc["s"] >= F.lit(TWO_52), acc).otherwise(
             F.struct((acc["s"] + draw52(seed, idc, k)).alias("s"), (acc["n"] + 1).alias("n")))
 
-    res = F.aggregate(F.sequence(F.lit(1), F.lit(max_draws)), init, step)
-    return F.when(res["s"] >= F.lit(TWO_52), res["n"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max_draws)), init, step,
+                       lambda acc: F.when(acc["s"] >= F.lit(TWO_52), acc["n"]))
 
 
-def first_passage_mean(df: DataFrame, id_col: str, seed=42) -> DataFrame:
-    """One row (samples, mean_draws): every input row is one sample."""
+def first_passage_mean(df: DataFrame, id_col: str, seed=42,
+                       min_partitions: int | None = None) -> DataFrame:
+    """One row (samples, mean_draws): every input row is one sample.
+
+    Partial sums per task, one final merge: no row leaves its task.
+    """
+    if min_partitions:
+        df = spread(df.select(id_col), min_partitions)
     n = draws_to_pass_one(id_col, seed)
     d = df.select(n.alias("_n"))
     return d.agg(F.count("_n").alias("samples"),

@@ -5,32 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import delimited_tokens, split_lines, whitespace_tokens
+from ..functions.text import case_fold, delimited_tokens, split_lines, whitespace_tokens
+from .partitioning import spread
 
 
 def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
                keep_empty: bool = False, word_col: str = "word",
-               count_col: str = "count") -> DataFrame:
+               count_col: str = "count", min_partitions: int | None = None) -> DataFrame:
     """Count of each token over all rows of ``text_col``.
 
     ``mode='whitespace'`` splits on white space and deletes punctuation;
     ``mode='delimited'`` splits on runs of punctuation or white space.
     ``keep_empty`` (delimited only) keeps the empty token ``re.split`` makes
     at line starts/ends, which means splitting texts into lines first.
+    ``min_partitions`` spreads a few-split input over more tasks before
+    tokenising (the original's ``repartition(8)`` for unbalanced input).
 
-    The count is a hash aggregate with map-side partial counts, so a very
-    frequent word is combined before the shuffle and cannot skew a task.
+    Plan: tokens are counted raw first (hash aggregate with map-side
+    partial counts, so a very frequent word is combined before any shuffle
+    and cannot skew a task); the case fold then runs once per *distinct*
+    raw token instead of over every character of the text, and a second
+    small aggregate merges tokens that fold to the same word.  Case mapping
+    is per code point and never creates or removes a delimiter, so the
+    result equals folding the text first.
     """
-    text = F.col(text_col)
-    if mode == "whitespace":
-        toks = whitespace_tokens(text)
-    elif mode == "delimited":
-        if keep_empty:
-            lines = df.select(F.explode(split_lines(text)).alias("_line"))
-            return (lines.select(F.explode(delimited_tokens(F.col("_line"), True)).alias(word_col))
-                         .groupBy(word_col).agg(F.count(F.lit(1)).alias(count_col)))
-        toks = delimited_tokens(text)
-    else:
+    if mode not in ("whitespace", "delimited"):
         raise ValueError(f"unknown mode {mode!r}")
-    return (df.select(F.explode(toks).alias(word_col))
-              .groupBy(word_col).agg(F.count(F.lit(1)).alias(count_col)))
+    if keep_empty and mode != "delimited":
+        raise ValueError("keep_empty applies to mode='delimited' only")
+    text = df.select(F.col(text_col).alias("_t"))
+    if min_partitions:
+        text = spread(text, min_partitions)
+    if mode == "delimited" and keep_empty:
+        text = text.select(F.explode(split_lines(F.col("_t"))).alias("_t"))
+    toks = whitespace_tokens(F.col("_t")) if mode == "whitespace" else delimited_tokens(F.col("_t"))
+    raw = text.select(F.explode(toks).alias("_w"))
+    if not keep_empty:
+        raw = raw.where(F.col("_w") != "")
+    raw_counts = raw.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    return (raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
+                      .groupBy(word_col).agg(F.sum("_n").alias(count_col)))

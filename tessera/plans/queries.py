@@ -49,16 +49,23 @@ def _r6(c: F.Column) -> F.Column:
 
 # --- text ------------------------------------------------------------------
 
+def _cores(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def q_wordcount_whitespace(spark, d):
-    return word_count(load(spark, d, "documents"), "text", "whitespace")
+    return word_count(load(spark, d, "documents"), "text", "whitespace",
+                      min_partitions=_cores(spark))
 
 
 def q_wordcount_delimited(spark, d):
-    return word_count(load(spark, d, "documents"), "text", "delimited")
+    return word_count(load(spark, d, "documents"), "text", "delimited",
+                      min_partitions=_cores(spark))
 
 
 def q_wordcount_keep_empty(spark, d):
-    return word_count(load(spark, d, "documents"), "text", "delimited", keep_empty=True)
+    return word_count(load(spark, d, "documents"), "text", "delimited", keep_empty=True,
+                      min_partitions=_cores(spark))
 
 
 # --- largest per group -----------------------------------------------------
@@ -149,7 +156,8 @@ def q_range_leader_sql(spark, d):
 # --- logs ------------------------------------------------------------------
 
 def _logs(spark, d):
-    return logs.parse_log_lines(derived.loglines(spark, d), "line", seq_col="line_no")
+    return logs.parse_log_lines(derived.loglines(spark, d), "line", seq_col="line_no",
+                                min_partitions=_cores(spark))
 
 
 def q_log_parse(spark, d):
@@ -309,7 +317,8 @@ def q_json_roundtrip(spark, d):
 # --- sampling, regression --------------------------------------------------
 
 def q_first_passage_mean(spark, d):
-    return sampling.first_passage_mean(load(spark, d, "events"), "event_id", PASSAGE_SEED)
+    return sampling.first_passage_mean(load(spark, d, "events"), "event_id", PASSAGE_SEED,
+                                       min_partitions=_cores(spark))
 
 
 def q_regression_batch(spark, d):
