@@ -1,26 +1,42 @@
 """Link graphs: adjacency text -> edges, bounded BFS, shortest path.
 
-BFS runs one hop per iteration as DataFrame joins:
-
-  frontier  JOIN edges ON frontier.node = edges.source      (AQE: broadcast
-            when the frontier is small, skew-split when a node is hot)
-  -> per reached node: min(struct(parent, path))             (partial agg)
-  -> LEFT ANTI JOIN visited ON node                          (no revisits)
-
-Each hop's new nodes are checkpointed into the shared checkpoint folder, so
-lineage stays one hop deep and a lost executor costs one hop, not the run.
-The parent of a node is the smallest frontier node that reaches it at its
-distance, and its path is that parent's path plus itself, so distances,
-parents and paths are deterministic.
+BFS runs one hop per iteration as DataFrame joins over two tables written
+once into the shared checkpoint folder and bucketed by node id:
+
+  edges    (_src, _dst)  bucketed by _src  -- written once
+  visited  (node, distance, parent, path), partitioned by distance and
+           bucketed by node                -- each hop appends one partition
+
+  frontier = visited WHERE distance = hop-1          (partition pruning)
+  frontier JOIN edges ON node = _src                 (edges not shuffled;
+            AQE broadcasts a small frontier, splits a hot node's partition)
+  -> per reached node: min(struct(parent, path))      (partial aggregation)
+  -> LEFT ANTI JOIN visited ON node                   (visited not shuffled)
+  -> append as partition distance = hop
+
+So a hop shuffles only the frontier and the reached candidates, never the
+edge table or everything visited so far, and lineage is one hop deep (each
+hop reads tables, not the previous hop's plan); a lost executor costs at
+most the current hop.  The parent of a node is the smallest frontier node
+reaching it at its distance and its path is the parent's path plus
+itself, so distances, parents and paths are deterministic.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+
+from ..session import scratch_path
 
-from .joins import materialize
+VISITED_SCHEMA = StructType([
+    StructField("node", LongType(), False), StructField("parent", LongType(), True),
+    StructField("path", ArrayType(LongType(), False), False),
+    StructField("distance", IntegerType(), False),
+])
 
 
 def edges_from_adjacency(lines: DataFrame, line_col: str = "value") -> DataFrame:
@@ -38,54 +54,72 @@ def edges_from_adjacency(lines: DataFrame, line_col: str = "value") -> DataFrame
              .where(F.col("source").isNotNull() & F.col("node").isNotNull()))
 
 
+def _bucketed(df: DataFrame, name: str, key: str, buckets: int, mode: str = "errorifexists",
+              partition_by: str | None = None) -> None:
+    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    if mode != "append":  # an append goes to the table's existing folder
+        w = w.option("path", scratch_path(df.sparkSession, name))
+    w.saveAsTable(name)
+
+
 def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | None = None,
-        src_col: str = "source", dst_col: str = "node", snapshot_dir: str | None = None):
+        src_col: str = "source", dst_col: str = "node", snapshot_dir: str | None = None,
+        buckets: int | None = None):
     """Breadth-first search from ``source`` for at most ``max_hops`` hops.
 
-    Returns ``(visited, hop_counts)``: visited is (node, distance, parent,
-    path) with parent null for the source; hop_counts is a list of
+    Returns ``(visited, hop_counts)``: visited is (node, parent, path,
+    distance) with parent null for the source; hop_counts is a list of
     (hop, known nodes after the hop).  Stops early when a hop adds nothing
     or when ``destination`` has been reached.  With ``snapshot_dir`` the
     known nodes are written as CSV after every hop (``iter-<hop>``).
     """
     spark: SparkSession = edges.sparkSession
-    e = materialize(edges.select(F.col(src_col).cast("bigint").alias("_src"),
-                                 F.col(dst_col).cast("bigint").alias("_dst"))
-                         .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull())
-                         .distinct())
-    schema = StructType([StructField("node", LongType(), False)])
-    start = (spark.createDataFrame([(int(source),)], schema)
-             .select("node", F.lit(0).alias("distance"), F.lit(None).cast("bigint").alias("parent"),
-                     F.array(F.col("node")).alias("path")))
-    visited = start
-    frontier = start
+    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex[:12]
+    e_name, v_name = f"tessera_bfs_edges_{tag}", f"tessera_bfs_visited_{tag}"
+
+    # hash-partitioning on _src already clusters (_src, _dst), so distinct
+    # adds no shuffle, and each task then writes exactly one bucket file
+    e_in = (edges.select(F.col(src_col).cast("bigint").alias("_src"),
+                         F.col(dst_col).cast("bigint").alias("_dst"))
+                 .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull())
+                 .repartition(nb, "_src").distinct())
+    _bucketed(e_in, e_name, "_src", nb)
+    e = spark.table(e_name)
+
+    start = spark.createDataFrame([(int(source), None, [int(source)], 0)], VISITED_SCHEMA)
+    _bucketed(start, v_name, "node", nb, partition_by="distance")
     known = 1
     counts = [(0, known)]
     found = destination is not None and int(destination) == int(source)
     if snapshot_dir:
-        _snapshot(visited, f"{snapshot_dir}/iter-0")
+        _snapshot(spark.table(v_name), f"{snapshot_dir}/iter-0")
     for hop in range(1, max_hops + 1):
         if found:
             break
+        visited = spark.table(v_name)
+        frontier = visited.where(F.col("distance") == hop - 1)
         reached = (frontier.join(e, frontier["node"] == e["_src"])
                    .groupBy(F.col("_dst").alias("node"))
                    .agg(F.min(F.struct(F.col("node").alias("p"), F.col("path").alias("pp")))
                         .alias("_b")))
         new = (reached.join(visited.select("node"), "node", "left_anti")
-               .select("node", F.lit(hop).alias("distance"), F.col("_b.p").alias("parent"),
-                       F.concat(F.col("_b.pp"), F.array(F.col("node"))).alias("path")))
-        new = materialize(new)
-        n_new = new.count()
+               .select("node", F.col("_b.p").alias("parent"),
+                       F.concat(F.col("_b.pp"), F.array(F.col("node"))).alias("path"),
+                       F.lit(hop).alias("distance")))
+        _bucketed(new, v_name, "node", nb, mode="append", partition_by="distance")
+        added = spark.table(v_name).where(F.col("distance") == hop)
+        n_new = added.count()
         if n_new == 0:
             break
         known += n_new
         counts.append((hop, known))
-        visited = visited.unionByName(new)
-        frontier = new
         if snapshot_dir:
-            _snapshot(visited, f"{snapshot_dir}/iter-{hop}")
-        found = destination is not None and not new.where(F.col("node") == destination).isEmpty()
-    return visited, counts
+            _snapshot(spark.table(v_name), f"{snapshot_dir}/iter-{hop}")
+        found = destination is not None and not added.where(F.col("node") == destination).isEmpty()
+    return spark.table(v_name), counts
 
 
 def _snapshot(visited: DataFrame, path: str) -> None:
