@@ -47,7 +47,8 @@ def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
     v = F.col(value)
     if strategy == "window":
         from pyspark.sql import Window
-        mean = exact_mean(value).over(Window.partitionBy(key))
+        w = Window.partitionBy(key)
+        mean = F.sum(v).over(w).cast("double") / F.count(v).over(w)
         return df.select(*keep, key, F.try_divide(v, mean).alias(out))
     means = df.groupBy(key).agg(exact_mean(value).alias("_mean")).withColumnRenamed(key, "_k")
     if strategy == "broadcast":
