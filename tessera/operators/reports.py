@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, materialize
+from .quantiles import exact_median
 from .ratios import exact_mean
 
 
@@ -52,17 +53,22 @@ def spend_by_flags(orders: DataFrame, customer: DataFrame, flags: DataFrame,
                    segment: str, value: str = "o_totalprice") -> DataFrame:
     """COUNT / mean / median of order value by two CASE booleans:
     ``segment_outside`` (customer in ``segment`` and not in the region) and
-    ``inside`` (in the region)."""
+    ``inside`` (in the region).  The median is exact and distributed
+    (``quantiles.exact_median``): no group is gathered in one task."""
     cust = customer.select("c_custkey", "c_mktsegment").join(flags, "c_custkey")
     j = orders.select("o_custkey", value).join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    c = cents(value)
-    return (j.groupBy(
-                F.when((F.col("c_mktsegment") == segment) & (F.col("in_region") == 0), True)
-                 .otherwise(False).alias("segment_outside"),
-                F.when(F.col("in_region") == 1, True).otherwise(False).alias("inside"))
-             .agg(F.count(value).alias("n"),
-                  (exact_mean(c) / 100.0).alias("mean_price"),
-                  (F.median(c) / 100.0).alias("median_price")))
+    keys = ["segment_outside", "inside"]
+    flagged = j.select(
+        F.when((F.col("c_mktsegment") == segment) & (F.col("in_region") == 0), True)
+         .otherwise(False).alias("segment_outside"),
+        F.when(F.col("in_region") == 1, True).otherwise(False).alias("inside"),
+        value, cents(value).alias("_cents"))
+    flagged = materialize(flagged)   # read by the two aggregations below
+    stats = flagged.groupBy(*keys).agg(F.count(value).alias("n"),
+                                       (exact_mean("_cents") / 100.0).alias("mean_price"))
+    med = exact_median(flagged, keys, "_cents", "_median")
+    return (stats.join(med, keys, "left")
+                 .select(*keys, "n", "mean_price", (F.col("_median") / 100.0).alias("median_price")))
 
 
 def semi_join_like(part: DataFrame, lineitem: DataFrame, orders: DataFrame, flags: DataFrame,
