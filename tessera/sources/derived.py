@@ -97,13 +97,23 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
               .distinct())
 
 
-def adjacency_lines(edges_df: DataFrame) -> DataFrame:
-    """Render an edge table as ``node: n1 n2 ...`` text lines (input format)."""
-    return (edges_df.groupBy("source")
-            .agg(F.array_join(F.array_sort(F.collect_list(F.col("node").cast("string"))), " ")
-                 .alias("outs"))
-            .select(F.concat(F.col("source").cast("string"), F.lit(": "), F.col("outs"))
-                    .alias("value")))
+def adjacency_lines(edges_df: DataFrame, max_per_line: int = 1000) -> DataFrame:
+    """Render an edge table as ``node: n1 n2 ...`` text lines (input format).
+
+    A node with more than ``max_per_line`` neighbours is written as several
+    lines (neighbours hashed into ``ceil(degree / max_per_line)`` chunks),
+    so no line, and no aggregation group, grows with a hot node's degree;
+    parsing the lines back gives the same edges.
+    """
+    deg = edges_df.groupBy("source").agg(F.count(F.lit(1)).alias("_deg"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(max_per_line)))
+    e = (edges_df.join(deg, "source")
+                 .withColumn("_chunk", F.pmod(F.xxhash64("node"), chunks)))
+    return (e.groupBy("source", "_chunk")
+             .agg(F.array_join(F.array_sort(F.collect_list(F.col("node").cast("string"))), " ")
+                  .alias("outs"))
+             .select(F.concat(F.col("source").cast("string"), F.lit(": "), F.col("outs"))
+                     .alias("value")))
 
 
 def colours(spark: SparkSession, sf_dir: str) -> DataFrame:
