@@ -9,7 +9,10 @@ once into the shared checkpoint folder and bucketed by node id:
 
   frontier = visited WHERE distance = hop-1          (partition pruning)
   frontier JOIN edges ON node = _src                 (edges not shuffled;
-            AQE broadcasts a small frontier, splits a hot node's partition)
+            AQE broadcasts a small frontier)
+  + hot sources (out-degree above an average bucket, at most #buckets of
+    them) are kept in a separate plain table joined with the broadcast hot
+    part of the frontier, so one hot node never becomes one huge task
   -> per reached node: min(struct(parent, path))      (partial aggregation)
   -> LEFT ANTI JOIN visited ON node                   (visited not shuffled)
   -> append as partition distance = hop
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from ..session import scratch_path
+from .joins import materialize
 
 VISITED_SCHEMA = StructType([
     StructField("node", LongType(), False), StructField("parent", LongType(), True),
@@ -80,14 +84,29 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     tag = uuid.uuid4().hex[:12]
     e_name, v_name = f"tessera_bfs_edges_{tag}", f"tessera_bfs_visited_{tag}"
 
+    e_all = (edges.select(F.col(src_col).cast("bigint").alias("_src"),
+                          F.col(dst_col).cast("bigint").alias("_dst"))
+                  .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()))
+    # Hot sources: out-degree above an average bucket (total / nb).  There
+    # are at most nb of them, so their id list is a proven-small broadcast.
+    # Their edges are kept out of the bucketed table (where one source
+    # would make one huge bucket and one huge task every hop) and stored
+    # as a plain table that scans in size-balanced splits.
+    deg = e_all.groupBy("_src").agg(F.count(F.lit(1)).alias("_deg"))
+    total = deg.agg(F.sum("_deg")).first()[0] or 0
+    hot = materialize(deg.where(F.col("_deg") > F.lit(max(1, total // nb))).select("_src"))
+    n_hot = hot.count()
+    e_reg = e_all.join(F.broadcast(hot), "_src", "left_anti") if n_hot else e_all
     # hash-partitioning on _src already clusters (_src, _dst), so distinct
     # adds no shuffle, and each task then writes exactly one bucket file
-    e_in = (edges.select(F.col(src_col).cast("bigint").alias("_src"),
-                         F.col(dst_col).cast("bigint").alias("_dst"))
-                 .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull())
-                 .repartition(nb, "_src").distinct())
-    _bucketed(e_in, e_name, "_src", nb)
+    _bucketed(e_reg.repartition(nb, "_src").distinct(), e_name, "_src", nb)
     e = spark.table(e_name)
+    e_hot = None
+    if n_hot:
+        hot_path = scratch_path(spark, "bfs-hot-edges")
+        e_all.join(F.broadcast(hot), "_src", "left_semi").distinct().write.parquet(hot_path)
+        e_hot = spark.read.parquet(hot_path)
+        hot_ids = F.broadcast(hot.withColumnRenamed("_src", "_hot"))
 
     start = spark.createDataFrame([(int(source), None, [int(source)], 0)], VISITED_SCHEMA)
     _bucketed(start, v_name, "node", nb, partition_by="distance")
@@ -101,8 +120,14 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
             break
         visited = spark.table(v_name)
         frontier = visited.where(F.col("distance") == hop - 1)
-        reached = (frontier.join(e, frontier["node"] == e["_src"])
-                   .groupBy(F.col("_dst").alias("node"))
+        pairs = frontier.join(e, frontier["node"] == e["_src"]).select("node", "path", "_dst")
+        if e_hot is not None:
+            # frontier nodes that are hot: at most n_hot rows -> broadcast
+            f_hot = frontier.join(hot_ids, frontier["node"] == F.col("_hot"), "left_semi")
+            pairs = pairs.unionByName(
+                F.broadcast(f_hot).join(e_hot, F.col("node") == e_hot["_src"])
+                 .select("node", "path", "_dst"))
+        reached = (pairs.groupBy(F.col("_dst").alias("node"))
                    .agg(F.min(F.struct(F.col("node").alias("p"), F.col("path").alias("pp")))
                         .alias("_b")))
         new = (reached.join(visited.select("node"), "node", "left_anti")

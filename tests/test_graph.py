@@ -97,3 +97,16 @@ def test_adjacency_lines_split_hot_node_and_round_trip(spark):
         per_node[src] = per_node.get(src, 0) + 1
     assert per_node["1"] >= 3 and per_node["2"] == 1
     assert rows(edges_from_adjacency(lines)) == rows(edges)
+
+
+def test_bfs_with_hot_source_matches_python(spark):
+    edges = ([(1, n) for n in range(100, 3100)]            # node 1: a third of all edges
+             + [(n, n + 5000) for n in range(100, 3100, 3)]
+             + [(0, 1), (0, 2), (2, 1), (5100, 9)] + [(n, 1) for n in range(5100, 5400)])
+    df = spark.createDataFrame(edges, "source long, node long")
+    visited, counts = bfs(df, 0, 4, buckets=4)
+    dist, parent, path = py_bfs(edges, 0, 4)
+    got = rows(visited, "node", "distance", "parent", "path")
+    exp = sorted(((n, dist[n], parent[n], path[n]) for n in dist),
+                 key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == exp and counts[-1][1] == len(dist)
