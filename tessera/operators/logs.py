@@ -11,12 +11,14 @@ from .partitioning import spread
 
 
 def parse_log_lines(df: DataFrame, line_col: str = "value", seq_col: str | None = None,
-                    with_id: bool = True, min_partitions: int | None = None) -> DataFrame:
+                    with_id: bool = True, min_partitions: int | None = None,
+                    id_mode: str = "stable") -> DataFrame:
     """Lines -> (host, datetime, path, bytes[, id]); non-matching lines are dropped.
 
     ``id`` replaces the original random UUID with a stable key:
     ``sha2(seq | line)``, so re-running a load upserts instead of
     duplicating.  ``seq_col`` (a line number) tells identical lines apart.
+    ``id_mode='random'`` gives the original per-row ``uuid()`` instead.
     ``min_partitions`` spreads few-split input (e.g. gzip files, one task
     each) before the regex work, like the original's ``repartition(80)``.
     """
@@ -36,8 +38,11 @@ def parse_log_lines(df: DataFrame, line_col: str = "value", seq_col: str | None
                    .where(F.col("datetime").isNotNull() & F.col("bytes").isNotNull())
     cols = ["host", "datetime", "path", "bytes"]
     if with_id:
-        key = F.concat_ws("|", F.col(seq_col).cast("string"), line) if seq_col else line
-        parsed = parsed.withColumn("id", F.sha2(key, 256))
+        if id_mode == "random":
+            parsed = parsed.withColumn("id", F.expr("uuid()"))
+        else:
+            key = F.concat_ws("|", F.col(seq_col).cast("string"), line) if seq_col else line
+            parsed = parsed.withColumn("id", F.sha2(key, 256))
         cols.append("id")
     return parsed.select(*cols)
 

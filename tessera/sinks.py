@@ -52,3 +52,15 @@ def write_path(path_df: DataFrame, path: str) -> None:
     max_hops + 1 rows, so a single file is fine)."""
     path_df.orderBy("step").select(F.col("node").cast("string").alias("value")) \
            .coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_table(df: DataFrame, fmt: str = "parquet", path: str | None = None,
+                mode: str = "overwrite", **options) -> None:
+    """Generic table write (the keyed-store overwrite of the log loader).
+
+    A keyed store such as Cassandra is ``fmt='org.apache.spark.sql.cassandra',
+    table=..., keyspace=..., **{'confirm.truncate': 'true'}`` (connector jar
+    required); here Parquet.
+    """
+    w = df.write.mode(mode).format(fmt).options(**options)
+    w.save(path) if path else w.save()

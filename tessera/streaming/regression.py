@@ -36,12 +36,14 @@ def running_fit(points: DataFrame) -> DataFrame:
 
 
 def start_regression_stream(spark: SparkSession, source_format: str, options: dict,
-                            out_dir: str, checkpoint_dir: str, path: str | None = None,
-                            available_now: bool = True):
+                            out_dir: str | None, checkpoint_dir: str, path: str | None = None,
+                            available_now: bool = True, sink: str = "batches"):
     """Start the stream; returns the StreamingQuery.
 
     ``available_now`` processes what is there in bounded micro-batches and
-    stops; otherwise the query runs until ``stop()``.
+    stops; otherwise the query runs until ``stop()``.  ``sink='batches'``
+    writes each batch result under ``out_dir``; ``'console'`` or
+    ``'memory'`` use Spark's own sinks (``update`` mode either way).
     """
     reader = spark.readStream.format(source_format).options(**options)
     lines = reader.load(path) if path else reader.load()
@@ -52,8 +54,11 @@ def start_regression_stream(spark: SparkSession, source_format: str, options: di
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    w = (fit.writeStream.outputMode("update").foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint_dir))
+    w = fit.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir)
+    if sink == "batches":
+        w = w.foreachBatch(write_batch)
+    else:
+        w = w.format(sink).queryName("regression") if sink == "memory" else w.format(sink)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
 

@@ -44,3 +44,26 @@ def test_sinks(spark, tmp_path):
     path = spark.createDataFrame([(2, 7), (0, 9), (1, 3)], "step int, node long")
     write_path(path, str(tmp_path / "p"))
     assert [r.value for r in spark.read.text(str(tmp_path / "p")).collect()] == ["9", "3", "7"]
+
+
+def test_gzip_text_and_generic_table_io(spark, tmp_path):
+    import gzip
+    d = tmp_path / "gz"
+    d.mkdir()
+    with gzip.open(d / "part-0.gz", "wt") as f:
+        f.write("a b\nc\n")
+    df = read_text(spark, str(d), min_partitions=2)
+    assert sorted(r.value for r in df.collect()) == ["a b", "c"]
+    from tessera.sinks import write_table
+    from tessera.sources.readers import read_table
+    write_table(df, "parquet", str(tmp_path / "t"))
+    write_table(df, "parquet", str(tmp_path / "t"))          # overwrite, not append
+    assert read_table(spark, "parquet", str(tmp_path / "t")).count() == 2
+
+
+def test_random_ids_are_unique(spark):
+    from tessera.operators.logs import parse_log_lines
+    line = 'h - - [01/Aug/1995:00:00:01 -0400] "GET / HTTP/1.0" 200 5'
+    df = spark.createDataFrame([(line,), (line,)], "value string")
+    ids = [r.id for r in parse_log_lines(df, id_mode="random").collect()]
+    assert len(set(ids)) == 2

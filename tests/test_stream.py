@@ -40,3 +40,13 @@ def test_constant_x_gives_null_slope(spark):
     df = spark.createDataFrame([("2 1",), ("2 5",)], "value string")
     r = running_fit(parse_points(df)).collect()[0]
     assert r.n == 2 and r.slope is None and r.intercept is None
+
+
+def test_memory_sink_update_mode(spark, tmp_path):
+    from tessera.streaming.regression import start_regression_stream
+    src = str(tmp_path / "in")
+    _write(src, "a.txt", ["1 2", "2 4", "3 6"])
+    q = start_regression_stream(spark, "text", {}, None, str(tmp_path / "ck"), path=src, sink="memory")
+    q.awaitTermination(120)
+    r = spark.sql("SELECT * FROM regression").collect()[-1]
+    assert r.n == 3 and r.slope == pytest.approx(2.0) and r.intercept == pytest.approx(0.0)
