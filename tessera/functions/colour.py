@@ -79,16 +79,20 @@ def rgb_to_lab(df: DataFrame, r: str = "R", g: str = "G", b: str = "B",
 
 
 def rgb_to_hsv_cols(r: Column, g: Column, b: Column, input_bytes: bool = True):
-    """(H, S, V) in [0, 1]; a grey (delta 0) has H = S = 0."""
+    """(H, S, V) in [0, 1]; a grey (delta 0) has H = S = 0.
+
+    Hue sector from whichever channel holds the maximum (red first, then
+    green), as sixths of a turn, wrapped into [0, 1).
+    """
     if input_bytes:
         r, g, b = (c / _lit(255.0) for c in (r, g, b))
-    r_top = (r > g) & (r > b)
-    mx = F.when(r_top, r).otherwise(F.when(g > b, g).otherwise(b))
-    mn = F.when((r < g) & (r < b), r).otherwise(F.when(g < b, g).otherwise(b))
-    delta = mx - mn
-    hue = F.when(delta == 0, _lit(0.0)).otherwise(
-        F.when(r_top, (g - b) / delta).otherwise(
-            F.when(g > b, _lit(2.0) + (b - r) / delta).otherwise(_lit(4.0) + (r - g) / delta))) / _lit(6.0)
+    mx = F.greatest(r, g, b)
+    delta = mx - F.least(r, g, b)
+    sector = (F.when(delta == 0, _lit(0.0))
+               .when(mx == r, (g - b) / delta)
+               .when(mx == g, _lit(2.0) + (b - r) / delta)
+               .otherwise(_lit(4.0) + (r - g) / delta))
+    hue = sector / _lit(6.0)
     h = F.when(hue < 0, hue + _lit(1.0)).otherwise(hue)
     s = F.when(delta == 0, _lit(0.0)).otherwise(delta / mx)
     return h, s, mx

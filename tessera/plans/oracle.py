@@ -124,20 +124,17 @@ FROM s4"""
 
 HSV_SQL = f"""WITH {COLOURS},
 s1 AS (SELECT *, R / {D(255.0)} AS r1, G / {D(255.0)} AS g1, B / {D(255.0)} AS b1 FROM colours),
-s2 AS (SELECT *,
-  CASE WHEN r1 > g1 AND r1 > b1 THEN r1 ELSE (CASE WHEN g1 > b1 THEN g1 ELSE b1 END) END AS mx,
-  CASE WHEN r1 < g1 AND r1 < b1 THEN r1 ELSE (CASE WHEN g1 < b1 THEN g1 ELSE b1 END) END AS mn FROM s1),
-s3 AS (SELECT *, mx - mn AS delta FROM s2),
-s4 AS (SELECT *,
-  (CASE WHEN delta = 0 THEN {D(0.0)} ELSE
-     CASE WHEN r1 > g1 AND r1 > b1 THEN (g1 - b1) / delta
-     ELSE (CASE WHEN g1 > b1 THEN {D(2.0)} + (b1 - r1) / delta ELSE {D(4.0)} + (r1 - g1) / delta END)
-   END END) / {D(6.0)} AS hue,
-  CASE WHEN delta = 0 THEN {D(0.0)} ELSE delta / mx END AS sat FROM s3)
+s2 AS (SELECT *, greatest(r1, g1, b1) AS mx, greatest(r1, g1, b1) - least(r1, g1, b1) AS delta FROM s1),
+s3 AS (SELECT *,
+  (CASE WHEN delta = 0 THEN {D(0.0)}
+        WHEN mx = r1 THEN (g1 - b1) / delta
+        WHEN mx = g1 THEN {D(2.0)} + (b1 - r1) / delta
+        ELSE {D(4.0)} + (r1 - g1) / delta END) / {D(6.0)} AS hue,
+  CASE WHEN delta = 0 THEN {D(0.0)} ELSE delta / mx END AS sat FROM s2)
 SELECT p_partkey, R, G, B, word,
        {r6(f"CASE WHEN hue < 0 THEN hue + {D(1.0)} ELSE hue END")} AS H,
        {r6('sat')} AS S, {r6('mx')} AS V
-FROM s4"""
+FROM s3"""
 
 
 def _finv(t):
