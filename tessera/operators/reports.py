@@ -12,15 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import cents
 from .joins import broadcast_if_small, materialize
 from .quantiles import exact_median
 from .ratios import exact_mean
 
 
-def cents(c: str) -> F.Column:
-    return F.round(F.col(c) * 100).cast("bigint")
-
-
 def avg_by_dimension(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                      nation_name: str, group: str = "o_orderpriority",
                      value: str = "o_totalprice", out: str = "avg_price") -> DataFrame:

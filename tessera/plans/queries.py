@@ -7,10 +7,10 @@ fixed here and mirrored in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.colour import colour_table, lab_to_rgb_cols, rgb_to_hsv, rgb_to_lab
+from ..functions.numeric import cents
 from ..functions.text import path_to_hour
 from ..operators import etl, graph, logs, ml, ranges, ratios, reports, sampling, setops, topgroup, upsert
 from ..operators.joins import broadcast_if_small
@@ -38,10 +38,6 @@ GRID_SIZE, GRID_LUM = 32, 70.0
 ROUND = 6
 
 
-def _cents(c: str) -> F.Column:
-    return F.round(F.col(c) * 100).cast("bigint")
-
-
 def _r6(c: F.Column) -> F.Column:
     # +0.0 turns a rounded -0.0 into 0.0 so both engines print the same.
     return F.round(c, ROUND) + F.lit(0.0)
@@ -99,7 +95,7 @@ def q_path_to_hour(spark, d):
 
 def _scored(spark, d):
     return load(spark, d, "events").select("event_id", F.col("user_id").alias("author"),
-                                           "event_type", _cents("value").alias("cents"))
+                                           "event_type", cents("value").alias("cents"))
 
 
 def q_mean_by_key(spark, d):
@@ -323,7 +319,7 @@ def q_first_passage_mean(spark, d):
 
 def q_regression_batch(spark, d):
     from ..functions.stats import ols_from_moments
-    ev = load(spark, d, "events").select(F.col("event_id").alias("x"), _cents("value").alias("y"))
+    ev = load(spark, d, "events").select(F.col("event_id").alias("x"), cents("value").alias("y"))
     return ols_from_moments(ev, "x", "y")
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import cents
 from .tables import load
 
 # Fixed values of the derivations (kept identical in the oracle SQL).
@@ -27,11 +28,6 @@ def props_k(props="props"):
     return F.regexp_extract(F.col(props), r"([0-9]+)", 1).cast("int")
 
 
-def cents(c) -> F.Column:
-    """Exact integer cents of a 2-decimal double."""
-    return F.round(F.col(c) * 100).cast("bigint") if isinstance(c, str) else F.round(c * 100).cast("bigint")
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(station, date, observation, value, qflag) from ``events``."""
     ev = load(spark, sf_dir, "events")
