@@ -73,3 +73,17 @@ def test_upsert_same_key_twice_and_rerun(spark, tmp_path):
     p3 = upsert_table(spark, p2, upd, ["host", "id"], ["ver"], out_path=str(tmp_path / "v3"))  # rerun
     assert rows(spark.read.parquet(p3)) == got
     assert rows(latest_per_key(base.unionByName(base), ["host", "id"], ["ver"])) == rows(base)
+
+
+def test_correlation_from_text_equals_from_stored_table(spark, tmp_path):
+    """The text-log job and the stored-table job give the same r (differential pair)."""
+    from tessera.sinks import write_table
+    from tessera.sources.readers import read_table
+    lines = [f'h{i % 7} - - [01/Aug/1995:00:00:{i % 60:02d} -0400] "GET /p{i} HTTP/1.0" 200 {i * 37 % 1000}'
+             for i in range(300)]
+    parsed = _parsed(spark, lines)
+    write_table(parsed, "parquet", str(tmp_path / "nasalogs"))
+    stored = read_table(spark, "parquet", str(tmp_path / "nasalogs"))
+    a = log_correlation(host_totals(parsed)).collect()[0]
+    b = log_correlation(host_totals(stored)).collect()[0]
+    assert a == b and a.n == 7 and a.r is not None
