@@ -29,7 +29,15 @@ def norm(v):
 con = duckdb.connect()
 for t in TABLES:
     con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-spark = build_session("local[8]", shuffle_partitions=8)
+if os.environ.get("PLAIN"):   # the driver's kind of session: defaults only
+    from pyspark.sql import SparkSession
+    b = SparkSession.builder.master("local[8]")
+    if os.environ.get("TZ_OVERRIDE"):
+        b = b.config("spark.sql.session.timeZone", os.environ["TZ_OVERRIDE"])
+    spark = b.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = build_session("local[8]", shuffle_partitions=8)
 ok = bad = 0
 for name, fn in QUERIES.items():
     if only and name not in only:
