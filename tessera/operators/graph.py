@@ -93,9 +93,12 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     # would make one huge bucket and one huge task every hop) and stored
     # as a plain table that scans in size-balanced splits.
     deg = e_all.groupBy("_src").agg(F.count(F.lit(1)).alias("_deg"))
-    total = deg.agg(F.sum("_deg")).first()[0] or 0
-    hot = materialize(deg.where(F.col("_deg") > F.lit(max(1, total // nb))).select("_src"))
-    n_hot = hot.count()
+    total, top = deg.agg(F.sum("_deg"), F.max("_deg")).first()
+    limit = max(1, (total or 0) // nb)
+    n_hot, hot = 0, None
+    if (top or 0) > limit:
+        hot = materialize(deg.where(F.col("_deg") > F.lit(limit)).select("_src"))
+        n_hot = hot.count()
     e_reg = e_all.join(F.broadcast(hot), "_src", "left_anti") if n_hot else e_all
     # hash-partitioning on _src already clusters (_src, _dst), so distinct
     # adds no shuffle, and each task then writes exactly one bucket file
