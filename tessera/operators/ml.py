@@ -126,3 +126,75 @@ def exact_accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:
     hit = (F.col(label) == F.col(prediction)).cast("int")
     return pred.agg(F.count(F.lit(1)).alias("n"),
                     (F.sum(hit).cast("double") / F.count(F.lit(1))).alias("accuracy"))
+
+
+# --- job flows: train / test / predict tomorrow; colour model + grid ----------
+
+def train_temperature_model(daily: DataFrame, model_path: str,
+                            features=("day_of_year", "yesterday_tmax"), seed: int = 40,
+                            max_iter: int = 10):
+    """Fit the next-day GBT on a 75 % md5 split of (station, date) and save it.
+
+    Returns ``(model, metrics)`` where metrics are (r2, rmse) on the held-out
+    validation rows (not on the training rows).
+    """
+    from .sampling import hash_split
+    f = previous_day_features(daily)
+    f = hash_split(f.withColumn("_id", F.concat_ws(":", "station", F.col("date").cast("string"))),
+                   "_id", seed)
+    model = gbt_pipeline(features, max_iter=max_iter, seed=seed).fit(f.where(F.col("split") == "train"))
+    model.write().overwrite().save(model_path)
+    return model, regression_metrics(model.transform(f.where(F.col("split") == "validation")))
+
+
+def score_temperature_model(model_path: str, daily: DataFrame):
+    """(r2, rmse) of a saved model on another daily series."""
+    model = PipelineModel.load(model_path)
+    return regression_metrics(model.transform(previous_day_features(daily)))
+
+
+def predict_tomorrow(model_path: str, spark, station: str, today, today_tmax: float) -> float:
+    """Tomorrow's tmax from today's value and tomorrow's day of year
+    (the prediction column is read by name, not by position)."""
+    import datetime
+    tomorrow = today + datetime.timedelta(days=1)
+    row = spark.createDataFrame(
+        [(station, tomorrow, tomorrow.timetuple().tm_yday, None, float(today_tmax))],
+        "station string, date date, day_of_year int, tmax double, yesterday_tmax double")
+    return predict_one(PipelineModel.load(model_path), row)
+
+
+def train_colour_model(colours: DataFrame, space: str = "lab", seed: int = 40,
+                       max_iter: int = 50):
+    """MLP colour-word model on RGB or LAB features; returns (model, validation accuracy)."""
+    from .sampling import hash_split
+    c = hash_split(colour_features(colours, space=space), "p_partkey", seed)
+    n_labels = c.select(F.count_distinct("word")).first()[0]
+    model = mlp_pipeline(n_labels, max_iter=max_iter, seed=seed).fit(c.where(F.col("split") == "train"))
+    return model, accuracy(model.transform(c.where(F.col("split") == "validation")))
+
+
+def prediction_grid(model: PipelineModel, grid: DataFrame, space: str = "lab") -> DataFrame:
+    """Predict a colour word for every cell of a LAB grid and attach the
+    word's representative RGB: (labA, labB, R, G, B, predicted_word,
+    word_R, word_G, word_B).  ``grid`` holds labL, labA, labB."""
+    from ..functions.colour import colour_table, lab_to_rgb_cols
+    rgb = lab_to_rgb_cols(F.col("labL"), F.col("labA"), F.col("labB"))
+    cells = grid.select("labA", "labB", *[(c * F.lit(255.0)).alias(n) for c, n in zip(rgb, "RGB")],
+                        F.lit("black").alias("word"))
+    pred = with_predicted_label(model, model.transform(colour_features(cells, space=space)))
+    words = F.broadcast(colour_table(grid.sparkSession).select(
+        F.col("word").alias("predicted_word"), F.col("R").alias("word_R"),
+        F.col("G").alias("word_G"), F.col("B").alias("word_B")))
+    return pred.join(words, "predicted_word", "left").select(
+        "labA", "labB", "R", "G", "B", "predicted_word", "word_R", "word_G", "word_B")
+
+
+def lab_grid(spark, lum: float = 70.0, resolution: int = 256) -> DataFrame:
+    """A resolution x resolution lattice over a, b in [-100, 100] at L = lum."""
+    step = 200.0 / (resolution - 1)
+    ids = spark.range(resolution * resolution)
+    return ids.select(F.lit(float(lum)).alias("labL"),
+                      (F.lit(-100.0) + (F.col("id") % resolution).cast("double") * step).alias("labA"),
+                      (F.lit(-100.0) + F.floor(F.col("id") / resolution).cast("double") * step)
+                      .alias("labB"))

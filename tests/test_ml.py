@@ -57,3 +57,25 @@ def test_mlp_layers_follow_label_count_and_accuracy(spark):
     assert acc == pytest.approx(exact)
     labels = ml.label_map(model)
     assert set(labels.values()) == {r.word for r in c.select("word").distinct().collect()}
+
+
+def test_train_test_tomorrow_flow(spark, tmp_path):
+    daily = derived.tmax_daily(spark, SF001)
+    path = str(tmp_path / "tmax-model")
+    model, (r2, rmse) = ml.train_temperature_model(daily, path, max_iter=3)
+    assert rmse > 0
+    r2_t, rmse_t = ml.score_temperature_model(path, daily)
+    assert rmse_t > 0
+    y = ml.predict_tomorrow(path, spark, "S1", datetime.date(2000, 8, 1), 5000.0)
+    assert isinstance(y, float)
+
+
+def test_colour_model_and_prediction_grid(spark):
+    colours = derived.colours(spark, SF001).where(F.col("word").isin("Brand#1", "Brand#2", "Brand#3"))
+    model, acc = ml.train_colour_model(colours, max_iter=5)
+    assert 0.0 <= acc <= 1.0
+    grid = ml.prediction_grid(model, ml.lab_grid(spark, 70.0, 8))
+    rows_ = grid.collect()
+    assert len(rows_) == 64
+    assert {r.predicted_word for r in rows_} <= {"Brand#1", "Brand#2", "Brand#3"}
+    assert all(0 <= r.R <= 255 for r in rows_)
