@@ -382,6 +382,8 @@ FROM s JOIN m ON s.event_type = m.k"""
 SQL["relative_score_broadcast"] = SQL["relative_score_join"]
 SQL["etl_pushdown"] = SQL["etl_filter_project"]
 SQL["range_leader_sql"] = SQL["range_leader_df"]
+for _k in ("region_flag", "avg_by_dimension", "semi_join_like", "daily_mean_window"):
+    SQL[_k + "_sql"] = SQL[_k]
 
 _OLS = """
 m AS (SELECT count(*) AS n, CAST(sum(CAST(x AS HUGEINT)) AS DOUBLE) AS sx, CAST(sum(CAST(y AS HUGEINT)) AS DOUBLE) AS sy,

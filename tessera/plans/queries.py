@@ -263,6 +263,31 @@ def q_daily_mean_window(spark, d):
     return reports.daily_mean_window(load(spark, d, "orders"), WINDOW_MONTH, WINDOW_MAX_DAY)
 
 
+def q_region_flag_sql(spark, d):
+    from .sql_reports import region_flag_sql
+    return region_flag_sql(spark, load(spark, d, "customer"), load(spark, d, "nation"),
+                           FLAG_REGION, PREFIX_LEN)
+
+
+def q_avg_by_dimension_sql(spark, d):
+    from .sql_reports import avg_by_dimension_sql
+    return avg_by_dimension_sql(spark, load(spark, d, "orders"), load(spark, d, "customer"),
+                                load(spark, d, "nation"), REPORT_NATION)
+
+
+def q_semi_join_like_sql(spark, d):
+    from .sql_reports import region_flag_sql, semi_join_like_sql
+    flags = region_flag_sql(spark, load(spark, d, "customer"), load(spark, d, "nation"),
+                            FLAG_REGION, PREFIX_LEN)
+    return semi_join_like_sql(spark, load(spark, d, "part"), load(spark, d, "lineitem"),
+                              load(spark, d, "orders"), flags, PART_PATTERN)
+
+
+def q_daily_mean_window_sql(spark, d):
+    from .sql_reports import daily_mean_window_sql
+    return daily_mean_window_sql(spark, load(spark, d, "orders"), WINDOW_MONTH, WINDOW_MAX_DAY)
+
+
 # --- features, colours -----------------------------------------------------
 
 def q_previous_day_features(spark, d):
