@@ -4,12 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-# Largest side (rows) we ever ship to every executor.  A few million narrow
-# rows are tens of MB; beyond that the shuffle join is the safer plan.
+# Largest side we ever ship to every executor: at most this many rows and
+# at most this many (estimated) bytes.  Beyond either, the shuffle join is
+# the safer plan.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+# Estimated in-memory bytes per value (strings/arrays: a typical short value).
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Rough bytes per row of a schema (hash-relation overhead included)."""
+    def width(dt) -> int:
+        if isinstance(dt, T.StructType):
+            return sum(width(f.dataType) for f in dt.fields)
+        if isinstance(dt, (T.ArrayType, T.MapType)):
+            return 64
+        return _WIDTH.get(type(dt), 32)
+    return 16 + width(schema)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -21,15 +40,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
+def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES):
     """Return ``(side, broadcast_taken)``.
 
     The side is materialised once (so it is not recomputed by the join) and
     counted from its stored copy; it gets the broadcast hint only when the
-    count is within ``max_rows``.  Otherwise the caller's join stays a
-    shuffle join (AQE may still split skewed partitions).
+    count is within ``max_rows`` and ``count * row_width`` within
+    ``max_bytes``.  Otherwise the caller's join stays a shuffle join (AQE
+    may still split skewed partitions).
     """
     side = materialize(small)
-    if side.limit(max_rows + 1).count() <= max_rows:
+    limit = min(max_rows, max(1, max_bytes // row_width(side.schema)))
+    if side.limit(limit + 1).count() <= limit:
         return F.broadcast(side), True
     return side, False

@@ -58,3 +58,14 @@ def test_broadcast_strategy_plans_a_broadcast(spark):
     plan = relative_score(df, "key", "score", ["id"], strategy="broadcast")._jdf \
         .queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_broadcast_check_falls_back_to_shuffle(spark):
+    from tessera.operators.joins import broadcast_if_small, row_width
+    df = spark.range(100).selectExpr("id", "cast(id as string) as s")
+    side, taken = broadcast_if_small(df, max_rows=50)
+    assert not taken and side.count() == 100
+    side, taken = broadcast_if_small(df, max_bytes=10 * row_width(df.schema))
+    assert not taken
+    side, taken = broadcast_if_small(df)
+    assert taken
