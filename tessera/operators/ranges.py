@@ -45,9 +45,22 @@ def range_leader(obs: DataFrame, scale: float = 10.0) -> DataFrame:
     per_date = best.groupBy("date").agg(F.max("range").alias("_max")) \
                    .withColumnRenamed("date", "_d")
     leaders = best.join(per_date, (F.col("date") == F.col("_d")) & (F.col("range") == F.col("_max")))
-    return (leaders.select("date", "station", "range",
-                           F.explode(F.array_repeat(F.lit(1), F.col("_pairs").cast("int"))).alias("_r"))
-                   .drop("_r"))
+    return repeat_rows(leaders, "_pairs").select("date", "station", "range")
+
+
+# Rows are re-created in blocks so no generated array exceeds this length.
+_BLOCK = 4096
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Each row ``times`` times (0 -> dropped), generated in blocks of at most
+    4096 so a large multiplicity never builds one huge array."""
+    n = F.col(times).cast("long")
+    blocks = df.where(n > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                 F.ceil(n / _BLOCK).cast("long") - 1)).alias("_blk"))
+    size = F.least(F.lit(_BLOCK).cast("long"), n - F.col("_blk") * _BLOCK).cast("int")
+    return (blocks.select("*", F.explode(F.array_repeat(F.lit(1), size)).alias("_one"))
+                  .drop("_blk", "_one"))
 
 
 RANGE_LEADER_SQL = """
@@ -68,7 +81,8 @@ best AS (SELECT hi.station, hi.date, (hi - lo) / {scale}D AS range, n_hi * n_lo
 per_date AS (SELECT date AS d, max(range) AS max_range FROM best GROUP BY date)
 SELECT date, station, range
 FROM best JOIN per_date ON best.date = per_date.d AND best.range = per_date.max_range
-LATERAL VIEW explode(array_repeat(1, CAST(pairs AS INT))) r AS one
+LATERAL VIEW explode(sequence(0L, CAST(ceil(pairs / 4096) AS BIGINT) - 1)) b AS blk
+LATERAL VIEW explode(array_repeat(1, CAST(least(4096L, pairs - blk * 4096) AS INT))) r AS one
 """
 
 

@@ -85,3 +85,10 @@ def test_comment_split(spark):
     pos, neg = comment_split(df)
     assert rows(pos) == [("hello", 3, "a")]
     assert rows(neg) == [("hello", -1, "c"), ("hello", 0, "b")]
+
+
+def test_repeat_rows_blocks(spark):
+    from tessera.operators.ranges import repeat_rows
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 4096), ("d", 10000)], "k string, n long")
+    got = dict(rows(repeat_rows(df, "n").groupBy("k").count()))
+    assert got == {"b": 1, "c": 4096, "d": 10000}
