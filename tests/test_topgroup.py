@@ -62,3 +62,10 @@ def test_hour_from_file_name(spark, tmp_path):
 def test_path_to_hour_null_when_absent(spark):
     df = spark.createDataFrame([("/x/pagecounts-20160801-05.gz",), ("/x/nothing.gz",)], "p string")
     assert rows(df.select(path_to_hour(F.col("p")).alias("h"))) == [("20160801-05",), (None,)]
+
+
+def test_null_title_is_dropped(spark, tmp_path):
+    p = tmp_path / "pc.txt"
+    p.write_text("20160801-00 en\n20160801-00 en Kiwi 3 1\n")
+    df = page_filter(read_pagecounts(spark, str(p), PAGECOUNT_ROW_SCHEMA))
+    assert rows(df, "title") == [("Kiwi",)]
