@@ -28,14 +28,24 @@ from pyspark.sql import functions as F
 from .joins import broadcast_if_small, materialize
 
 
+def value_counts(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
+    """(group cols..., value, _c): rows per distinct value of each group
+    (partial aggregation; null values kept as their own row)."""
+    return df.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_c"))
+
+
 def exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median",
-                 partitions: int | None = None) -> DataFrame:
-    """(group cols..., out) with the exact median of ``value`` per group (nulls ignored)."""
+                 partitions: int | None = None, counted: bool = False) -> DataFrame:
+    """(group cols..., out) with the exact median of ``value`` per group (nulls ignored).
+
+    With ``counted=True`` ``df`` is already ``value_counts`` output, so a
+    caller that also needs counts or sums reads the data only once.
+    """
     spark = df.sparkSession
     g = list(group_cols)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c")))
+    counts = df if counted else value_counts(df, g, value)
+    counts = counts.where(F.col(value).isNotNull())
     ranged = materialize(counts.repartitionByRange(p, *g, value)
                                .withColumn("_pid", F.spark_partition_id()))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import cents
 from .joins import broadcast_if_small, materialize
-from .quantiles import exact_median
+from .quantiles import exact_median, value_counts
 from .ratios import exact_mean
 
 
@@ -59,11 +59,17 @@ def spend_by_flags(orders: DataFrame, customer: DataFrame, flags: DataFrame,
         F.when((F.col("c_mktsegment") == segment) & (F.col("in_region") == 0), True)
          .otherwise(False).alias("segment_outside"),
         F.when(F.col("in_region") == 1, True).otherwise(False).alias("inside"),
-        value, cents(value).alias("_cents"))
-    flagged = materialize(flagged)   # read by the two aggregations below
-    stats = flagged.groupBy(*keys).agg(F.count(value).alias("n"),
-                                       (exact_mean("_cents") / 100.0).alias("mean_price"))
-    med = exact_median(flagged, keys, "_cents", "_median")
+        cents(value).alias("_cents"))
+    # One pass over the joined rows: counts per (flags, amount) -- far fewer
+    # rows than orders -- feed the count, the exact mean and the median.
+    counts = materialize(value_counts(flagged, keys, "_cents"))
+    has = F.col("_cents").isNotNull()
+    total = F.sum(F.when(has, F.col("_c")).otherwise(F.lit(0)))
+    amount = F.sum(F.col("_cents").cast("decimal(38,0)") * F.col("_c"))
+    stats = counts.groupBy(*keys).agg(
+        total.alias("n"),
+        (F.when(total > 0, amount.cast("double") / total) / 100.0).alias("mean_price"))
+    med = exact_median(counts, keys, "_cents", "_median", counted=True)
     return (stats.join(med, keys, "left")
                  .select(*keys, "n", "mean_price", (F.col("_median") / 100.0).alias("median_price")))
 
