@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -137,16 +137,21 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
                .select("node", F.col("_b.p").alias("parent"),
                        F.concat(F.col("_b.pp"), F.array(F.col("node"))).alias("path"),
                        F.lit(hop).alias("distance")))
+        # the hop's row count (and whether the destination arrived) are
+        # observed while the rows are written: no separate counting job
+        obs = Observation(f"bfs-hop-{tag}-{hop}")
+        dest_hit = (F.col("node") == F.lit(destination)) if destination is not None else F.lit(False)
+        new = new.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.max(dest_hit.cast("int")).alias("hit"))
         _bucketed(new, v_name, "node", nb, mode="append", partition_by="distance")
-        added = spark.table(v_name).where(F.col("distance") == hop)
-        n_new = added.count()
+        n_new = obs.get["n"]
         if n_new == 0:
             break
         known += n_new
         counts.append((hop, known))
         if snapshot_dir:
             _snapshot(spark.table(v_name), f"{snapshot_dir}/iter-{hop}")
-        found = destination is not None and not added.where(F.col("node") == destination).isEmpty()
+        found = destination is not None and obs.get["hit"] == 1
     return spark.table(v_name), counts
 
 
