@@ -47,6 +47,17 @@ def parse_log_lines(df: DataFrame, line_col: str = "value", seq_col: str | None
     return parsed.select(*cols)
 
 
+def rejected_lines(df: DataFrame, line_col: str = "value") -> DataFrame:
+    """Lines the parser drops (no match, bad time, bytes not a number), so a
+    load can count or keep its rejects instead of failing on them."""
+    fields = df.select(line_col, log_fields(F.col(line_col)).alias("_f"))
+    f = F.col("_f")
+    ok = F.when(F.size(f) == 4, log_time(f[1]).isNotNull() & f[3].try_cast("bigint").isNotNull()) \
+          .otherwise(F.lit(False))
+    # same generator form as the parser: one regex pass, no pushed-down filter
+    return fields.select(F.inline(F.when(~ok, F.array(F.struct(F.col(line_col).alias(line_col))))))
+
+
 def host_totals(logs: DataFrame, host: str = "host", nbytes: str = "bytes") -> DataFrame:
     """(host, requests, bytes) per host; partial aggregation before the shuffle."""
     return logs.groupBy(host).agg(F.count(F.lit(1)).alias("requests"),

@@ -87,3 +87,10 @@ def test_correlation_from_text_equals_from_stored_table(spark, tmp_path):
     a = log_correlation(host_totals(parsed)).collect()[0]
     b = log_correlation(host_totals(stored)).collect()[0]
     assert a == b and a.n == 7 and a.r is not None
+
+
+def test_rejected_lines_are_reported(spark):
+    from tessera.operators.logs import rejected_lines
+    df = spark.createDataFrame([(l,) for l in LINES], "value string")
+    bad = sorted(r.value for r in rejected_lines(df).collect())
+    assert bad == sorted(LINES[2:3] + LINES[4:])
