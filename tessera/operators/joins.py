@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir
 
 # Largest side we ever ship to every executor: at most this many rows and
 # at most this many (estimated) bytes.  Beyond either, the shuffle join is
@@ -42,28 +40,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize_counted(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
-    """Write ``df`` once as a Parquet table in the shared checkpoint folder
-    and return (the table, its row count); the count is observed during the
-    write, so it costs no second job."""
-    obs = Observation(f"tessera-{name}-{uuid.uuid4().hex[:12]}")
-    path = scratch_path(df.sparkSession, name)
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["n"])
-
-
 def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        max_bytes: int = BROADCAST_MAX_BYTES):
     """Return ``(side, broadcast_taken)``.
 
-    The side is written once (so it is not recomputed by the join) and
-    counted while it is written; it gets the broadcast hint only when the
+    The side is checkpointed once (so it is not recomputed by the join) and
+    counted from that stored copy; it gets the broadcast hint only when the
     count is within ``max_rows`` and ``count * row_width`` within
     ``max_bytes``.  Otherwise the caller's join stays a shuffle join (AQE
     may still split skewed partitions).
     """
-    side, n = materialize_counted(small, "broadcast-side")
+    side = materialize(small)
     limit = min(max_rows, max(1, max_bytes // row_width(side.schema)))
-    if n <= limit:
+    if side.limit(limit + 1).count() <= limit:
         return F.broadcast(side), True
     return side, False
