@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
+
 
 def _extreme_with_count(df: DataFrame, keys: list[str], value: str, largest: bool,
                         out: str, out_n: str) -> DataFrame:
@@ -44,6 +46,9 @@ def range_leader(obs: DataFrame, scale: float = 10.0) -> DataFrame:
                       (F.col("_n_hi") * F.col("_n_lo")).alias("_pairs")))
     per_date = best.groupBy("date").agg(F.max("range").alias("_max")) \
                    .withColumnRenamed("date", "_d")
+    # one row per date: broadcast after a size check, else a stored side
+    # that AQE can skew-split when one date holds most stations
+    per_date, _ = broadcast_if_small(per_date)
     leaders = best.join(per_date, (F.col("date") == F.col("_d")) & (F.col("range") == F.col("_max")))
     return repeat_rows(leaders, "_pairs").select("date", "station", "range")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, materialize
 
 
 def exact_mean(c) -> F.Column:
@@ -36,8 +36,9 @@ def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
     """``value / mean(value of its key)`` for every row.
 
     strategy:
-      * ``join``      shuffle join with the per-key means (AQE may demote it
-                      to a broadcast at runtime once it sees the size);
+      * ``join``      shuffle join with the stored per-key means (AQE may
+                      demote it to a broadcast at runtime, or split a hot
+                      key's partition);
       * ``broadcast`` means broadcast after a row-count check (falls back to
                       the shuffle join when there are too many keys);
       * ``window``    ``avg() over (partition by key)``: one scan, but one
@@ -53,7 +54,14 @@ def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
     means = df.groupBy(key).agg(exact_mean(value).alias("_mean")).withColumnRenamed(key, "_k")
     if strategy == "broadcast":
         means, _ = broadcast_if_small(means)
-    elif strategy != "join":
+    elif strategy == "join":
+        # Joined straight onto its own aggregate, the means side would sit
+        # under the join as HashAggregate(shuffle), a shape AQE's skew-join
+        # split cannot handle.  Stored once, it is a plain shuffle stage,
+        # so a key holding a third of the rows is split across tasks (or
+        # the side is broadcast at runtime when AQE sees it is small).
+        means = materialize(means)
+    else:
         raise ValueError(f"unknown strategy {strategy!r}")
     j = df.join(means, F.col(key) == F.col("_k"))
     return j.select(*keep, key, F.try_divide(v, F.col("_mean")).alias(out))
