@@ -55,3 +55,35 @@ def test_hot_key_upsert_is_exact(spark, skew_conf):
     assert len(got) == 2001
     hot = [r for r in got if r[0] == 0][0]
     assert hot[1:] == (999, max(i for i in range(0, 30000, 3) if i * 7 % 1000 == 999))
+
+
+def test_hot_date_range_leader_is_exact(spark, skew_conf):
+    from tessera.operators import joins
+    from tessera.operators.ranges import range_leader
+    import tessera.operators.ranges as ranges_mod
+    # one date holds a third of the station-days; force the shuffle path
+    obs = spark.range(6000).select(
+        F.concat(F.lit("S"), (F.col("id") % 3000).cast("string")).alias("station"),
+        F.when(F.col("id") % 3 == 0, F.lit("2020-01-01"))
+         .otherwise(F.date_format(F.date_add(F.lit("2020-01-02"), (F.col("id") % 50).cast("int")),
+                                  "yyyy-MM-dd")).cast("date").alias("date"),
+        F.when(F.col("id") % 2 == 0, "TMAX").otherwise("TMIN").alias("observation"),
+        (F.col("id") * 37 % 400).cast("int").alias("value"),
+        F.lit(None).cast("string").alias("qflag"))
+    orig = ranges_mod.broadcast_if_small
+    ranges_mod.broadcast_if_small = lambda df: joins.broadcast_if_small(df, max_rows=1)
+    try:
+        got = rows(range_leader(obs), "date", "station", "range")
+    finally:
+        ranges_mod.broadcast_if_small = orig
+    # brute force: every TMAX x TMIN pair of a (station, date), keep the date's maximum
+    data = [tuple(r) for r in obs.collect()]
+    hi, lo = {}, {}
+    for st, d, o, v, _ in data:
+        (hi if o == "TMAX" else lo).setdefault((st, d), []).append(v)
+    pairs = [(d, st, (a - b) / 10.0) for (st, d), hs in hi.items() for a in hs for b in lo.get((st, d), [])]
+    best = {}
+    for d, st, r in pairs:
+        best[d] = max(best.get(d, r), r)
+    exp = sorted((p for p in pairs if p[2] == best[p[0]]), key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == exp
