@@ -28,6 +28,7 @@ def test_golden_pair(spark, tmp_path):
     write_json_arrays(out, path)
     text = [r.value for r in spark.read.text(path).collect()]
     assert [json.loads(t) for t in text] == [["helloworld", 1.5]]
+    assert text == ['["helloworld", 1.5]']          # byte-for-byte the golden line
 
 
 def test_negative_zero_missing_and_malformed(spark, tmp_path):
