@@ -50,16 +50,19 @@ def split_lines(c: Column) -> Column:
 
 
 def whitespace_tokens(c: Column) -> Column:
-    """``str.split()`` tokens with punctuation deleted (not case folded).
-
-    Punctuation is never whitespace, so deleting it from the whole text
-    before splitting gives the same tokens as deleting it per token, with
-    one regex pass per text instead of one per token.  Empty tokens (from
-    leading space or punctuation-only words) must be dropped by the caller
-    (after ``explode`` a plain filter stays inside whole-stage codegen,
-    unlike a higher-order ``filter`` on the array).
+    """Raw ``str.split()`` tokens (punctuation still in, not case folded).
+
+    Empty strings (from leading white space) must be dropped by the caller
+    after ``explode``, where a plain filter stays inside whole-stage codegen;
+    punctuation deletion and case folding are per-token maps, so the word
+    count applies them once per distinct raw token (``clean_word``).
     """
-    return F.split(strip_punctuation(c), SPACE_RUN_JAVA, -1)
+    return F.split(c, SPACE_RUN_JAVA, -1)
+
+
+def clean_word(c: Column) -> Column:
+    """Punctuation deleted, then case folded (the whitespace word count's word)."""
+    return case_fold(strip_punctuation(c))
 
 
 def delimited_tokens(c: Column) -> Column:

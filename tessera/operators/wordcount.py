@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import case_fold, delimited_tokens, split_lines, whitespace_tokens
+from ..functions.text import case_fold, clean_word, delimited_tokens, split_lines, whitespace_tokens
 from .partitioning import spread
 
 
@@ -23,11 +23,12 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
 
     Plan: tokens are counted raw first (hash aggregate with map-side
     partial counts, so a very frequent word is combined before any shuffle
-    and cannot skew a task); the case fold then runs once per *distinct*
-    raw token instead of over every character of the text, and a second
-    small aggregate merges tokens that fold to the same word.  Case mapping
-    is per code point and never creates or removes a delimiter, so the
-    result equals folding the text first.
+    and cannot skew a task); punctuation deletion (whitespace mode) and the
+    case fold then run once per *distinct* raw token instead of over every
+    character of the text, and a second small aggregate merges tokens that
+    map to the same word.  Both maps are per token (case mapping is per code
+    point and never creates or removes a delimiter), so the result equals
+    applying them to the text first.
     """
     if mode not in ("whitespace", "delimited"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -43,5 +44,9 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
     if not keep_empty:
         raw = raw.where(F.col("_w") != "")
     raw_counts = raw.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
-    return (raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
-                      .groupBy(word_col).agg(F.sum("_n").alias(count_col)))
+    if mode == "whitespace":
+        words = raw_counts.select(clean_word(F.col("_w")).alias(word_col), "_n") \
+                          .where(F.col(word_col) != "")       # punctuation-only tokens
+    else:
+        words = raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
+    return words.groupBy(word_col).agg(F.sum("_n").alias(count_col))
