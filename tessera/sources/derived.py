@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents
-from ..operators.joins import materialize
+from ..operators.joins import broadcast_if_small
 from .tables import load
 
 # Fixed values of the derivations (kept identical in the oracle SQL).
@@ -102,9 +102,10 @@ def adjacency_lines(edges_df: DataFrame, max_per_line: int = 1000) -> DataFrame:
     so no line, and no aggregation group, grows with a hot node's degree;
     parsing the lines back gives the same edges.
     """
-    # stored, so the join back is between two shuffle stages that AQE can
-    # skew-split when one node holds most of the edges
-    deg = materialize(edges_df.groupBy("source").agg(F.count(F.lit(1)).alias("_deg")))
+    # stored (and broadcast when its checked size allows), so the join back
+    # is never an aggregate under a join: AQE can skew-split it when one
+    # node holds most of the edges
+    deg, _ = broadcast_if_small(edges_df.groupBy("source").agg(F.count(F.lit(1)).alias("_deg")))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(max_per_line)))
     e = (edges_df.join(deg, "source")
                  .withColumn("_chunk", F.pmod(F.xxhash64("node"), chunks)))
