@@ -94,3 +94,38 @@ def test_rejected_lines_are_reported(spark):
     df = spark.createDataFrame([(l,) for l in LINES], "value string")
     bad = sorted(r.value for r in rejected_lines(df).collect())
     assert bad == sorted(LINES[2:3] + LINES[4:])
+
+
+import re as _re  # noqa: E402
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+from tessera.functions.logs import LOG_PATTERN  # noqa: E402
+
+_host = st.text(alphabet="abc.-19", min_size=0, max_size=8)
+_path = st.text(alphabet="/ab.x?=", min_size=0, max_size=8)
+_bytes = st.one_of(st.integers(0, 10**12).map(str), st.just("-"), st.just(""))
+_day = st.integers(1, 35)
+_proto = st.sampled_from([" HTTP/1.0", " HTTP/1.1", ""])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_host, _day, _path, _proto, _bytes), min_size=1, max_size=40))
+def test_parse_matches_python_regex(spark, items):
+    lines = [f'{h} - - [{d:02d}/Aug/1995:10:11:12 -0400] "GET {p}{pr}" 200 {b}'
+             for h, d, p, pr, b in items]
+    exp = []
+    for l in lines:
+        m = _re.match(LOG_PATTERN, l)
+        if not m:
+            continue
+        try:
+            t = datetime.datetime.strptime(m.group(2), "%d/%b/%Y:%H:%M:%S")
+        except ValueError:
+            continue
+        if int(m.group(4)) > 2**63 - 1:
+            continue
+        exp.append((m.group(1), t, m.group(3), int(m.group(4))))
+    df = spark.createDataFrame([(l,) for l in lines], "value string")
+    got = rows(parse_log_lines(df, with_id=False), "host", "datetime", "path", "bytes")
+    assert got == sorted(exp, key=lambda t: tuple((x is None, str(x)) for x in t))
