@@ -129,3 +129,17 @@ def test_parse_matches_python_regex(spark, items):
     df = spark.createDataFrame([(l,) for l in lines], "value string")
     got = rows(parse_log_lines(df, with_id=False), "host", "datetime", "path", "bytes")
     assert got == sorted(exp, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(-5, 5), st.text("xyz", max_size=3)),
+                min_size=1, max_size=60))
+def test_latest_per_key_matches_python(spark, data):
+    df = spark.createDataFrame(data, "k1 int, k2 int, ver int, payload string")
+    best = {}
+    for k1, k2, ver, pay in data:
+        cur = best.get((k1, k2))
+        if cur is None or (ver, pay) > (cur[2], cur[3]):
+            best[(k1, k2)] = (k1, k2, ver, pay)
+    got = rows(latest_per_key(df, ["k1", "k2"], ["ver"]))
+    assert got == sorted(best.values(), key=lambda t: tuple((x is None, str(x)) for x in t))
