@@ -110,3 +110,19 @@ def test_bfs_with_hot_source_matches_python(spark):
     exp = sorted(((n, dist[n], parent[n], path[n]) for n in dist),
                  key=lambda t: tuple((x is None, str(x)) for x in t))
     assert got == exp and counts[-1][1] == len(dist)
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=120),
+       st.integers(0, 25))
+def test_bfs_matches_python_on_random_graphs(spark, edges, source):
+    df = spark.createDataFrame(edges, "source long, node long")
+    visited, counts = bfs(df, source, 6, buckets=2)
+    dist, parent, path = py_bfs(edges, source, 6)
+    got = rows(visited, "node", "distance", "parent", "path")
+    exp = sorted(((n, dist[n], parent[n], path[n]) for n in dist),
+                 key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == exp and counts[-1][1] == len(dist)
