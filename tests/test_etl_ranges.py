@@ -92,3 +92,19 @@ def test_repeat_rows_blocks(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 4096), ("d", 10000)], "k string, n long")
     got = dict(rows(repeat_rows(df, "n").groupBy("k").count()))
     assert got == {"b": 1, "c": 4096, "d": 10000}
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["S1", "S2", "S3"]), st.sampled_from(["d1", "d2"]),
+                          st.sampled_from(["TMAX", "TMIN", "PRCP"]),
+                          st.one_of(st.none(), st.integers(-30, 30)),
+                          st.sampled_from([None, None, "X"])),
+                min_size=1, max_size=60))
+def test_range_leader_matches_pair_join_on_random_obs(spark, obs):
+    df = spark.createDataFrame(obs, "station string, date string, observation string, value int, qflag string")
+    exp = brute_force_leaders(obs)
+    assert rows(range_leader(df), "date", "station", "range") == exp
+    assert rows(range_leader_sql(spark, df), "date", "station", "range") == exp
