@@ -70,3 +70,22 @@ def test_broadcast_check_falls_back_to_shuffle(spark):
     assert not taken
     side, taken = broadcast_if_small(df)
     assert taken
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["x", "y", "z"]), st.integers(-50, 50)), min_size=1, max_size=50))
+def test_relative_score_matches_python(spark, data):
+    df = spark.createDataFrame([(i, "a", k, v) for i, (k, v) in enumerate(data)],
+                               "id int, author string, key string, score int")
+    sums, cnts = {}, {}
+    for k, v in data:
+        sums[k] = sums.get(k, 0) + v
+        cnts[k] = cnts.get(k, 0) + 1
+    exp = [(i, (None if sums[k] == 0 else v / (sums[k] / cnts[k]))) for i, (k, v) in enumerate(data)]
+    for strategy in ("join", "broadcast"):
+        got = rows(relative_score(df, "key", "score", ["id", "author"], strategy=strategy),
+                   "id", "relative_score")
+        assert got == sorted(exp, key=lambda t: tuple((x is None, str(x)) for x in t))
