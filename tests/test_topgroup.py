@@ -69,3 +69,20 @@ def test_null_title_is_dropped(spark, tmp_path):
     p.write_text("20160801-00 en\n20160801-00 en Kiwi 3 1\n")
     df = page_filter(read_pagecounts(spark, str(p), PAGECOUNT_ROW_SCHEMA))
     assert rows(df, "title") == [("Kiwi",)]
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["h1", "h2", "h3"]), st.sampled_from(list("ABCDE")),
+                          st.integers(0, 4)), min_size=1, max_size=50))
+def test_top_per_group_matches_python(spark, data):
+    df = spark.createDataFrame(data, "hour string, title string, views long")
+    best = {}
+    for h, t, v in data:
+        best[h] = max(best.get(h, (v, t)), (v, t))
+    assert rows(max_by_group_one(df, "hour", "views", "title")) == sorted((h, v, t) for h, (v, t) in best.items())
+    mx = {h: v for h, (v, _) in best.items()}
+    ties = sorted((h, t, v) for h, t, v in data if v == mx[h])
+    assert rows(max_by_group_ties(df, "hour", "views", ["title"])) == ties
