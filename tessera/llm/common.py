@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import load
 
-__all__ = ["MAX_ID", "cores", "documents", "load", "shuffle_partitions", "stored"]
+__all__ = ["MAX_ID", "cores", "documents", "load", "ship", "shuffle_partitions", "stored"]
 
 MAX_ID = 2**63 - 1
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per context), so
+    that a job doesn't depend on where the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-py-"), "tessera_pkg.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "tessera")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._tessera_shipped = True
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id bigint, text string): any further column, whatever its
     name, never reaches an operator."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
 

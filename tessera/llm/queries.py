@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import load
 from .license_scan import license_scan
+from .minhash import edit_fingerprints
+
+
+def op1_minhash_fingerprints(spark, d):
+    return edit_fingerprints(load(spark, d, "documents"))
 
 
 def op9_license_scan(spark, d):

@@ -27,3 +27,13 @@ def license_base(text):
                 at.append(i)
                 labels.add(label)
     return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def edited(rows):
+    """doc_id -> edited text, rows = [(doc_id, text)] with distinct ids."""
+    rows = sorted((i, t or "") for i, t in rows)
+    out = {}
+    for n, (i, t) in enumerate(rows):
+        q, nxt = len(t) // 4, rows[(n + 1) % len(rows)][1]
+        out[i] = t[:len(t) - q] + nxt[:q]
+    return out
