@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import load
+from .hyperminhash import near_duplicates
 from .license_scan import license_scan
 from .minhash import edit_fingerprints
 
@@ -16,6 +17,10 @@ def op1_minhash_fingerprints(spark, d):
     return edit_fingerprints(load(spark, d, "documents"))
 
 
+def op8_hyperminhash_dedup(spark, d):
+    return near_duplicates(load(spark, d, "documents"))
+
+
 def op9_license_scan(spark, d):
     return license_scan(load(spark, d, "documents")).drop("spans")
 

@@ -37,3 +37,33 @@ def edited(rows):
         q, nxt = len(t) // 4, rows[(n + 1) % len(rows)][1]
         out[i] = t[:len(t) - q] + nxt[:q]
     return out
+
+
+def shingle_set(text, k=3):
+    w = SPACE.findall(lower_az(text))
+    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def near_components(rows, percent=85, k=3):
+    """doc_id -> (set size, component) for rows = [(doc_id, text)], by comparing every pair that shares a shingle."""
+    sets = {i: shingle_set(t, k) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    index = {}
+    for i in sorted(sets):
+        shared = {}
+        for s in sets[i]:
+            for j in index.get(s, ()):
+                shared[j] = shared.get(j, 0) + 1
+            index.setdefault(s, []).append(i)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in sets}
