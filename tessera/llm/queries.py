@@ -11,12 +11,18 @@ from .common import load
 from .hyperminhash import near_duplicates
 from .license_scan import license_scan
 from .minhash import edit_fingerprints
+from .suffix_dedup import substring_dedup
 
 
 def op1_minhash_fingerprints(spark, d):
     return edit_fingerprints(load(spark, d, "documents"))
 
 
+def op4_suffix_array_dedup(spark, d):
+    return substring_dedup(load(spark, d, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_hyperminhash_dedup(spark, d):
     return near_duplicates(load(spark, d, "documents"))
 

@@ -67,3 +67,23 @@ def near_components(rows, percent=85, k=3):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def byte_dedup(rows, window=100):
+    """doc_id -> (bytes, removed, maximal runs, kept bytes), rows = [(doc_id, text)]."""
+    first, out = {}, {}
+    rows = sorted((i, (t or "").encode()) for i, t in rows)
+    for i, t in rows:
+        for p in range(len(t) - window + 1):
+            first.setdefault(t[p:p + window], (i, p))
+    for i, t in rows:
+        gone = bytearray(len(t))
+        end = 0
+        for p in range(len(t) - window + 1):
+            if first[t[p:p + window]] != (i, p):
+                for q in range(max(p, end), p + window):
+                    gone[q] = 1
+                end = p + window
+        runs = sum(1 for q in range(len(t)) if gone[q] and not (q and gone[q - 1]))
+        out[i] = len(t), sum(gone), runs, bytes(c for c, g in zip(t, gone) if not g)
+    return out
