@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import load
 
-__all__ = ["MAX_ID", "cores", "documents", "load", "ship", "shuffle_partitions", "stored"]
+__all__ = ["MAX_ID", "cores", "documents", "load", "ship", "shuffle_partitions", "small_side", "stored"]
 
 MAX_ID = 2**63 - 1
 
@@ -59,3 +59,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int, *binary: str) -> DataFrame:
+    """A stored table, with a broadcast hint if its measured size allows: rows
+    of ``row_bytes`` fixed bytes plus the lengths of the ``binary`` columns."""
+    width = F.lit(row_bytes)
+    for c in binary:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblock as tb
-from .common import MAX_ID, documents, shuffle_partitions, stored
+from .common import MAX_ID, documents, small_side, stored
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -38,7 +38,6 @@ SEEDS, BUCKETS = 32, 4
 REGISTERS = SEEDS * BUCKETS
 MANTISSA = 10
 BLOCK_ROWS = 256         # rows of a band bucket compared with each other by one task
-BROADCAST_BYTES = 32 << 20
 
 _rng = np.random.RandomState(987654321)
 _MUL = _rng.randint(0, 2**63 - 1, SEEDS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -145,11 +144,6 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("d", "regs").mapInArrow(run, "band bigint, d bigint")
 
 
-def _small(df: DataFrame, width: int) -> DataFrame:
-    """Broadcast hint for a stored table when its measured size allows."""
-    return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
     """(d, set): sorted distinct shingle hashes of the wanted documents."""
     def run(batches):
@@ -163,7 +157,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
                     [pa.array(ids[i:j]), pa.array([u.tobytes() for u in tb.unique_rows(h, begin)], pa.binary())],
                     ["d", "set"])
 
-    held = docs.join(_small(wanted, 16), docs["doc_id"] == wanted["d"], "leftsemi")
+    held = docs.join(small_side(wanted, 16), docs["doc_id"] == wanted["d"], "leftsemi")
     return held.mapInArrow(run, "d bigint, set binary")
 
 

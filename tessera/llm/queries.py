@@ -12,6 +12,7 @@ from .hyperminhash import near_duplicates
 from .license_scan import license_scan
 from .minhash import edit_fingerprints
 from .suffix_dedup import substring_dedup
+from .window_dedup import window_dedup
 
 
 def op1_minhash_fingerprints(spark, d):
@@ -23,6 +24,11 @@ def op4_suffix_array_dedup(spark, d):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_rabin_karp_dedup(spark, d):
+    return window_dedup(load(spark, d, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_hyperminhash_dedup(spark, d):
     return near_duplicates(load(spark, d, "documents"))
 

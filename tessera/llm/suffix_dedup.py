@@ -32,13 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblock as tb
-from .common import MAX_ID, documents, shuffle_partitions, stored
+from .common import MAX_ID, documents, shuffle_partitions, small_side, stored
 
 WINDOW = 100
 GRAM = 32
 BUCKETS_PER_PARTITION = 4
 FILTER_BYTES = 64 << 20       # largest gram filter sent to the executors
-BROADCAST_BYTES = 32 << 20    # largest interval table sent to the executors
 PAIRWISE = 16                 # stretches around one gram compared pair by pair
 RUN_KEYS = 400_000            # keys that a task holds before it writes a run
 CHUNK = 1 << 22               # window starts handled at once (fits the packed position)
@@ -407,7 +406,7 @@ def union_intervals(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a[new], b[np.append(new[1:], len(a)) - 1]
 
 
-def _merge_gaps(gaps: DataFrame, parts: int) -> DataFrame:
+def merge_gaps(gaps: DataFrame, parts: int) -> DataFrame:
     """(d, k, spans): maximal removed runs of each document, as packed int64 pairs."""
 
     def merge(table: pa.Table) -> pa.Table:
@@ -454,9 +453,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.uint64), *parts])))
     gaps = _runs(source, known, buckets, window, gram).groupBy("bucket") \
         .applyInArrow(_merge_bucket(window, gram), "d bigint, k int, a bigint, b bigint")
-    spans = stored(_merge_gaps(gaps, buckets), "gaps")
-    size = spans.agg(F.sum(F.octet_length("spans") + 32)).first()[0] or 0
-    side = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
+    spans = stored(merge_gaps(gaps, buckets), "gaps")
+    side = small_side(spans, 32, "spans")
     rows = source.join(side, (source["doc_id"] == side["d"]) & (source["k"] == side["k"]), "left") \
                  .select(source["doc_id"], "text", "spans")
 

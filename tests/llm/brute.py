@@ -87,3 +87,19 @@ def byte_dedup(rows, window=100):
         runs = sum(1 for q in range(len(t)) if gone[q] and not (q and gone[q - 1]))
         out[i] = len(t), sum(gone), runs, bytes(c for c, g in zip(t, gone) if not g)
     return out
+
+
+def word_dedup(rows, window=50):
+    """doc_id -> (words, removed, kept text), rows = [(doc_id, text)]."""
+    first, docs = {}, {i: SPACE.findall(t or "") for i, t in rows}
+    for i in sorted(docs):
+        for p in range(len(docs[i]) - window + 1):
+            first.setdefault(tuple(docs[i][p:p + window]), i)
+    out = {}
+    for i, w in docs.items():
+        gone = set()
+        for p in range(len(w) - window + 1):
+            if first[tuple(w[p:p + window])] < i:
+                gone.update(range(p, p + window))
+        out[i] = len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)
+    return out
