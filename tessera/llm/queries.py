@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import langid
 from .common import load
 from .hyperminhash import near_duplicates
 from .license_scan import license_scan
@@ -24,6 +25,13 @@ def op4_suffix_array_dedup(spark, d):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_ecoc_language_id(spark, d):
+    docs = load(spark, d, "documents")
+    model = langid.fit(docs.where(~langid.held_out()).select("lang", "text"))
+    return langid.predict(docs, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op6_rabin_karp_dedup(spark, d):
     return window_dedup(load(spark, d, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
