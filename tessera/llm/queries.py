@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import langid
 from .common import load
+from .decontaminate import decontaminate
 from .hyperminhash import near_duplicates
 from .license_scan import license_scan
 from .minhash import edit_fingerprints
@@ -45,5 +46,12 @@ def op9_license_scan(spark, d):
     return license_scan(load(spark, d, "documents")).drop("spans")
 
 
+def op10_benchmark_decontamination(spark, d):
+    return decontaminate(load(spark, d, "documents"), load(spark, d, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+        F.size("near_item_ids").cast("bigint").alias("n_near_items"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
 SQL: dict[str, str] = {}

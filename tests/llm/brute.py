@@ -103,3 +103,24 @@ def word_dedup(rows, window=50):
                 gone.update(range(p, p + window))
         out[i] = len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)
     return out
+
+
+def contamination(rows, items, window=10):
+    """doc_id -> (words, hit words, items, joined ids), rows = [(doc_id, text)], items = [(item_id, text)]."""
+    index = {}
+    for i, t in items:
+        w = alnum_words(t)
+        for p in range(max(1, len(w) - window + 1) if w else 0):
+            index.setdefault(tuple(w[p:p + window]), set()).add(str(i))
+    sizes = {len(k) for k in index}
+    out = {}
+    for i, t in rows:
+        w, hit, found = alnum_words(t), set(), set()
+        for n in sizes:
+            for p in range(len(w) - n + 1):
+                got = index.get(tuple(w[p:p + n]))
+                if got:
+                    found |= got
+                    hit.update(range(p, p + n))
+        out[i] = len(w), len(hit), len(found), ",".join(sorted(found))
+    return out
