@@ -5,9 +5,12 @@ Each applies one operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from . import langid
+from .bpe import encode
 from .common import load
 from .decontaminate import decontaminate
 from .hyperminhash import near_duplicates
@@ -38,6 +41,15 @@ def op6_rabin_karp_dedup(spark, d):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def op7_transducer_bpe(spark, d):
+    return encode(load(spark, d, "documents"), f"{TOKENIZERS}/word_bpe_49k.json").select(
+        "doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_hyperminhash_dedup(spark, d):
     return near_duplicates(load(spark, d, "documents"))
 
