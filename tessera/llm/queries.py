@@ -9,7 +9,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, toxicity
 from .bpe import encode
 from .common import load
 from .decontaminate import decontaminate
@@ -24,6 +24,12 @@ def op1_minhash_fingerprints(spark, d):
     return edit_fingerprints(load(spark, d, "documents"))
 
 
+def op3_noisy_channel_toxicity(spark, d):
+    docs, labels = load(spark, d, "documents"), load(spark, d, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_suffix_array_dedup(spark, d):
     return substring_dedup(load(spark, d, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
