@@ -17,13 +17,24 @@ from .hyperminhash import near_duplicates
 from .license_scan import license_scan
 from .minhash import edit_fingerprints
 from .suffix_dedup import substring_dedup
+from .token_counts import section_tokens
 from .window_dedup import window_dedup
 
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
 
 def op1_minhash_fingerprints(spark, d):
     return edit_fingerprints(load(spark, d, "documents"))
 
 
+# Fixed value: the splitting pattern of the byte-level vocabulary.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def op2_section_token_counts(spark, d):
+    return section_tokens(load(spark, d, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_PATTERN)
+
+
 def op3_noisy_channel_toxicity(spark, d):
     docs, labels = load(spark, d, "documents"), load(spark, d, "labels")
     model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
@@ -47,9 +58,6 @@ def op6_rabin_karp_dedup(spark, d):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
-
 def op7_transducer_bpe(spark, d):
     return encode(load(spark, d, "documents"), f"{TOKENIZERS}/word_bpe_49k.json").select(
         "doc_id", "n_tokens", F.sha2("ids_le", 256).alias("ids_sha256"),
