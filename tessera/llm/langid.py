@@ -44,14 +44,14 @@ _LETTER[0x80:] = np.arange(0x80, 0x100)
 def codewords(n: int) -> np.ndarray:
     """int8[n, bits] of +1/-1 codewords.
 
-    Up to five languages: the exhaustive code (every split of the languages,
+    Up to seven languages: the exhaustive code (every split of the languages,
     once).  Beyond: pseudo-random columns, keeping those that split the
     languages and differ from each other, with a distance of about half the
     bits between any two languages.
     """
     if n < 2:
         return np.ones((n, 1), np.int8)
-    if n <= 5:
+    if n <= 7:
         cols = [c for c in itertools.product((1, -1), repeat=n) if c[0] == 1 and -1 in c]
         return np.array(cols, np.int8).T
     rng, cols, seen = np.random.RandomState(n), [], set()
@@ -59,7 +59,7 @@ def codewords(n: int) -> np.ndarray:
     while len(cols) < bits:
         c = rng.permutation(np.where(np.arange(n) < n // 2, 1, -1))
         c = tuple((c * c[0]).tolist())
-        if c not in seen or len(seen) >= 2 ** (n - 2):
+        if c not in seen:
             seen.add(c)
             cols.append(c)
     return np.array(cols, np.int8).T
