@@ -14,11 +14,12 @@ unless neither has a shingle there.
    is paired with the smallest member only.
 3. Pairs whose collision-corrected similarity estimate is within reach are
    verified on the full sets; verified links give components.
-4. Buckets whose members are then still in different components are finished
-   exactly: they are dealt into blocks, each pair of blocks is compared by
-   one task, and every pair of different components within reach of the
-   estimate is verified too.  So no link between different sets is lost to
-   step 2.
+4. Components that still share a band bucket form a family.  Its documents
+   are dealt into blocks; one task compares a pair of blocks, verifying every
+   pair of different components within reach of the estimate on the full
+   sets, until they are joined.  Only links that join something leave the
+   task.  So no link between components is lost to step 2, and no group is
+   expanded into pairs.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ PERCENT = 85             # linked when 100 * intersection >= PERCENT * union
 SEEDS, BUCKETS = 32, 4
 REGISTERS = SEEDS * BUCKETS
 MANTISSA = 10
-BLOCK_ROWS = 256         # rows of a band bucket compared with each other by one task
+BLOCK_ROWS = 256         # documents of a block; one task compares two blocks
 
 _rng = np.random.RandomState(987654321)
 _MUL = _rng.randint(0, 2**63 - 1, SEEDS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -195,40 +196,79 @@ def _within_reach(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def _rest_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
-    """Possible pairs of different components inside open buckets.
+def _open_blocks(members: DataFrame, comp: DataFrame) -> DataFrame | None:
+    """(family, x, y, blk, d, comp): documents still to be compared, dealt to
+    pairs of blocks; None if every band bucket lies in one component.
 
-    ``open_rows(band, d, comp, n_rows, regs)``.  A bucket of more than
-    ``BLOCK_ROWS`` rows is dealt into blocks; a row goes to every pair of
-    blocks that its own block is part of.
+    A family is a set of components that open buckets hold together.  Its
+    documents are dealt into blocks of about ``BLOCK_ROWS``: a large component
+    fills blocks of its own, small ones share some.  A document goes to each
+    pair of blocks that its block is part of, but for pairs inside one large
+    component.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_rows") / BLOCK_ROWS)).cast("int")
-    rows = open_rows.withColumn("nb", blocks) \
-                    .withColumn("own", F.pmod(F.xxhash64("d"), F.col("nb")).cast("int")) \
-                    .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-                    .withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other"))
+    labelled = members.join(comp.withColumnRenamed("node", "d"), "d", "left") \
+                      .select("band", "d", F.coalesce("component", "d").alias("comp"))
+    several = labelled.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
+    rows = stored(labelled.join(several.select("band", "c0"), "band").select("d", "comp", "c0").distinct(), "open")
+    if not rows.limit(1).count():
+        return None
+    families = connected_components(rows.select(F.col("c0").alias("a"), F.col("comp").alias("b")))
+    held = rows.select("d", "comp").distinct() \
+               .join(families.select(F.col("node").alias("comp"), F.col("component").alias("family")), "comp")
+    held = stored(held, "open")
+    of_comp = held.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n")) \
+                  .withColumn("own", F.when(F.col("n") >= BLOCK_ROWS, F.col("comp")))
+    crowd = of_comp.groupBy(F.col("family").alias("f2"), F.col("own").alias("o2")).agg(F.sum("n").alias("n_own"))
+    sized = of_comp.join(crowd, (F.col("family") == F.col("f2")) & F.col("own").eqNullSafe(F.col("o2"))) \
+                   .select("comp", "own", "n_own")
+    deal = F.when(F.col("own").isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("d"))
+    held = held.join(sized, "comp") \
+               .withColumn("blk", F.xxhash64("own", F.pmod(deal, F.ceil(F.col("n_own") / BLOCK_ROWS)))) \
+               .select("family", "d", "comp", "own", "blk")
+    blocks = held.select("family", "own", "blk").distinct()
+    other = blocks.select("family", F.col("own").alias("own2"), F.col("blk").alias("y"))
+    pairs = blocks.withColumnRenamed("blk", "x").join(other, "family").where("x <= y") \
+                  .where(F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("own2")))
+    sent = pairs.select("family", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("blk"))
+    return held.select("family", "blk", "d", "comp").join(sent, ["family", "blk"])
+
+
+def _rest_links(dealt: DataFrame, regs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components, found block by block: only as many
+    as are needed to join what belongs together leave a task."""
 
     def run(table: pa.Table) -> pa.Table:
-        d, comp = table["d"].to_numpy(), table["comp"].to_numpy()
-        own = table["own"].to_numpy()
+        d, comp, blk = (table[c].to_numpy() for c in ("d", "comp", "blk"))
         x, y = table["x"][0].as_py(), table["y"][0].as_py()
         regs = np.frombuffer(b"".join(table["regs"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        left = np.flatnonzero(own == x)
-        right = left if x == y else np.flatnonzero(own == y)
+        sets = [np.frombuffer(s, np.uint64) for s in table["set"].to_pylist()]
+        size = np.array([len(s) for s in sets])
+        label = comp.copy()
+        left, right = np.flatnonzero(blk == x), np.flatnonzero(blk == y)
         a, b = [], []
         for i in left:
-            j = right[comp[right] != comp[i]]
+            j = right[label[right] != label[i]]
             if x == y:
-                j = j[d[j] > d[i]]
-            if len(j):
-                j = j[_possible(regs[i][None, :], regs[j], percent)]
-                a.append(np.minimum(d[i], d[j]))
-                b.append(np.maximum(d[i], d[j]))
-        return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64),
-                         "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
-
-    return rows.select("band", "x", "y", "own", "d", "comp", "regs").groupBy("band", "x", "y") \
-               .applyInArrow(run, "a bigint, b bigint").distinct()
+                j = j[j > i]
+            j = j[100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])]
+            if not len(j):
+                continue
+            near = likeness(regs[i][None, :], regs[j])
+            ok = _possible(regs[i][None, :], regs[j], percent)
+            for k in j[ok][np.argsort(-near[ok], kind="stable")].tolist():
+                if label[k] == label[i]:
+                    continue
+                u, v = (sets[i], sets[k]) if size[i] <= size[k] else (sets[k], sets[i])
+                same = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+                if 100 * same >= percent * (len(u) + len(v) - same):
+                    a.append(d[i])
+                    b.append(d[k])
+                    label[label == label[k]] = label[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    full = dealt.join(regs, "d").join(sets, "d")
+    return full.select("family", "x", "y", "blk", "d", "comp", "regs", "set") \
+               .groupBy("family", "x", "y").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -269,16 +309,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stored(_verified(pairs, sets, percent), "links")
     comp = stored(connected_components(links), "components")
 
-    # step 4: buckets that still hold several components
-    labelled = members.join(comp.withColumnRenamed("node", "d"), "d", "left") \
-                      .select("band", "d", "n_rows", F.coalesce("component", "d").alias("comp"))
-    several = labelled.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")) \
-                      .where("c0 < c1").select("band")
-    open_rows = labelled.join(several, "band").join(regs, "d")
-    rest = _rest_pairs(open_rows, percent).join(pairs, ["a", "b"], "leftanti")
-    more = stored(_verified(rest, sets, percent), "links")
-    if more.limit(1).count():
-        comp = stored(connected_components(links.union(more)), "components")
+    dealt = _open_blocks(members, comp)      # step 4
+    if dealt is not None:
+        more = stored(_rest_links(dealt, regs, sets, percent), "links")
+        if more.limit(1).count():
+            comp = stored(connected_components(links.union(more)), "components")
 
     found = of_row.select("lo", "hi", "n", "d", "rep").distinct() \
                   .join(comp.withColumnRenamed("node", "rep"), "rep", "left") \
