@@ -108,6 +108,8 @@ def _prefixes(keys: list[bytes]) -> np.ndarray:
         return out
     lens = np.array([len(k) for k in keys])
     width = int(lens.max())
+    if not width:
+        return out
     for c in range(0, n, 20000):
         part = keys[max(c - 1, 0):c + 20000]
         m = np.frombuffer(b"".join(k.ljust(width, b"\0") for k in part), np.uint8).reshape(len(part), width)
@@ -425,9 +427,11 @@ def merge_gaps(gaps: DataFrame, parts: int) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+                    window: int = WINDOW, gram: int = GRAM, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (the
-    remaining bytes), spans (maximal removed runs, byte offsets).
+    remaining bytes), kept_text (the same as text, without characters that were
+    cut in half; null stays null), spans (maximal removed runs, byte offsets),
+    and a struct ``extra`` of the input columns named in ``keep``.
 
     A byte goes if a ``window``-byte string that covers it also starts earlier:
     in a smaller doc_id, or earlier in the same document.  Matches stay inside
@@ -455,12 +459,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .applyInArrow(_merge_bucket(window, gram), "d bigint, k int, a bigint, b bigint")
     spans = stored(merge_gaps(gaps, buckets), "gaps")
     side = small_side(spans, 32, "spans")
-    rows = source.join(side, (source["doc_id"] == side["d"]) & (source["k"] == side["k"]), "left") \
-                 .select(source["doc_id"], "text", "spans")
+    whole = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(MAX_ID)).alias("doc_id"),
+                        F.col(text_col).cast("string").alias("text"),
+                        F.hash(F.col(text_col).cast("string")).alias("k"),
+                        F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("extra"))
+    rows = whole.join(side, (whole["doc_id"] == side["d"]) & (whole["k"] == side["k"]), "left") \
+                .select(whole["doc_id"], "text", "spans", "extra")
+    kept_type = rows.schema["extra"].dataType
 
     def cut(batches):
         for batch in batches:
             ids, col, gaps_of = tb.ids(batch, "doc_id"), tb.column(batch, "text"), batch.column(2)
+            null = np.asarray(batch.column(1).is_null())
             for i, j, buf, offs in tb.blocks(col):
                 raw, n_removed, n_spans, kept, spans_of = buf.tobytes(), [], [], [], []
                 for r in range(j - i):
@@ -483,13 +493,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     n_spans.append(len(pairs))
                     spans_of.append([{"first": a, "end": b} for a, b in pairs.tolist()])
                 id_ = ids[i:j]
+                texts = [None if x else t.decode("utf-8", "ignore") for t, x in zip(kept, null[i:j])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(id_, mask=id_ == MAX_ID), pa.array(np.diff(offs)), pa.array(n_removed, pa.int64()),
-                    pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans_of, SPANS)],
-                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
-
-    return rows.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
-                                "kept binary, spans array<struct<first:bigint,end:bigint>>")
+                    pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary()), pa.array(texts, pa.string()),
+                    pa.array(spans_of, SPANS),
+                    batch.column(3).slice(i, j - i)],
+                    ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans", "extra"])
+
+    out = rows.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, "
+                               f"kept_text string, spans array<struct<first:bigint,end:bigint>>, extra {kept_type.simpleString()}")
+    return out if keep else out.drop("extra")
 
 
 SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
