@@ -22,6 +22,7 @@ import json
 import tempfile
 import unicodedata
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ HELD_WORDS = 400_000       # words a task remembers, or counts before it hands t
 LONG_WORD = 200            # symbols beyond which a word is merged by a heap
 NO_RANK = np.int64(1 << 40)
 
-# Unicode white space (what the splitting pattern's \s stands for)
-_SPACE = r"\t-\r\x20\x85\xa0  -     　"
+# Unicode white space (what the splitting pattern's \\s stands for)
+_SPACE = "".join((r"\t-\r\x20\x85\xa0", "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+_PRIVATE = 0xF0000         # private-use characters stand in for those of UnicodeGaps.others
 
 
 def _byte_chars() -> list[str]:
@@ -49,10 +51,31 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+class UnicodeGaps(NamedTuple):
+    """Characters newer than this Python's tables, as the tokenizers library
+    sees them: those it takes for neither letters nor numbers, and lower case
+    forms that ``str.lower`` lacks."""
+    others: str
+    lower: dict[str, str]
+
+    @classmethod
+    def of(cls, vocab_path: str) -> UnicodeGaps:
+        new = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"
+               and regex.match(r"[\p{L}\p{N}]", chr(c))]
+        try:
+            from tokenizers import Tokenizer
+        except ImportError:
+            return cls("".join(new), {})
+        library = Tokenizer.from_file(vocab_path)
+        split, normal = library.pre_tokenizer.pre_tokenize_str, library.normalizer.normalize_str
+        lower = {c: normal(c) for c in new}
+        return cls("".join(c for c in new if len(split(":" + c)) == 1), {c: x for c, x in lower.items() if x != c})
+
+
 class Vocabulary:
     """Merge table, initial symbols and token strings of a vocabulary file."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, gaps: UnicodeGaps = UnicodeGaps("", {})):
         spec = json.loads(text)
         model = spec["model"]
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
@@ -81,6 +104,10 @@ class Vocabulary:
         self.tokens.update({i: t.encode() for t, i in self.special.items()})
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern.replace(r"\s", _SPACE))
+        self.gap = regex.compile("[" + gaps.others + "".join(gaps.lower) + "]") if gaps.others or gaps.lower else None
+        self.lower = str.maketrans(gaps.lower)
+        self.stand_in = {ord(c): _PRIVATE + i for i, c in enumerate(gaps.others)}
+        self.back = {v: k for k, v in self.stand_in.items()}
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") \
             if self.special else None
 
@@ -99,6 +126,9 @@ class Vocabulary:
         if not text.isascii():
             # one character at a time there is no final-sigma rule
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if self.gap and self.gap.search(text):
+                words = self.pattern.findall(text.lower().translate(self.lower).translate(self.stand_in))
+                return [w.translate(self.back) for w in words]
         return self.pattern.findall(text.lower())
 
     # -- exact merging ----------------------------------------------------
@@ -328,10 +358,10 @@ class Encoder:
 
 
 def count_words(docs: DataFrame, vocab) -> DataFrame:
-    """(word, n) over all documents; ``vocab`` is the broadcast file text."""
+    """(word, n) over all documents; ``vocab`` broadcasts Vocabulary's arguments."""
 
     def run(batches):
-        v, counts = Vocabulary(vocab.value), Counter()
+        v, counts = Vocabulary(*vocab.value), Counter()
         for batch in batches:
             for text in tb.column(batch, "text"):
                 counts.update(v.words(text.as_py()))
@@ -348,11 +378,11 @@ def _counted(counts: Counter) -> pa.RecordBatch:
                                       pa.schema([("word", pa.string()), ("n", pa.int64())]))
 
 
-def build_lexicon(docs: DataFrame, vocab_text: str, size: int = LEXICON_WORDS) -> Transducer:
+def build_lexicon(docs: DataFrame, vocab: tuple, size: int = LEXICON_WORDS) -> Transducer:
     """Transducer of the ``size`` most frequent words (a bounded number reaches the driver)."""
     sc = docs.sparkSession.sparkContext
-    v = Vocabulary(vocab_text)
-    top = count_words(docs, sc.broadcast(vocab_text)).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    v = Vocabulary(*vocab)
+    top = count_words(docs, sc.broadcast(vocab)).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
     words = [r["word"].encode() for r in top if r["word"] not in v.special]
     return Transducer.compile(dict(zip(words, v.merge(words))))
 
@@ -370,13 +400,13 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     """
     docs = documents(docs, id_col, text_col)
     with open(vocab_path, encoding="utf-8") as f:
-        vocab_text = f.read()
+        spec = f.read(), UnicodeGaps.of(vocab_path)
     sc = docs.sparkSession.sparkContext
-    vocab = sc.broadcast(vocab_text)
-    lexicon = sc.broadcast(build_lexicon(docs, vocab_text, lexicon_words).to_bytes())
+    vocab = sc.broadcast(spec)
+    lexicon = sc.broadcast(build_lexicon(docs, spec, lexicon_words).to_bytes())
 
     def run(batches):
-        v = Vocabulary(vocab.value)
+        v = Vocabulary(*vocab.value)
         enc = Encoder(v, Transducer.mapped(lexicon.value))
         for batch in batches:
             ids, col = batch.column(0), tb.column(batch, "text")
