@@ -13,7 +13,8 @@ once into the shared checkpoint folder and bucketed by node id:
   + hot sources (out-degree above an average bucket, at most #buckets of
     them) are kept in a separate plain table joined with the broadcast hot
     part of the frontier, so one hot node never becomes one huge task
-  -> per reached node: min(struct(parent, path))      (partial aggregation)
+  -> per reached node: min(parent)                    (hash aggregate, map-side
+            combined); the parent's path is joined back from the frontier
   -> LEFT ANTI JOIN visited ON node                   (visited not shuffled)
   -> append as partition distance = hop
 
@@ -22,7 +23,9 @@ edge table or everything visited so far, and lineage is one hop deep (each
 hop reads tables, not the previous hop's plan); a lost executor costs at
 most the current hop.  The parent of a node is the smallest frontier node
 reaching it at its distance and its path is the parent's path plus
-itself, so distances, parents and paths are deterministic.
+itself, so distances, parents and paths are deterministic.  The tables are
+registered for the search only: both catalog entries and the edge files are
+dropped at its end, the visited files are the result.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from .joins import materialize
 
 VISITED_SCHEMA = StructType([
@@ -58,13 +61,18 @@ def edges_from_adjacency(lines: DataFrame, line_col: str = "value") -> DataFrame
              .where(F.col("source").isNotNull() & F.col("node").isNotNull()))
 
 
-def _bucketed(df: DataFrame, name: str, key: str, buckets: int, mode: str = "errorifexists",
+BUCKET_BYTES = 128 << 20   # aimed size of one bucket of the edge table
+EDGE_BYTES = 16            # two ids
+
+
+def _bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None,
               partition_by: str | None = None) -> None:
-    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    """Create the table at ``path``, or append to it where none is given."""
+    w = df.write.mode("errorifexists" if path else "append").bucketBy(buckets, key).sortBy(key)
     if partition_by:
         w = w.partitionBy(partition_by)
-    if mode != "append":  # an append goes to the table's existing folder
-        w = w.option("path", scratch_path(df.sparkSession, name))
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
@@ -78,9 +86,10 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     (hop, known nodes after the hop).  Stops early when a hop adds nothing
     or when ``destination`` has been reached.  With ``snapshot_dir`` the
     known nodes are written as CSV after every hop (``iter-<hop>``).
+    ``buckets`` defaults to the measured edge bytes over ``BUCKET_BYTES``,
+    and at least the cluster's cores.
     """
     spark: SparkSession = edges.sparkSession
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = uuid.uuid4().hex[:12]
     e_name, v_name = f"tessera_bfs_edges_{tag}", f"tessera_bfs_visited_{tag}"
 
@@ -94,6 +103,7 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     # as a plain table that scans in size-balanced splits.
     deg = e_all.groupBy("_src").agg(F.count(F.lit(1)).alias("_deg"))
     total, top = deg.agg(F.sum("_deg"), F.max("_deg")).first()
+    nb = buckets or max(spark.sparkContext.defaultParallelism, -(-(total or 0) * EDGE_BYTES // BUCKET_BYTES))
     limit = max(1, (total or 0) // nb)
     n_hot, hot = 0, None
     if (top or 0) > limit:
@@ -102,9 +112,10 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     e_reg = e_all.join(F.broadcast(hot), "_src", "left_anti") if n_hot else e_all
     # hash-partitioning on _src already clusters (_src, _dst), so distinct
     # adds no shuffle, and each task then writes exactly one bucket file
-    _bucketed(e_reg.repartition(nb, "_src").distinct(), e_name, "_src", nb)
+    e_path, v_path = scratch_path(spark, "bfs-edges"), scratch_path(spark, "bfs-visited")
+    _bucketed(e_reg.repartition(nb, "_src").distinct(), e_name, "_src", nb, e_path)
     e = spark.table(e_name)
-    e_hot = None
+    e_hot, hot_path = None, None
     if n_hot:
         hot_path = scratch_path(spark, "bfs-hot-edges")
         e_all.join(F.broadcast(hot), "_src", "left_semi").distinct().write.parquet(hot_path)
@@ -112,7 +123,7 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
         hot_ids = F.broadcast(hot.withColumnRenamed("_src", "_hot"))
 
     start = spark.createDataFrame([(int(source), None, [int(source)], 0)], VISITED_SCHEMA)
-    _bucketed(start, v_name, "node", nb, partition_by="distance")
+    _bucketed(start, v_name, "node", nb, v_path, partition_by="distance")
     known = 1
     counts = [(0, known)]
     found = destination is not None and int(destination) == int(source)
@@ -123,19 +134,18 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
             break
         visited = spark.table(v_name)
         frontier = visited.where(F.col("distance") == hop - 1)
-        pairs = frontier.join(e, frontier["node"] == e["_src"]).select("node", "path", "_dst")
+        pairs = frontier.join(e, frontier["node"] == e["_src"]).select("node", "_dst")
         if e_hot is not None:
             # frontier nodes that are hot: at most n_hot rows -> broadcast
             f_hot = frontier.join(hot_ids, frontier["node"] == F.col("_hot"), "left_semi")
             pairs = pairs.unionByName(
                 F.broadcast(f_hot).join(e_hot, F.col("node") == e_hot["_src"])
-                 .select("node", "path", "_dst"))
-        reached = (pairs.groupBy(F.col("_dst").alias("node"))
-                   .agg(F.min(F.struct(F.col("node").alias("p"), F.col("path").alias("pp")))
-                        .alias("_b")))
+                 .select("node", "_dst"))
+        reached = pairs.groupBy(F.col("_dst").alias("node")).agg(F.min("node").alias("parent"))
+        paths = frontier.select(F.col("node").alias("_p"), F.col("path").alias("_path"))
         new = (reached.join(visited.select("node"), "node", "left_anti")
-               .select("node", F.col("_b.p").alias("parent"),
-                       F.concat(F.col("_b.pp"), F.array(F.col("node"))).alias("path"),
+               .join(paths, F.col("parent") == F.col("_p"))
+               .select("node", "parent", F.concat("_path", F.array("node")).alias("path"),
                        F.lit(hop).alias("distance")))
         # the hop's row count (and whether the destination arrived) are
         # observed while the rows are written: no separate counting job
@@ -143,7 +153,7 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
         dest_hit = (F.col("node") == F.lit(destination)) if destination is not None else F.lit(False)
         new = new.observe(obs, F.count(F.lit(1)).alias("n"),
                           F.max(dest_hit.cast("int")).alias("hit"))
-        _bucketed(new, v_name, "node", nb, mode="append", partition_by="distance")
+        _bucketed(new, v_name, "node", nb, partition_by="distance")
         n_new = obs.get["n"]
         if n_new == 0:
             break
@@ -152,18 +162,18 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
         if snapshot_dir:
             _snapshot(spark.table(v_name), f"{snapshot_dir}/iter-{hop}")
         found = destination is not None and obs.get["hit"] == 1
-    return spark.table(v_name), counts
+    result = spark.read.schema(VISITED_SCHEMA).parquet(v_path)
+    for name in (e_name, v_name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for path in filter(None, (e_path, hot_path)):
+        delete_path(spark, path)
+    return result, counts
 
 
 def _snapshot(visited: DataFrame, path: str) -> None:
     visited.select("node", "parent", "distance").write.mode("overwrite").csv(path)
 
 
-def hop_counts_frame(spark: SparkSession, counts) -> DataFrame:
-    """(hop, known) table of at most ``max_hops + 1`` rows."""
-    return spark.createDataFrame([(int(h), int(k)) for h, k in counts], "hop int, known bigint")
-
-
 def path_to(visited: DataFrame, destination) -> DataFrame:
     """(step, node) from the source (step 0) to ``destination``; empty when
     the destination was not reached."""

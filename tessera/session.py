@@ -8,7 +8,6 @@ the master is local (tests, laptops) do we create one under /tmp.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,14 +81,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder through Spark's own file systems."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (local mode only) for Python-side checks."""
     return path[5:] if path.startswith("file:") else path
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
