@@ -1,68 +1,40 @@
-"""Correlation and least squares from exact moment sums.
+"""Correlation and least squares from central moments.
 
-Sums of integers are accumulated as ``decimal(38,0)``: they are exact in
-any order, so the answer does not depend on partitioning, and the only
-rounding is the final cast/sqrt/divide.  Floating inputs are summed as
-doubles (the usual engine behaviour).
+Spark's ``covar_pop``, ``regr_slope`` and ``regr_intercept`` keep running means and
+central moments (merged pairwise), so neither large values nor large offsets
+cancel or overflow, and they also run on streams.  Results are rounded to
+``DIGITS`` significant digits, past which partitioning may show.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
-DEC = "decimal(38,0)"
+DIGITS = 9
 
 
-def _is_float(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
+def significant(c: Column) -> Column:
+    """Rounded to ``DIGITS`` significant digits (null stays null)."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{DIGITS - 1}e", c).cast("double") + F.lit(0.0))
 
 
-def moment_sums(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n, sx, sy, sxx, syy, sxy (rows with a null x or y skipped)."""
-    t = "double" if (_is_float(df, x) or _is_float(df, y)) else DEC
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()) \
-          .select(F.col(x).cast(t).alias("x"), F.col(y).cast(t).alias("y"))
-    return d.agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                 F.sum(F.col("x") * F.col("x")).alias("sxx"),
-                 F.sum(F.col("y") * F.col("y")).alias("syy"),
-                 F.sum(F.col("x") * F.col("y")).alias("sxy"))
+def _points(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) \
+             .where(F.col("x").isNotNull() & F.col("y").isNotNull())
 
 
-def _d(c: Column) -> Column:
-    return c.cast("double")
+def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row (n, r, r2); rows with a null are skipped, r is null where x or y is constant."""
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    m = _points(df, x, y).agg(F.count(F.lit(1)).alias("n"),
+                              F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
+    return m.select("n", significant(F.col("r")).alias("r"), significant(F.col("r") * F.col("r")).alias("r2"))
 
 
-def pearson_columns(n, sx, sy, sxx, syy, sxy) -> tuple[Column, Column]:
-    num = _d(n * sxy - sx * sy)
-    den = F.sqrt(_d(n * sxx - sx * sx)) * F.sqrt(_d(n * syy - sy * sy))
-    r = F.when(den != 0, num / den)
-    return r, r * r
-
-
-def pearson_from_moments(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (n, r, r2)."""
-    m = moment_sums(df, x, y)
-    r, r2 = pearson_columns(*(F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")))
-    return m.select("n", r.alias("r"), r2.alias("r2"))
-
-
-def ols_columns(n, sx, sy, sxx, sxy) -> tuple[Column, Column]:
-    """slope = (sxy - sx*sy/n) / (sxx - sx^2/n); intercept = sy/n - slope*sx/n.
-
-    Evaluated in doubles from the sums (exact sums in, one rounding per
-    operation).  Null before any row arrives and for a constant x.
-    """
-    n, sx, sy, sxx, sxy = (_d(c) for c in (n, sx, sy, sxx, sxy))
-    den = sxx - sx * sx / n
-    beta = F.when(den != 0, (sxy - sx * sy / n) / den)
-    alpha = sy / n - beta * sx / n
-    return beta, alpha
-
-
-def ols_from_moments(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row (n, slope, intercept)."""
-    m = moment_sums(df, x, y)
-    beta, alpha = ols_columns(*(F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")))
-    return m.select("n", beta.alias("slope"), alpha.alias("intercept"))
+def ols(df: DataFrame, x: str, y: str) -> DataFrame:
+    """One row (n, slope, intercept); both null without rows or with a constant x."""
+    m = _points(df, x, y).agg(F.count(F.lit(1)).alias("n"), F.regr_slope("y", "x").alias("slope"),
+                              F.regr_intercept("y", "x").alias("intercept"))
+    return m.select("n", significant(F.col("slope")).alias("slope"),
+                    significant(F.when(F.col("slope").isNotNull(), F.col("intercept"))).alias("intercept"))

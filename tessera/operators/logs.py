@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.logs import log_fields, log_time
-from ..functions.stats import pearson_from_moments
+from ..functions.stats import pearson
 from .partitioning import spread
 
 
@@ -70,7 +70,7 @@ def log_correlation(totals: DataFrame, x: str = "requests", y: str = "bytes") ->
     The six sums are exact decimals, so only the final sqrt/divide rounds;
     a single host or a constant column gives null (no divide by zero).
     """
-    return pearson_from_moments(totals, x, y)
+    return pearson(totals, x, y)
 
 
 def total_bytes(logs: DataFrame, nbytes: str = "bytes") -> DataFrame:

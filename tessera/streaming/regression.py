@@ -2,7 +2,7 @@
 
 Source: any ``readStream`` format giving a text ``value`` (Kafka's binary
 value is cast to string; files are read as text).  The state is one row of
-five running sums (a global streaming aggregate, ``update`` mode).  Each
+running central moments (a global streaming aggregate, ``update`` mode).  Each
 micro-batch result is written by ``foreachBatch`` to ``<out>/batch_id=<n>``
 with overwrite, so a batch replayed after a failure rewrites the same
 folder instead of adding rows; the checkpoint makes a restart resume from
@@ -14,25 +14,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.stats import ols_columns
+from ..functions.stats import ols
 
 
 def parse_points(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``"x y"`` -> (x double, y double); malformed text gives nulls, which
-    the sums skip."""
+    the fit skips."""
     parts = F.split(F.col(value_col).cast("string"), " ")
     return lines.select(parts.getItem(0).try_cast("double").alias("x"),
                         F.get(parts, 1).try_cast("double").alias("y"))
 
 
 def running_fit(points: DataFrame) -> DataFrame:
-    """Global running sums -> (n, slope, intercept); works on batch frames too."""
-    ok = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    sums = ok.agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                  F.sum(F.col("x") * F.col("x")).alias("sxx"),
-                  F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    beta, alpha = ols_columns(*(F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")))
-    return sums.select("n", beta.alias("slope"), alpha.alias("intercept"))
+    """Global running fit -> (n, slope, intercept); works on batch frames too.
+    The state holds means and central moments, never raw sums of squares."""
+    return ols(points, "x", "y")
 
 
 def start_regression_stream(spark: SparkSession, source_format: str, options: dict,
@@ -71,16 +67,23 @@ def latest_result(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def run_file_stream(spark: SparkSession, text_dir: str, out_dir: str, checkpoint_dir: str,
-                    files_per_batch: int = 1, timeout_s: float = 600) -> DataFrame:
+                    files_per_batch: int = 64, timeout_s: float | None = None) -> DataFrame:
     """Run the stream over a folder of text files to completion and return
-    the final (n, slope, intercept)."""
+    the final (n, slope, intercept).
+
+    There is no time limit unless one is given; a stream that is still
+    running when it ends is stopped and ``TimeoutError`` is raised, so a
+    partial fit is never returned.
+    """
     q = start_regression_stream(spark, "text", {"maxFilesPerTrigger": str(files_per_batch)},
                                 out_dir, checkpoint_dir, path=text_dir)
     try:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if timeout_s is not None and not ended:
+        raise TimeoutError(f"the stream was not done after {timeout_s} s")
     return latest_result(spark, out_dir)

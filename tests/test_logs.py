@@ -53,7 +53,7 @@ def test_correlation_matches_numpy(spark):
     xs, ys = [1, 2, 3, 4, 7], [10, 25, 29, 41, 80]
     df = spark.createDataFrame(list(zip(xs, ys)), "requests long, bytes long")
     (n, r, r2), = [tuple(x) for x in log_correlation(df).collect()]
-    assert n == 5 and abs(r - np.corrcoef(xs, ys)[0, 1]) < 1e-12 and abs(r2 - r * r) < 1e-15
+    assert n == 5 and abs(r - np.corrcoef(xs, ys)[0, 1]) < 1e-8 and abs(r2 - r * r) < 1e-8
 
 
 def test_single_host_gives_null(spark):

@@ -23,7 +23,7 @@ def test_stream_equals_batch_and_restart_does_not_double_count(spark, tmp_path):
     _write(src, "a.txt", ["1 3", "2 5", "3 7.5"])
     _write(src, "b.txt", ["4 9", "oops", "5 x"])        # malformed text is skipped
     _write(src, "c.txt", [])                             # empty file
-    res = run_file_stream(spark, src, out, ckpt).collect()[0]
+    res = run_file_stream(spark, src, out, ckpt, files_per_batch=1).collect()[0]
     exp = _batch(spark, src)
     assert res.n == 4 == exp.n
     assert res.slope == pytest.approx(exp.slope) and res.intercept == pytest.approx(exp.intercept)
@@ -50,3 +50,36 @@ def test_memory_sink_update_mode(spark, tmp_path):
     q.awaitTermination(120)
     r = spark.sql("SELECT * FROM regression").collect()[-1]
     assert r.n == 3 and r.slope == pytest.approx(2.0) and r.intercept == pytest.approx(0.0)
+
+
+def test_timeout_raises_instead_of_a_partial_fit(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for i in range(40):
+        _write(src, f"{i}.txt", [f"{i} {2 * i}"])
+    with pytest.raises(TimeoutError):
+        run_file_stream(spark, src, str(tmp_path / "out"), str(tmp_path / "ck"), files_per_batch=1, timeout_s=1)
+
+
+def test_fit_far_from_the_origin(spark):
+    """x near 1e9: exact integer arithmetic against the running moments."""
+    from fractions import Fraction
+    df = spark.range(20000).selectExpr("cast(id + 1000000000 AS double) AS x",
+                                       "cast(3 * (id + 1000000000) + id % 7 AS double) AS y").repartition(5)
+    n, sx, sy, sxx, sxy = 20000, 0, 0, 0, 0
+    for i in range(n):
+        x, y = i + 10**9, 3 * (i + 10**9) + i % 7
+        sx, sy, sxx, sxy = sx + x, sy + y, sxx + x * x, sxy + x * y
+    slope = Fraction(n * sxy - sx * sy, n * sxx - sx * sx)
+    r = running_fit(df).first()
+    assert r.slope == pytest.approx(float(slope), rel=5e-9)
+    # 1e9 away from the data: one part in 1e9 of the slope is worth 1 here
+    assert r.intercept == pytest.approx(float((sy - slope * sx) / n), abs=1.0)
+
+
+def test_correlation_of_huge_values(spark):
+    """Sums of squares past 1e38 neither overflow nor fail."""
+    from tessera.functions.stats import pearson
+    df = spark.range(1000).selectExpr("id AS x", "cast(id AS decimal(38,0)) * 500000000000000000 + id % 3 AS y")
+    r = pearson(df, "x", "y").first()
+    assert r.n == 1000 and r.r == pytest.approx(1.0)
+    assert pearson(df.selectExpr("x", "1 AS y"), "x", "y").first().r is None
