@@ -6,6 +6,8 @@ The regular expressions below run unchanged in Java (Spark) and RE2
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,9 +37,26 @@ SPACE_RUN_JAVA = rf"[\s{_JAVA_EXTRA}]+"
 DELIM_RUN_JAVA = rf"[{PUNCT_RANGES}\s{_JAVA_EXTRA}]+"
 
 
+@lru_cache(maxsize=1)
+def special_folds() -> tuple[tuple[str, str], ...]:
+    """(character, its ``upper().lower()``) where one character becomes
+    several, e.g. sharp s or a ligature: the engines map one to one, Python
+    does not.  About 100 characters, by rule instead of as a table."""
+    return tuple((c, c.upper().lower()) for c in map(chr, range(0x80, 0x20000))
+                 if len(c.upper()) > 1 or len(c.lower()) > 1)
+
+
+FINAL_SIGMA = r"(\p{L})σ([^\p{L}]|$)"      # a word's last sigma is written ς
+
+
 def case_fold(c: Column) -> Column:
-    """``upper`` then ``lower``, as the word counts do."""
-    return F.lower(F.upper(c))
+    """Python's ``upper().lower()``; ASCII text needs no special mapping."""
+    plain = F.lower(F.upper(c))
+    folded = c
+    for char, to in special_folds():
+        folded = F.replace(folded, F.lit(char), F.lit(to))
+    folded = F.regexp_replace(F.lower(F.upper(folded)), FINAL_SIGMA, "$1ς$2")
+    return F.when(F.octet_length(c) == F.char_length(c), plain).otherwise(folded)
 
 
 def strip_punctuation(c: Column) -> Column:
@@ -81,10 +100,6 @@ def format_count_line(word: Column, count: Column) -> Column:
     return F.format_string("%s %d", word, count)
 
 
-def tab_line(*cols: Column) -> Column:
-    return F.concat_ws("\t", *cols)
-
-
 # Fixed value: the hour stamp inside a page-count dump path.
 HOUR_PATH_PATTERN = r"/pagecounts-(\d{8}-\d{2})"
 

@@ -16,8 +16,9 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
 
     ``mode='whitespace'`` splits on white space and deletes punctuation;
     ``mode='delimited'`` splits on runs of punctuation or white space.
-    ``keep_empty`` (delimited only) keeps the empty token ``re.split`` makes
-    at line starts/ends, which means splitting texts into lines first.
+    ``keep_empty`` keeps empty words: the one ``re.split`` makes at line
+    starts/ends (delimited; texts are split into lines first), or the one
+    that is left of a token of punctuation only (whitespace).
     ``min_partitions`` spreads a few-split input over more tasks before
     tokenising (the original's ``repartition(8)`` for unbalanced input).
 
@@ -26,14 +27,12 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
     and cannot skew a task); punctuation deletion (whitespace mode) and the
     case fold then run once per *distinct* raw token instead of over every
     character of the text, and a second small aggregate merges tokens that
-    map to the same word.  Both maps are per token (case mapping is per code
-    point and never creates or removes a delimiter), so the result equals
+    map to the same word.  Both maps are per token (case mapping is per
+    word and never creates or removes a delimiter), so the result equals
     applying them to the text first.
     """
     if mode not in ("whitespace", "delimited"):
         raise ValueError(f"unknown mode {mode!r}")
-    if keep_empty and mode != "delimited":
-        raise ValueError("keep_empty applies to mode='delimited' only")
     text = df.select(F.col(text_col).alias("_t"))
     if min_partitions:
         text = spread(text, min_partitions)
@@ -41,12 +40,13 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
         text = text.select(F.explode(split_lines(F.col("_t"))).alias("_t"))
     toks = whitespace_tokens(F.col("_t")) if mode == "whitespace" else delimited_tokens(F.col("_t"))
     raw = text.select(F.explode(toks).alias("_w"))
-    if not keep_empty:
+    if not (keep_empty and mode == "delimited"):
         raw = raw.where(F.col("_w") != "")
     raw_counts = raw.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     if mode == "whitespace":
-        words = raw_counts.select(clean_word(F.col("_w")).alias(word_col), "_n") \
-                          .where(F.col(word_col) != "")       # punctuation-only tokens
+        words = raw_counts.select(clean_word(F.col("_w")).alias(word_col), "_n")
+        if not keep_empty:
+            words = words.where(F.col(word_col) != "")        # punctuation-only tokens
     else:
         words = raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
     return words.groupBy(word_col).agg(F.sum("_n").alias(count_col))

@@ -22,21 +22,20 @@ LINES = [
     "it's a dog's-life; e-mail",
 ]
 
+# Fixed value: the delimiter set, punctuation and white space.
 WORDSEP = re.compile(r"[%s\s]+" % re.escape(string.punctuation))
 
 
 def fold(w):
-    """upper().lower() per code point, except that Spark keeps the German
-    sharp s under upper() where Python maps it to SS (documented difference)."""
-    return "".join(c if c == "ß" else c.upper().lower() for c in w)
+    return w.upper().lower()
 
 
-def py_whitespace(lines):
+def py_whitespace(lines, keep_empty=False):
     c = Counter()
     for line in lines:
         for w in line.split():
             w = fold(w.translate(str.maketrans("", "", string.punctuation)))
-            if w:
+            if w or keep_empty:
                 c[w] += 1
     return c
 
@@ -109,3 +108,15 @@ def test_tokenisers_match_python_on_random_text(spark, lines):
     df = spark.createDataFrame([(t,) for t in lines], "value string")
     assert rows(word_count(df, "value", "whitespace")) == _expected(py_whitespace(lines))
     assert rows(word_count(df, "value", "delimited")) == _expected(py_delimited(lines))
+
+
+def test_special_case_mappings(spark):
+    words = ["Straße", "STRASSE", "ﬁn", "ﬂ", "ŉ", "İ", "ΟΔΟΣ", "οδός", "ΣΣ", "ǰ"]
+    got = dict(rows(word_count(spark.createDataFrame([(" ".join(words),)], "value string"))))
+    assert got == dict(py_whitespace([" ".join(words)]))
+
+
+def test_whitespace_count_keeps_the_empty_word(spark):
+    got = word_count(_frame(spark), keep_empty=True)
+    assert rows(got) == _expected(py_whitespace(LINES, keep_empty=True))
+    assert py_whitespace(LINES, keep_empty=True)[""] > 0
