@@ -14,21 +14,23 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-# Estimated in-memory bytes per value (strings/arrays: a typical short value).
-_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-          T.TimestampNTZType: 8, T.DecimalType: 16}
+ROW_OVERHEAD = 32     # hash relation entry
 
 
-def row_width(schema: T.StructType) -> int:
-    """Rough bytes per row of a schema (hash-relation overhead included)."""
-    def width(dt) -> int:
-        if isinstance(dt, T.StructType):
-            return sum(width(f.dataType) for f in dt.fields)
-        if isinstance(dt, (T.ArrayType, T.MapType)):
-            return 64
-        return _WIDTH.get(type(dt), 32)
-    return 16 + width(schema)
+def row_bytes(schema: T.StructType) -> F.Column:
+    """Measured bytes of a row: the length of every string and binary, 16 for
+    any other flat value, the JSON text for nested ones."""
+    size = F.lit(ROW_OVERHEAD)
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            part = F.octet_length(c)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            part = F.octet_length(F.to_json(F.struct(c)))
+        else:
+            part = F.lit(16)
+        size = size + F.coalesce(part, F.lit(8))
+    return size
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -45,13 +47,12 @@ def broadcast_if_small(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """Return ``(side, broadcast_taken)``.
 
     The side is checkpointed once (so it is not recomputed by the join) and
-    counted from that stored copy; it gets the broadcast hint only when the
-    count is within ``max_rows`` and ``count * row_width`` within
-    ``max_bytes``.  Otherwise the caller's join stays a shuffle join (AQE
-    may still split skewed partitions).
+    counted and measured from that stored copy; it gets the broadcast hint
+    only within both ``max_rows`` and ``max_bytes``.  Otherwise the caller's
+    join stays a shuffle join (AQE may still split skewed partitions).
     """
     side = materialize(small)
-    limit = min(max_rows, max(1, max_bytes // row_width(side.schema)))
-    if side.limit(limit + 1).count() <= limit:
+    rows, size = side.agg(F.count(F.lit(1)), F.sum(row_bytes(side.schema))).first()
+    if rows <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(side), True
     return side, False

@@ -1,17 +1,14 @@
 """Daily temperature-range leader: station(s) with the largest TMAX-TMIN per date.
 
-Result contract (same as joining every TMAX row with every TMIN row of the
-same station and date, then keeping the pairs whose range is the date's
-maximum): one output row per such pair, duplicates included.
-
-Plan: the pair join is never materialised.  Per (station, date) only the
-largest TMAX and the smallest TMIN can form the largest range, so each half
-is first reduced to ``(hi, count of rows at hi)`` / ``(lo, count at lo)``
-with partial aggregation; the halves then join 1:1; the per-date maximum is
-a second small aggregate joined back; and the duplicate pairs are
-re-created at the very end by repeating each leader ``n_hi * n_lo`` times.
-No step enumerates pairs within a key, and a hot date or station is
-combined map-side before any shuffle.
+Joining every TMAX row with every TMIN row of the same station and date and
+keeping the pairs whose range is the date's maximum gives one row per pair.
+Here a leader is one row with its number of ``pairs``; ``repeat=True``
+repeats it that often, as the pair join would.
+
+Plan: one scan and one hash aggregate count the (station, date, observation,
+value) combinations; a second one takes both extremes and their counts per
+(station, date).  That table is stored once; the per-date maximum is a small
+aggregate of it joined back.  No step enumerates pairs within a key.
 """
 
 from __future__ import annotations
@@ -19,38 +16,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
-
-def _extreme_with_count(df: DataFrame, keys: list[str], value: str, largest: bool,
-                        out: str, out_n: str) -> DataFrame:
-    per_value = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    if largest:
-        agg = [F.max(value).alias(out), F.max_by("_n", value).alias(out_n)]
-    else:
-        agg = [F.min(value).alias(out), F.min_by("_n", value).alias(out_n)]
-    return per_value.groupBy(*keys).agg(*agg)
-
-
-def range_leader(obs: DataFrame, scale: float = 10.0) -> DataFrame:
-    """(date, station, range) for every leading pair; ``obs`` has
-    station, date, observation, value, qflag."""
-    clean = obs.where(F.col("qflag").isNull() & F.col("value").isNotNull())
-    keys = ["station", "date"]
-    hi = _extreme_with_count(clean.where(F.col("observation") == "TMAX"), keys, "value",
-                             True, "_hi", "_n_hi")
-    lo = _extreme_with_count(clean.where(F.col("observation") == "TMIN"), keys, "value",
-                             False, "_lo", "_n_lo")
-    best = (hi.join(lo, keys)
-              .select(*keys, ((F.col("_hi") - F.col("_lo")) / F.lit(scale)).alias("range"),
-                      (F.col("_n_hi") * F.col("_n_lo")).alias("_pairs")))
-    per_date = best.groupBy("date").agg(F.max("range").alias("_max")) \
-                   .withColumnRenamed("date", "_d")
+from .joins import broadcast_if_small, materialize
+
+
+def station_ranges(obs: DataFrame, scale: float = 10.0) -> DataFrame:
+    """(station, date, range, pairs) of every station and date with both observations."""
+    clean = obs.where(F.col("qflag").isNull() & F.col("value").isNotNull()
+                      & F.col("observation").isin("TMAX", "TMIN"))
+    per_value = clean.groupBy("station", "date", "observation", "value").agg(F.count(F.lit(1)).alias("_n"))
+    high = F.when(F.col("observation") == "TMAX", F.col("value"))
+    low = F.when(F.col("observation") == "TMIN", F.col("value"))
+    ends = per_value.groupBy("station", "date").agg(
+        F.max(high).alias("_hi"), F.max_by("_n", high).alias("_n_hi"),
+        F.min(low).alias("_lo"), F.min_by("_n", low).alias("_n_lo"))
+    return ends.where("_hi IS NOT NULL AND _lo IS NOT NULL").select(
+        "station", "date", ((F.col("_hi") - F.col("_lo")) / F.lit(scale)).alias("range"),
+        (F.col("_n_hi") * F.col("_n_lo")).alias("pairs"))
+
+
+def range_leader(obs: DataFrame, scale: float = 10.0, repeat: bool = False) -> DataFrame:
+    """(date, station, range, pairs) of every leader; ``obs`` has station,
+    date, observation, value, qflag.  ``repeat`` gives (date, station, range)
+    once per pair instead."""
+    best = materialize(station_ranges(obs, scale))
+    per_date = best.groupBy(F.col("date").alias("_d")).agg(F.max("range").alias("_max"))
     # one row per date: broadcast after a size check, else a stored side
     # that AQE can skew-split when one date holds most stations
     per_date, _ = broadcast_if_small(per_date)
-    leaders = best.join(per_date, (F.col("date") == F.col("_d")) & (F.col("range") == F.col("_max")))
-    return repeat_rows(leaders, "_pairs").select("date", "station", "range")
+    leaders = best.join(per_date, (F.col("date") == F.col("_d")) & (F.col("range") == F.col("_max"))) \
+                  .select("date", "station", "range", "pairs")
+    return repeat_rows(leaders, "pairs").drop("pairs") if repeat else leaders
 
 
 # Rows are re-created in blocks so no generated array exceeds this length.
@@ -69,28 +64,33 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
 
 RANGE_LEADER_SQL = """
-WITH clean AS (
-  SELECT station, date, observation, value FROM {obs}
-  WHERE qflag IS NULL AND value IS NOT NULL
+WITH per_value AS (
+  SELECT station, date, observation, value, count(*) AS n FROM {obs}
+  WHERE qflag IS NULL AND value IS NOT NULL AND observation IN ('TMAX', 'TMIN')
+  GROUP BY station, date, observation, value
 ),
-hi_v AS (SELECT station, date, value, count(*) AS n FROM clean
-         WHERE observation = 'TMAX' GROUP BY station, date, value),
-lo_v AS (SELECT station, date, value, count(*) AS n FROM clean
-         WHERE observation = 'TMIN' GROUP BY station, date, value),
-hi AS (SELECT station, date, max(value) AS hi, max_by(n, value) AS n_hi
-       FROM hi_v GROUP BY station, date),
-lo AS (SELECT station, date, min(value) AS lo, min_by(n, value) AS n_lo
-       FROM lo_v GROUP BY station, date),
-best AS (SELECT hi.station, hi.date, (hi - lo) / {scale}D AS range, n_hi * n_lo AS pairs
-         FROM hi JOIN lo ON hi.station = lo.station AND hi.date = lo.date),
-per_date AS (SELECT date AS d, max(range) AS max_range FROM best GROUP BY date)
-SELECT date, station, range
-FROM best JOIN per_date ON best.date = per_date.d AND best.range = per_date.max_range
-LATERAL VIEW explode(sequence(0L, CAST(ceil(pairs / 4096) AS BIGINT) - 1)) b AS blk
-LATERAL VIEW explode(array_repeat(1, CAST(least(4096L, pairs - blk * 4096) AS INT))) r AS one
+ends AS (
+  SELECT station, date,
+         max(CASE WHEN observation = 'TMAX' THEN value END) AS hi,
+         max_by(n, CASE WHEN observation = 'TMAX' THEN value END) AS n_hi,
+         min(CASE WHEN observation = 'TMIN' THEN value END) AS lo,
+         min_by(n, CASE WHEN observation = 'TMIN' THEN value END) AS n_lo
+  FROM per_value GROUP BY station, date
+)
+SELECT station, date, (hi - lo) / {scale}D AS range, n_hi * n_lo AS pairs
+FROM ends WHERE hi IS NOT NULL AND lo IS NOT NULL
+"""
+
+LEADER_SQL = """
+WITH per_date AS (SELECT date AS d, max(range) AS max_range FROM {best} GROUP BY date)
+SELECT date, station, range, pairs
+FROM {best} AS b JOIN per_date ON b.date = per_date.d AND b.range = per_date.max_range
+ORDER BY date, station
 """
 
 
 def range_leader_sql(spark: SparkSession, obs: DataFrame, scale: float = 10.0) -> DataFrame:
-    """The same plan written as Spark SQL text (``obs`` bound as a view)."""
-    return spark.sql(RANGE_LEADER_SQL, obs=obs, scale=float(scale))
+    """The same two steps as Spark SQL text (frames bound as views), sorted
+    by date and station."""
+    best = materialize(spark.sql(RANGE_LEADER_SQL, obs=obs, scale=float(scale)))
+    return spark.sql(LEADER_SQL, best=best)

@@ -1,7 +1,8 @@
 """Largest value per group: one winner, the value only, all ties, tie list.
 
-All four are built on a hash aggregate with map-side partial maxima, so a
-group holding a third of the rows is reduced before any shuffle.  The
+All four start from a hash aggregate of the fixed-width value with map-side
+partial maxima, so a group holding a third of the rows is reduced before any
+shuffle; only rows that reach the maximum go on.  The
 tie-keeping forms join the (small) per-group maxima back to the rows; the
 maxima side is broadcast only after its row count has been checked.
 """
@@ -27,10 +28,10 @@ def page_filter(df: DataFrame, language: str = "en", main_page: str = "Main_Page
 
 
 def max_by_group_one(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
-    """One winner per group: the max of ``(value, tie)``; ties go to the largest ``tie``."""
-    best = F.max(F.struct(F.col(value).alias("v"), F.col(tie).alias("t")))
-    return (df.groupBy(group).agg(best.alias("_b"))
-              .select(group, F.col("_b.v").alias(value), F.col("_b.t").alias(tie)))
+    """One winner per group: the max of ``(value, tie)``; ties go to the largest
+    ``tie``, resolved among the rows that reach the maximum."""
+    ties = max_by_group_ties(df, group, value, [tie])
+    return ties.groupBy(group, value).agg(F.max(tie).alias(tie))
 
 
 def max_by_group_value(df: DataFrame, group: str, value: str, floor: int | None = 0) -> DataFrame:

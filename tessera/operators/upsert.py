@@ -1,9 +1,9 @@
 """Keyed last-write-wins upsert over whole tables.
 
-A key's surviving row is the one with the greatest ``order`` columns.
-``max(struct(order..., rest...))`` is a hash aggregate with map-side
-partial maxima, so even a key holding a third of the rows is reduced
-before the shuffle and no group is ever gathered whole.
+A key's surviving row is the one with the greatest ``order`` columns.  The
+greatest first order column per key is a hash aggregate with map-side partial
+maxima; joined back it leaves the few rows per key that reach it, and only
+among those is the rest of the order resolved.  No group is gathered whole.
 """
 
 from __future__ import annotations
@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .joins import materialize
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
+    top = materialize(df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+                        .agg(F.max(order[0]).alias("_top")))
+    same = F.col(order[0]).eqNullSafe(F.col("_top"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     best = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
-    return (df.groupBy(*keys).agg(best)
+    return (df.join(top, same).groupBy(*keys).agg(best)
               .select(*keys, *[F.col(f"_w.{c}").alias(c) for c in order + rest])
               .select(*df.columns))
 

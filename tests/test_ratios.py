@@ -62,11 +62,11 @@ def test_broadcast_strategy_plans_a_broadcast(spark):
 
 
 def test_broadcast_check_falls_back_to_shuffle(spark):
-    from tessera.operators.joins import broadcast_if_small, row_width
+    from tessera.operators.joins import ROW_OVERHEAD, broadcast_if_small
     df = spark.range(100).selectExpr("id", "cast(id as string) as s")
     side, taken = broadcast_if_small(df, max_rows=50)
     assert not taken and side.count() == 100
-    side, taken = broadcast_if_small(df, max_bytes=10 * row_width(df.schema))
+    side, taken = broadcast_if_small(df, max_bytes=10 * (ROW_OVERHEAD + 16))
     assert not taken
     side, taken = broadcast_if_small(df)
     assert taken

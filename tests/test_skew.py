@@ -73,7 +73,7 @@ def test_hot_date_range_leader_is_exact(spark, skew_conf):
     orig = ranges_mod.broadcast_if_small
     ranges_mod.broadcast_if_small = lambda df: joins.broadcast_if_small(df, max_rows=1)
     try:
-        got = rows(range_leader(obs), "date", "station", "range")
+        got = rows(range_leader(obs, repeat=True), "date", "station", "range")
     finally:
         ranges_mod.broadcast_if_small = orig
     # brute force: every TMAX x TMIN pair of a (station, date), keep the date's maximum
