@@ -23,14 +23,6 @@ def log_fields(line: Column) -> Column:
     return F.when(~line.contains("\n"), F.split(rewritten, "\n"))
 
 
-def log_matches(line: Column) -> Column:
-    return line.rlike(LOG_PATTERN)
-
-
-def log_field(line: Column, group: int) -> Column:
-    return F.regexp_extract(line, LOG_PATTERN, group)
-
-
 def log_time(text: Column) -> Column:
     """Wall-clock time of the bracketed field as ``timestamp_ntz``."""
     return F.try_to_timestamp(text, F.lit(LOG_TIME_FORMAT)).cast("timestamp_ntz")

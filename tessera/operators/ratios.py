@@ -32,7 +32,8 @@ def mean_by_key(df: DataFrame, key: str, value: str, out: str | None = None,
 
 
 def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
-                   strategy: str = "join", out: str = "relative_score") -> DataFrame:
+                   strategy: str = "join", out: str = "relative_score",
+                   descending: bool = False) -> DataFrame:
     """``value / mean(value of its key)`` for every row.
 
     strategy:
@@ -44,13 +45,15 @@ def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
       * ``window``    ``avg() over (partition by key)``: one scan, but one
                       task per key, so only for keys known to be balanced.
     A zero mean gives null (``try_divide``); negative means are kept.
+    ``descending`` sorts by the score, best first (a range-partitioned sort).
     """
     v = F.col(value)
     if strategy == "window":
         from pyspark.sql import Window
         w = Window.partitionBy(key)
         mean = F.sum(v).over(w).cast("double") / F.count(v).over(w)
-        return df.select(*keep, key, F.try_divide(v, mean).alias(out))
+        scored = df.select(*keep, key, F.try_divide(v, mean).alias(out))
+        return scored.orderBy(F.col(out).desc_nulls_last(), *keep) if descending else scored
     means = df.groupBy(key).agg(exact_mean(value).alias("_mean")).withColumnRenamed(key, "_k")
     if strategy == "broadcast":
         means, _ = broadcast_if_small(means)
@@ -64,4 +67,5 @@ def relative_score(df: DataFrame, key: str, value: str, keep: list[str],
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     j = df.join(means, F.col(key) == F.col("_k"))
-    return j.select(*keep, key, F.try_divide(v, F.col("_mean")).alias(out))
+    scored = j.select(*keep, key, F.try_divide(v, F.col("_mean")).alias(out))
+    return scored.orderBy(F.col(out).desc_nulls_last(), *keep) if descending else scored

@@ -2,8 +2,7 @@
 
 Written against the TPC-H-like tables: orders play purchases, customer
 plays customers, nation names play postal codes.  Dimension tables
-(nation, prefix lists) are broadcast behind a row-count check; the
-fact-to-customer joins are left to AQE (broadcast when the filtered
+(nation, prefix lists) and the fact-to-customer joins are left to AQE (broadcast when the filtered
 customer side turns out small, shuffle join with skew splitting otherwise).
 """
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents
-from .joins import broadcast_if_small, materialize
+from .joins import materialize
 from .quantiles import exact_median, value_counts
 from .ratios import exact_mean
 
@@ -22,8 +21,7 @@ def avg_by_dimension(orders: DataFrame, customer: DataFrame, nation: DataFrame,
                      nation_name: str, group: str = "o_orderpriority",
                      value: str = "o_totalprice", out: str = "avg_price") -> DataFrame:
     """AVG(value) by ``group`` over orders of customers of one nation."""
-    nat, _ = broadcast_if_small(nation.where(F.col("n_name") == nation_name)
-                                      .select("n_nationkey"))
+    nat = nation.where(F.col("n_name") == nation_name).select("n_nationkey")
     cust = customer.select("c_custkey", "c_nationkey") \
                    .join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
     o = orders.select("o_custkey", group, value)
@@ -38,9 +36,7 @@ def region_flag(customer: DataFrame, nation: DataFrame, region: int, prefix_len:
     of the nations of ``region``; a LEFT JOIN null becomes 0."""
     prefixes = (nation.where(F.col("n_regionkey") == region)
                       .select(F.substring("n_name", 1, prefix_len).alias("vp")).distinct())
-    prefixes, _ = broadcast_if_small(prefixes)
-    codes, _ = broadcast_if_small(nation.select("n_nationkey",
-                                                F.substring("n_name", 1, prefix_len).alias("pc")))
+    codes = nation.select("n_nationkey", F.substring("n_name", 1, prefix_len).alias("pc"))
     c = customer.select(key, "c_nationkey").join(codes, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     j = c.join(prefixes, F.col("pc") == F.col("vp"), "left")
     return j.select(key, F.when(F.col("vp").isNull(), 0).otherwise(1).alias(out))
@@ -71,7 +67,8 @@ def spend_by_flags(orders: DataFrame, customer: DataFrame, flags: DataFrame,
         (F.when(total > 0, amount.cast("double") / total) / 100.0).alias("mean_price"))
     med = exact_median(counts, keys, "_cents", "_median", counted=True)
     return (stats.join(med, keys, "left")
-                 .select(*keys, "n", "mean_price", (F.col("_median") / 100.0).alias("median_price")))
+                 .select(*keys, "n", "mean_price", (F.col("_median") / 100.0).alias("median_price"))
+                 .orderBy(*keys))
 
 
 def semi_join_like(part: DataFrame, lineitem: DataFrame, orders: DataFrame, flags: DataFrame,

@@ -9,8 +9,8 @@ from ..functions.random import TWO_52, draw52, hash_bucket
 from .partitioning import spread
 
 # 32 draws: the chance that 32 uniforms sum below 1 is 1/32! (about 4e-36),
-# so no sample at any realistic scale runs out; one that did would get a
-# null count rather than a wrong one.
+# so no sample at any realistic scale runs out; one that did fails the job
+# instead of leaving the mean.
 MAX_DRAWS = 32
 
 
@@ -30,7 +30,8 @@ def draws_to_pass_one(id_col: str, seed=42, max_draws: int = MAX_DRAWS) -> F.Col
             F.struct((acc["s"] + draw52(seed, idc, k)).alias("s"), (acc["n"] + 1).alias("n")))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(max_draws)), init, step,
-                       lambda acc: F.when(acc["s"] >= F.lit(TWO_52), acc["n"]))
+                       lambda acc: F.when(acc["s"] >= F.lit(TWO_52), acc["n"]).otherwise(
+                           F.raise_error(F.lit(f"no passage within {max_draws} draws")).cast("int")))
 
 
 def first_passage_mean(df: DataFrame, id_col: str, seed=42,
@@ -61,9 +62,3 @@ def hash_split(df: DataFrame, id_col: str, seed=40, train_percent: int = 75,
     """Deterministic train/validation label: md5 bucket < ``train_percent``."""
     b = hash_bucket(seed, F.col(id_col), 100)
     return df.withColumn(out, F.when(b < train_percent, "train").otherwise("validation"))
-
-
-def random_split(df: DataFrame, weights=(0.75, 0.25), seed=40):
-    """Spark's ``randomSplit`` (depends on partitioning; use hash_split for
-    a split that reruns identically)."""
-    return df.randomSplit(list(weights), seed=seed)
