@@ -7,41 +7,56 @@ plain aggregates so they can be checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.colour import rgb_to_lab_cols
+from ..functions.stats import significant
 
-# Self-join of a daily series with the previous day of the same station.
-PREVIOUS_DAY_SQL = (
-    "SELECT today.station, today.date, dayofyear(today.date) AS day_of_year, "
-    "today.tmax AS tmax, yesterday.tmax AS yesterday_tmax "
-    "FROM __THIS__ AS today JOIN __THIS__ AS yesterday "
-    "ON date_sub(today.date, 1) = yesterday.date AND today.station = yesterday.station")
+TEMPERATURE_FEATURES = ("latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax")
 
 
 def previous_day_features(daily: DataFrame) -> DataFrame:
-    """(station, date, day_of_year, tmax, yesterday_tmax); a day without a
-    previous day is dropped.  Equi-join on (station, date - 1)."""
-    y = daily.select(F.col("station").alias("_s"), F.col("date").alias("_d"),
-                     F.col("tmax").alias("yesterday_tmax"))
-    j = daily.join(y, (F.col("station") == F.col("_s")) & (F.date_sub("date", 1) == F.col("_d")))
-    return j.select("station", "date", F.dayofyear("date").alias("day_of_year"),
-                    "tmax", "yesterday_tmax")
+    """(station, date, day_of_year, tmax, yesterday_tmax) and every further
+    column of ``daily``; a day without a previous day is dropped.
 
+    Each row is emitted under its own date and, as yesterday, under the next
+    one; one aggregate by (station, date) brings both together.  Rows of the
+    same station and date count as one (the largest value of each column).
+    """
+    extra = [c for c in daily.columns if c not in ("station", "date", "tmax")]
+    now = F.struct(F.col("date").alias("date"), F.col("tmax").alias("tmax"),
+                   F.lit(None).cast(daily.schema["tmax"].dataType).alias("yesterday_tmax"),
+                   *[F.col(c).alias(c) for c in extra])
+    then = F.struct(F.date_add("date", 1).alias("date"), F.lit(None).cast(daily.schema["tmax"].dataType).alias("tmax"),
+                    F.col("tmax").alias("yesterday_tmax"),
+                    *[F.lit(None).cast(daily.schema[c].dataType).alias(c) for c in extra])
+    rows = daily.select("station", F.explode(F.array(now, then)).alias("_r")).select("station", "_r.*")
+    both = rows.groupBy("station", "date").agg(
+        *[F.max(c).alias(c) for c in ("tmax", "yesterday_tmax", *extra)])
+    return both.where("tmax IS NOT NULL AND yesterday_tmax IS NOT NULL").select(
+        "station", "date", F.dayofyear("date").alias("day_of_year"), "tmax", "yesterday_tmax", *extra)
+
+
+class PreviousDay(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """``previous_day_features`` as a pipeline stage."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return previous_day_features(dataset)
 
-def previous_day_stage() -> SQLTransformer:
-    """The same self-join as a pipeline stage."""
-    return SQLTransformer(statement=PREVIOUS_DAY_SQL)
 
+def previous_day_stage() -> PreviousDay:
+    return PreviousDay()
 
-def gbt_pipeline(features=("day_of_year", "yesterday_tmax"), label: str = "tmax",
-                 max_iter: int = 10, seed: int = 40, with_sql_stage: bool = False) -> Pipeline:
+
+def gbt_pipeline(features=TEMPERATURE_FEATURES, label: str = "tmax",
+                 max_iter: int = 20, seed: int = 40, with_sql_stage: bool = False) -> Pipeline:
     stages = [previous_day_stage()] if with_sql_stage else []
     stages += [VectorAssembler(inputCols=list(features), outputCol="features"),
                GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)]
@@ -54,22 +69,14 @@ def regression_metrics(pred: DataFrame, label: str = "tmax", prediction: str = "
     return ev.setMetricName("r2").evaluate(pred), ev.setMetricName("rmse").evaluate(pred)
 
 
-def exact_regression_metrics(pred: DataFrame, label: str, prediction: str,
-                             scale: int = 100) -> DataFrame:
-    """One row (n, r2, rmse) from integer sums of ``round(x*scale)``.
-
-    r2 = 1 - n*SSres / (n*Syy - Sy^2); rmse = sqrt(SSres/n)/scale.
-    """
-    y = F.round(F.col(label) * scale).cast("decimal(38,0)")
-    p = F.round(F.col(prediction) * scale).cast("decimal(38,0)")
-    m = pred.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()) \
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
-                 F.sum((y - p) * (y - p)).alias("ssr"))
-    n, sy, syy, ssr = (F.col(c) for c in ("n", "sy", "syy", "ssr"))
-    den = (n * syy - sy * sy).cast("double")
-    r2 = F.lit(1.0) - F.when(den != 0, (n * ssr).cast("double") / den)
-    rmse = F.sqrt(ssr.cast("double") / n.cast("double")) / F.lit(float(scale))
-    return m.select("n", r2.alias("r2"), rmse.alias("rmse"))
+def exact_regression_metrics(pred: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row (n, r2, rmse): the residuals' squares against the label's
+    variance (a central moment, so large values neither cancel nor overflow)."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    m = pred.where(y.isNotNull() & p.isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.avg((y - p) * (y - p)).alias("mse"), F.var_pop(y).alias("var"))
+    return m.select("n", significant(F.when(F.col("var") > 0, F.lit(1.0) - F.col("mse") / F.col("var"))).alias("r2"),
+                    significant(F.sqrt("mse")).alias("rmse"))
 
 
 def feature_importances(model: PipelineModel, features) -> list[tuple[str, float]]:
@@ -95,7 +102,7 @@ def colour_features(df: DataFrame, r="R", g="G", b="B", space: str = "rgb") -> D
 
 
 def mlp_pipeline(n_labels: int, label_col: str = "word", hidden: int = 30,
-                 max_iter: int = 50, seed: int = 40) -> Pipeline:
+                 max_iter: int = 100, seed: int = 40) -> Pipeline:
     """StringIndexer + MLP with layers [3, hidden, n_labels] (last layer =
     number of labels, not a fixed 11) + IndexToString."""
     return Pipeline(stages=[
@@ -131,8 +138,8 @@ def exact_accuracy(pred: DataFrame, label: str, prediction: str) -> DataFrame:
 # --- job flows: train / test / predict tomorrow; colour model + grid ----------
 
 def train_temperature_model(daily: DataFrame, model_path: str,
-                            features=("day_of_year", "yesterday_tmax"), seed: int = 40,
-                            max_iter: int = 10):
+                            features=TEMPERATURE_FEATURES, seed: int = 40,
+                            max_iter: int = 20):
     """Fit the next-day GBT on a 75 % md5 split of (station, date) and save it.
 
     Returns ``(model, metrics)`` where metrics are (r2, rmse) on the held-out
@@ -153,19 +160,22 @@ def score_temperature_model(model_path: str, daily: DataFrame):
     return regression_metrics(model.transform(previous_day_features(daily)))
 
 
-def predict_tomorrow(model_path: str, spark, station: str, today, today_tmax: float) -> float:
-    """Tomorrow's tmax from today's value and tomorrow's day of year
-    (the prediction column is read by name, not by position)."""
+def predict_tomorrow(model_path: str, spark, station: str, today, today_tmax: float,
+                     latitude: float = 0.0, longitude: float = 0.0, elevation: float = 0.0) -> float:
+    """Tomorrow's tmax from today's value, the station's place and tomorrow's
+    day of year (the prediction column is read by name, not by position)."""
     import datetime
     tomorrow = today + datetime.timedelta(days=1)
     row = spark.createDataFrame(
-        [(station, tomorrow, tomorrow.timetuple().tm_yday, None, float(today_tmax))],
-        "station string, date date, day_of_year int, tmax double, yesterday_tmax double")
+        [(station, tomorrow, tomorrow.timetuple().tm_yday, None, float(today_tmax),
+          float(latitude), float(longitude), float(elevation))],
+        "station string, date date, day_of_year int, tmax double, yesterday_tmax double, "
+        "latitude double, longitude double, elevation double")
     return predict_one(PipelineModel.load(model_path), row)
 
 
 def train_colour_model(colours: DataFrame, space: str = "lab", seed: int = 40,
-                       max_iter: int = 50):
+                       max_iter: int = 100):
     """MLP colour-word model on RGB or LAB features; returns (model, validation accuracy)."""
     from .sampling import hash_split
     c = hash_split(colour_features(colours, space=space), "p_partkey", seed)
@@ -180,14 +190,15 @@ def prediction_grid(model: PipelineModel, grid: DataFrame, space: str = "lab") -
     word_R, word_G, word_B).  ``grid`` holds labL, labA, labB."""
     from ..functions.colour import colour_table, lab_to_rgb_cols
     rgb = lab_to_rgb_cols(F.col("labL"), F.col("labA"), F.col("labB"))
-    cells = grid.select("labA", "labB", *[(c * F.lit(255.0)).alias(n) for c, n in zip(rgb, "RGB")],
-                        F.lit("black").alias("word"))
+    # features are those of the displayable colour; the cell keeps its own place
+    cells = grid.select(F.col("labA").alias("_a"), F.col("labB").alias("_b"), *[(c * F.lit(255.0)).alias(n) for c, n in zip(rgb, "RGB")],
+                        F.lit(label_map(model)[0.0]).alias("word"))
     pred = with_predicted_label(model, model.transform(colour_features(cells, space=space)))
     words = F.broadcast(colour_table(grid.sparkSession).select(
         F.col("word").alias("predicted_word"), F.col("R").alias("word_R"),
         F.col("G").alias("word_G"), F.col("B").alias("word_B")))
     return pred.join(words, "predicted_word", "left").select(
-        "labA", "labB", "R", "G", "B", "predicted_word", "word_R", "word_G", "word_B")
+        F.col("_a").alias("labA"), F.col("_b").alias("labB"), "R", "G", "B", "predicted_word", "word_R", "word_G", "word_B")
 
 
 def lab_grid(spark, lum: float = 70.0, resolution: int = 256) -> DataFrame:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from ..functions import colour as C
 from ..functions.logs import LOG_PATTERN
 from ..functions.random import TWO_52
-from ..functions.text import DELIM_RUN, HOUR_PATH_PATTERN, LINE_BREAK, PUNCT_CLASS, SPACE_RUN
+from ..functions.stats import DIGITS
+from ..functions.text import FINAL_SIGMA, DELIM_RUN, HOUR_PATH_PATTERN, LINE_BREAK, PUNCT_CLASS, SPACE_RUN, special_folds
 from ..operators.sampling import MAX_DRAWS
 from ..sources import derived as V
 from . import queries as Q
@@ -21,6 +22,18 @@ def D(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
+def fold(expr: str) -> str:
+    """Python's ``upper().lower()``."""
+    for char, to in special_folds():
+        expr = f"replace({expr}, '{char}', '{to}')"
+    sigma = FINAL_SIGMA.replace("'", "''")
+    return f"regexp_replace(lower(upper({expr})), '{sigma}', '\\1ς\\2', 'g')"
+
+
+def significant(expr: str) -> str:
+    return f"(CAST(printf('%.{DIGITS - 1}e', {expr}) AS DOUBLE) + {D(0.0)})"
+
+
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
 CENTS = "CAST(round({c} * 100) AS BIGINT)"
 
@@ -66,7 +79,7 @@ totals AS (SELECT host, count(*) AS requests, CAST(sum(bytes) AS BIGINT) AS byte
 
 EDGES = f"""edges AS (
   SELECT DISTINCT l_partkey AS source, l_orderkey % (SELECT count(*) FROM part) AS node
-  FROM lineitem WHERE l_quantity >= {V.EDGE_MIN_QTY})"""
+  FROM lineitem)"""
 
 FLAGS = f"""vprefixes AS (
   SELECT DISTINCT substring(n_name, 1, {Q.PREFIX_LEN}) AS vp FROM nation WHERE n_regionkey = {Q.FLAG_REGION}),
@@ -75,17 +88,31 @@ flags AS (
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN vprefixes ON substring(n_name, 1, {Q.PREFIX_LEN}) = vp)"""
 
-COLOURS = """colours AS (
-  SELECT p_partkey, CAST(p_partkey % 256 AS INTEGER) AS R, CAST(p_partkey * 7 % 256 AS INTEGER) AS G,
-         CAST(p_partkey * 13 % 256 AS INTEGER) AS B, p_brand AS word FROM part)"""
-
-TMAX_DAILY = f"""tmax_daily AS (
-  SELECT 'S' || CAST(o_custkey % {V.STATION_BUCKETS} AS VARCHAR) AS station,
-         CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS tmax
-  FROM orders GROUP BY 1, 2),
+def _channel(i: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), {1 + 2 * i}, 2) AS INTEGER)"
+
+
+_APART = ", ".join(f"((R - {r}) * (R - {r}) + (G - {g}) * (G - {g}) + (B - {b}) * (B - {b})) * 100 + {i}"
+                   for i, (r, g, b) in enumerate(C.COLOUR_RGB.values()))
+_WORDS = ", ".join(f"'{w}'" for w in C.COLOUR_RGB)
+COLOURS = f"""channels AS (
+  SELECT p_partkey, {_channel(0)} AS R, {_channel(1)} AS G, {_channel(2)} AS B FROM part),
+colours AS (
+  SELECT p_partkey, R, G, B, list_extract([{_WORDS}], least({_APART}) % 100 + 1) AS word FROM channels)"""
+
+TMAX_DAILY = """observed AS (
+  SELECT o_custkey AS k, CAST(floor(o_totalprice) AS BIGINT) % 11 AS noise,
+         unnest([CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + 1]) AS date
+  FROM orders),
+tmax_daily AS (
+  SELECT 'S' || CAST(k AS VARCHAR) AS station, date, CAST(k % 120 - 60 AS DOUBLE) AS latitude,
+         CAST(k * 7 % 360 - 180 AS DOUBLE) AS longitude, CAST(k * 13 % 2500 AS DOUBLE) AS elevation,
+         max(100 + abs((dayofyear(date) + 172) % 365 - 182) + k * 37 % 101
+             + date_diff('day', DATE '1992-01-01', date) // 5 * 7919 % 61 + noise) / CAST('10.0' AS DOUBLE) AS tmax
+  FROM observed GROUP BY 1, 2, 3, 4, 5),
 features AS (
   SELECT t.station, t.date, CAST(dayofyear(t.date) AS INTEGER) AS day_of_year, t.tmax,
-         y.tmax AS yesterday_tmax
+         y.tmax AS yesterday_tmax, t.latitude, t.longitude, t.elevation
   FROM tmax_daily t JOIN tmax_daily y ON t.station = y.station AND t.date - 1 = y.date)"""
 
 
@@ -205,19 +232,27 @@ _H = Q.BFS_HOPS
 SQL = {
     "wordcount_whitespace": f"""
 SELECT word, count(*) AS count FROM (
-  SELECT unnest(regexp_split_to_array(
-           regexp_replace(lower(upper(text)), '{PUNCT_CLASS}', '', 'g'), '{SPACE_RUN}')) AS word
-  FROM documents) WHERE word <> '' GROUP BY word""",
+  SELECT {fold(f"regexp_replace(token, '{PUNCT_CLASS}', '', 'g')")} AS word
+  FROM (SELECT unnest(regexp_split_to_array(text, '{SPACE_RUN}')) AS token FROM documents)
+  WHERE token <> '') WHERE word <> '' GROUP BY word""",
+
+    "wordcount_whitespace_empty": f"""
+SELECT word, count(*) AS count FROM (
+  SELECT {fold(f"regexp_replace(token, '{PUNCT_CLASS}', '', 'g')")} AS word
+  FROM (SELECT unnest(regexp_split_to_array(text, '{SPACE_RUN}')) AS token FROM documents)
+  WHERE token <> '') GROUP BY word""",
 
     "wordcount_delimited": f"""
 SELECT word, count(*) AS count FROM (
-  SELECT unnest(regexp_split_to_array(lower(upper(text)), '{DELIM_RUN}')) AS word FROM documents)
+  SELECT {fold('token')} AS word
+  FROM (SELECT unnest(regexp_split_to_array(text, '{DELIM_RUN}')) AS token FROM documents))
 WHERE word <> '' GROUP BY word""",
 
     "wordcount_keep_empty": f"""
 SELECT word, count(*) AS count FROM (
-  SELECT unnest(regexp_split_to_array(lower(upper(line)), '{DELIM_RUN}')) AS word
-  FROM (SELECT unnest(regexp_split_to_array(text, '{LINE_BREAK}')) AS line FROM documents))
+  SELECT {fold('token')} AS word FROM (
+    SELECT unnest(regexp_split_to_array(line, '{DELIM_RUN}')) AS token
+    FROM (SELECT unnest(regexp_split_to_array(text, '{LINE_BREAK}')) AS line FROM documents)))
 GROUP BY word""",
 
     "max_by_group_one": f"""WITH {PAGES}
@@ -266,18 +301,15 @@ tmin AS (SELECT station, date, value AS mn FROM clean WHERE observation = 'TMIN'
 r AS (SELECT tmax.station, tmax.date, (mx - mn) / {D(10.0)} AS range
       FROM tmax JOIN tmin ON tmax.station = tmin.station AND tmax.date = tmin.date),
 rm AS (SELECT date AS d, max(range) AS m FROM r GROUP BY date)
-SELECT r.date, r.station, r.range FROM r JOIN rm ON r.date = rm.d AND r.range = rm.m""",
+SELECT r.date, r.station, r.range, count(*) AS pairs
+FROM r JOIN rm ON r.date = rm.d AND r.range = rm.m GROUP BY r.date, r.station, r.range""",
 
     "log_parse": f"WITH {LOGS}\nSELECT host, datetime, path, bytes, id FROM logs",
     "log_host_totals": f"WITH {LOGS}\nSELECT host, requests, bytes FROM totals",
     "log_correlation": f"""WITH {LOGS},
-m AS (SELECT count(*) AS n, sum(CAST(requests AS HUGEINT)) AS sx, sum(CAST(bytes AS HUGEINT)) AS sy,
-             sum(CAST(requests AS HUGEINT) * requests) AS sxx, sum(CAST(bytes AS HUGEINT) * bytes) AS syy,
-             sum(CAST(requests AS HUGEINT) * bytes) AS sxy FROM totals),
-q AS (SELECT n, CAST(n * sxy - sx * sy AS DOUBLE) AS num,
-             sqrt(CAST(n * sxx - sx * sx AS DOUBLE)) * sqrt(CAST(n * syy - sy * sy AS DOUBLE)) AS den FROM m),
-r AS (SELECT n, CASE WHEN den <> 0 THEN num / den END AS r FROM q)
-SELECT n, r, r * r AS r2 FROM r""",
+m AS (SELECT count(*) AS n, CASE WHEN stddev_pop(requests) > 0 AND stddev_pop(bytes) > 0
+                                 THEN corr(CAST(requests AS DOUBLE), CAST(bytes AS DOUBLE)) END AS r FROM totals)
+SELECT n, {significant('r')} AS r, {significant('r * r')} AS r2 FROM m""",
     "total_sum": f"WITH {LOGS}\nSELECT CAST(sum(bytes) AS BIGINT) AS total_bytes FROM logs",
 
     "upsert_latest": """
@@ -290,7 +322,10 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
     "bfs_iterations": _bfs_iterations(),
     "shortest_path": _bfs_ctes() + f"""
 SELECT CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS step, unnest(path) AS node
-FROM v{_H} WHERE node = (SELECT max(node) FROM v{_H})""",
+FROM vis{_H} WHERE node = (SELECT max(node) FROM vis{_H} WHERE distance = (SELECT max(distance) FROM vis{_H}))""",
+    "path_to_destination": _bfs_ctes() + f"""
+SELECT CAST(generate_subscripts(path, 1) - 1 AS INTEGER) AS step, unnest(path) AS node
+FROM vis{_H} WHERE node = {Q.BFS_DESTINATION}""",
 
     "except_distinct": """
 SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase'
@@ -360,12 +395,10 @@ r AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY c DESC, p_brand ASC) - 1
 SELECT p_partkey, p_brand, label_index FROM part JOIN r USING (p_brand)""",
 
     "regression_metrics": f"""WITH {TMAX_DAILY},
-m AS (SELECT count(*) AS n, sum(y) AS sy, sum(y * y) AS syy, sum((y - p) * (y - p)) AS ssr FROM (
-        SELECT CAST(round(tmax * 100) AS HUGEINT) AS y, CAST(round(yesterday_tmax * 100) AS HUGEINT) AS p
-        FROM features)),
-q AS (SELECT *, CAST(n * syy - sy * sy AS DOUBLE) AS den FROM m)
-SELECT n, {D(1.0)} - CASE WHEN den <> 0 THEN CAST(n * ssr AS DOUBLE) / den END AS r2,
-       sqrt(CAST(ssr AS DOUBLE) / CAST(n AS DOUBLE)) / {D(100.0)} AS rmse FROM q""",
+m AS (SELECT count(*) AS n, avg((tmax - yesterday_tmax) * (tmax - yesterday_tmax)) AS mse, var_pop(tmax) AS var
+      FROM features)
+SELECT n, {significant(f"CASE WHEN var > 0 THEN {D(1.0)} - mse / var END")} AS r2, {significant('sqrt(mse)')} AS rmse
+FROM m""",
 
     "accuracy_metric": f"""
 SELECT count(*) AS n, CAST(sum(CASE WHEN quality = predicted THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS accuracy
@@ -385,12 +418,30 @@ SQL["range_leader_sql"] = SQL["range_leader_df"]
 for _k in ("region_flag", "avg_by_dimension", "semi_join_like", "daily_mean_window"):
     SQL[_k + "_sql"] = SQL[_k]
 
-_OLS = """
-m AS (SELECT count(*) AS n, CAST(sum(CAST(x AS HUGEINT)) AS DOUBLE) AS sx, CAST(sum(CAST(y AS HUGEINT)) AS DOUBLE) AS sy,
-             CAST(sum(CAST(x AS HUGEINT) * x) AS DOUBLE) AS sxx, CAST(sum(CAST(x AS HUGEINT) * y) AS DOUBLE) AS sxy FROM pts),
-q AS (SELECT *, sxx - sx * sx / n AS den FROM m),
-b AS (SELECT *, CASE WHEN den <> 0 THEN (sxy - sx * sy / n) / den END AS slope FROM q)
-SELECT n, slope, sy / n - slope * sx / n AS intercept FROM b"""
-SQL["regression_batch"] = (f"WITH pts AS (SELECT event_id AS x, {CENTS.format(c='value')} AS y FROM events),"
-                           + _OLS)
+SQL["mean_by_key_json"] = SQL["mean_by_key"]
+SQL["wordcount_text"] = SQL["wordcount_whitespace"]
+SQL["top_pages_text"] = SQL["max_by_group_ties"]
+
+SQL["regression_batch"] = f"""
+WITH m AS (SELECT count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM (
+  SELECT CAST(event_id AS DOUBLE) AS x, CAST({CENTS.format(c='value')} AS DOUBLE) AS y FROM events))
+SELECT n, {significant('slope')} AS slope, {significant('intercept')} AS intercept FROM m"""
 SQL["stream_regression"] = SQL["regression_batch"]
+
+
+def _split(key: str) -> str:
+    return (f"CASE WHEN CAST('0x' || substr(md5(concat_ws(':', '{Q.SPLIT_SEED}', {key})), 1, 8) AS BIGINT) % 100 < 75 "
+            "THEN 'train' ELSE 'validation' END")
+
+
+# The fits' rows, labels and splits; the quality bounds must hold.
+SQL["gbt_predictions"] = f"""WITH {TMAX_DAILY}
+SELECT station, date, {_split("station || ':' || CAST(date AS VARCHAR)")} AS split, tmax,
+       true AS r2_ok, true AS rmse_ok, true AS predicted FROM features"""
+SQL["mlp_predictions"] = f"""WITH {COLOURS}
+SELECT p_partkey, {_split("CAST(p_partkey AS VARCHAR)")} AS split, word, true AS accuracy_ok, true AS predicted
+FROM colours"""
+SQL["prediction_grid"] = (
+    GRID_SQL.replace("p_partkey / ", "cell // ").replace("p_partkey", "cell").replace(
+        "FROM part)", f"FROM (SELECT unnest(range({Q.GRID_SIZE * Q.GRID_SIZE})) AS cell))").replace(
+        "SELECT cell, (round", "SELECT (round").replace("FROM s5", ", true AS word_found FROM s5"))

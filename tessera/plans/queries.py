@@ -13,12 +13,12 @@ from ..functions.colour import colour_table, lab_to_rgb_cols, rgb_to_hsv, rgb_to
 from ..functions.numeric import cents
 from ..functions.text import path_to_hour
 from ..operators import etl, graph, logs, ml, ranges, ratios, reports, sampling, setops, topgroup, upsert
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import materialize
 from ..operators.wordcount import word_count
 from ..session import scratch_path
 from ..sources import derived
-from ..sources.readers import read_csv
-from ..sources.schemas import OBSERVATION_CSV_SCHEMA
+from ..sources.readers import read_csv, read_json, read_pagecounts, read_text
+from ..sources.schemas import COMMENT_SCHEMA, OBSERVATION_CSV_SCHEMA, PAGECOUNT_ROW_SCHEMA
 from ..sources.tables import load
 
 # Fixed parameters of the registered queries (mirrored in oracle.py).
@@ -26,6 +26,8 @@ PAGE_LANGUAGE, MAIN_PAGE, SPECIAL_PREFIX = "view", "P0", "P1"
 SCORE_SPLIT = 50
 STATION_PREFIX = "U1"
 BFS_SOURCE, BFS_HOPS = 9, 6
+BFS_DESTINATION = 42
+R2_FLOOR, RMSE_CEILING, ACCURACY_FLOOR = 0.9, 2.5, 0.7
 REPORT_NATION = "NATION_3"
 FLAG_REGION, PREFIX_LEN = 2, 8
 FLAG_SEGMENT = "BUILDING"
@@ -34,7 +36,7 @@ WINDOW_MONTH, WINDOW_MAX_DAY = 8, 5
 TOP_K = 10
 PASSAGE_SEED, SPLIT_SEED = 42, 40
 LONG_DOC_CHARS = 2000
-GRID_SIZE, GRID_LUM = 32, 70.0
+GRID_SIZE, GRID_LUM = 256, 70.0
 ROUND = 6
 
 
@@ -59,6 +61,19 @@ def q_wordcount_delimited(spark, d):
                       min_partitions=_cores(spark))
 
 
+def q_wordcount_whitespace_empty(spark, d):
+    """As the whitespace count, with tokens of punctuation only counted as ''."""
+    return word_count(load(spark, d, "documents"), "text", "whitespace", keep_empty=True,
+                      min_partitions=_cores(spark))
+
+
+def q_wordcount_text(spark, d):
+    """The whitespace count over text files that Spark writes from ``documents``."""
+    path = scratch_path(spark, "text")
+    load(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("value")).write.text(path)
+    return word_count(read_text(spark, path), "value", "whitespace")
+
+
 def q_wordcount_keep_empty(spark, d):
     return word_count(load(spark, d, "documents"), "text", "delimited", keep_empty=True,
                       min_partitions=_cores(spark))
@@ -86,6 +101,17 @@ def q_max_by_group_list(spark, d):
     return topgroup.max_by_group_list(_pages(spark, d), "hour", "views", "title")
 
 
+def q_top_pages_text(spark, d):
+    """Every page tied for its hour's maximum, from space-delimited page-count
+    lines that Spark writes from ``events``, sorted by hour and title."""
+    path = scratch_path(spark, "pagecounts")
+    derived.pagecounts(spark, d).select(F.concat_ws(" ", "hour", "language", "title", "views", F.lit("0"))
+                                        .alias("value")).write.text(path)
+    pages = topgroup.page_filter(read_pagecounts(spark, path, PAGECOUNT_ROW_SCHEMA),
+                                 PAGE_LANGUAGE, MAIN_PAGE, SPECIAL_PREFIX)
+    return topgroup.max_by_group_ties(pages, "hour", "views", ["title"]).orderBy("hour", "title")
+
+
 def q_path_to_hour(spark, d):
     p = derived.pagecount_paths(spark, d)
     return p.select("event_id", path_to_hour(F.col("path")).alias("hour"))
@@ -102,14 +128,23 @@ def q_mean_by_key(spark, d):
     return ratios.mean_by_key(_scored(spark, d), "event_type", "cents", "avg_value", scale=100)
 
 
+def q_mean_by_key_json(spark, d):
+    """The same mean over JSON lines that Spark writes from ``events``."""
+    path = scratch_path(spark, "comments")
+    _scored(spark, d).select(F.col("event_type").alias("subreddit"), F.col("cents").alias("score"),
+                             F.col("author").cast("string").alias("author")).write.json(path)
+    means = ratios.mean_by_key(read_json(spark, path, COMMENT_SCHEMA), "subreddit", "score", "avg_value", scale=100)
+    return means.withColumnRenamed("subreddit", "event_type")
+
+
 def q_relative_score_join(spark, d):
     return ratios.relative_score(_scored(spark, d), "event_type", "cents",
-                                 ["event_id", "author"], strategy="join")
+                                 ["event_id", "author"], strategy="join", descending=True)
 
 
 def q_relative_score_broadcast(spark, d):
     return ratios.relative_score(_scored(spark, d), "event_type", "cents",
-                                 ["event_id", "author"], strategy="broadcast")
+                                 ["event_id", "author"], strategy="broadcast", descending=True)
 
 
 # --- ETL -------------------------------------------------------------------
@@ -202,9 +237,15 @@ def q_bfs_iterations(spark, d):
 
 
 def q_shortest_path(spark, d):
+    """Path to the farthest node reached (the largest id of equals)."""
     visited, _ = _bfs(spark, d)
-    dest = visited.where(F.col("distance") == BFS_HOPS).select(F.max("node")).scalar()
-    return graph.path_to(visited, dest)
+    far = visited.agg(F.max(F.struct("distance", "node")).alias("far")).first()["far"]
+    return graph.path_to(visited, far["node"])
+
+
+def q_path_to_destination(spark, d):
+    """Path to a given node; the search stops at the hop that reaches it."""
+    return graph.shortest_path(derived.edges(spark, d), BFS_SOURCE, BFS_DESTINATION, BFS_HOPS)
 
 
 # --- set operations, top-k -------------------------------------------------
@@ -309,13 +350,12 @@ def q_rgb_to_hsv(spark, d):
 def q_colour_lookup(spark, d):
     words = load(spark, d, "part").select(
         "p_partkey", F.split(F.col("p_name"), " ").getItem(0).alias("word"))
-    table, _ = broadcast_if_small(colour_table(spark), max_rows=64)
-    return words.join(table, "word").select("p_partkey", "word", "R", "G", "B")
+    return words.join(F.broadcast(colour_table(spark)), "word")     # 11 rows.select("p_partkey", "word", "R", "G", "B")
 
 
 def q_colour_grid(spark, d):
-    """LAB plane at L=70: grid cell (i, j) of a 32x32 lattice over a, b in
-    [-100, 100], one cell per part (i = key % 32, j = key / 32 % 32)."""
+    """LAB plane at L=70: grid cell (i, j) of a 256x256 lattice over a, b in
+    [-100, 100], one cell per part (i = key % 256, j = key / 256 % 256)."""
     k = F.col("p_partkey")
     step = 200.0 / (GRID_SIZE - 1)
     g = load(spark, d, "part").select(
@@ -343,18 +383,18 @@ def q_first_passage_mean(spark, d):
 
 
 def q_regression_batch(spark, d):
-    from ..functions.stats import ols_from_moments
+    from ..functions.stats import ols
     ev = load(spark, d, "events").select(F.col("event_id").alias("x"), cents("value").alias("y"))
-    return ols_from_moments(ev, "x", "y")
+    return ols(ev, "x", "y")
 
 
 def q_stream_regression(spark, d):
-    """File stream over "x y" lines that Spark writes from ``events`` (one
-    micro-batch per file), run with availableNow; returns the last batch's
-    running (n, slope, intercept)."""
+    """File stream over "x y" lines that Spark writes from ``events`` (several
+    files per micro-batch), run with availableNow until all are read; returns
+    the last batch's running (n, slope, intercept)."""
     from ..streaming.regression import run_file_stream
     src = scratch_path(spark, "points")
-    derived.xy_lines(spark, d).select("value").repartition(4).write.text(src)
+    derived.xy_lines(spark, d).select("value").write.text(src)
     return run_file_stream(spark, src, scratch_path(spark, "fit"), scratch_path(spark, "ckpt"))
 
 
@@ -383,20 +423,43 @@ def q_accuracy_metric(spark, d):
 
 
 def q_gbt_predictions(spark, d):
+    """Next-day fit over all features: every row's key, split and label, and
+    whether the validation r2 and RMSE keep their fixed bounds."""
     f = ml.previous_day_features(derived.tmax_daily(spark, d))
     f = sampling.hash_split(f.withColumn("_id", F.concat_ws(":", "station", F.col("date").cast("string"))),
                             "_id", SPLIT_SEED)
-    model = ml.gbt_pipeline(max_iter=5).fit(f.where(F.col("split") == "train"))
-    return model.transform(f).select("station", "date", "split", "tmax", "prediction")
+    model = ml.gbt_pipeline().fit(f.where(F.col("split") == "train"))
+    pred = materialize(model.transform(f).select("station", "date", "split", "tmax", "prediction"))
+    m = ml.exact_regression_metrics(pred.where("split = 'validation'"), "tmax", "prediction").first()
+    return pred.select("station", "date", "split", "tmax", F.lit(m["r2"] > R2_FLOOR).alias("r2_ok"),
+                       F.lit(m["rmse"] < RMSE_CEILING).alias("rmse_ok"),
+                       F.col("prediction").isNotNull().alias("predicted"))
 
 
-def q_mlp_predictions(spark, d):
-    c = ml.colour_features(derived.colours(spark, d), space="lab")
-    c = sampling.hash_split(c, "p_partkey", SPLIT_SEED)
+def _colour_model(spark, d):
+    c = sampling.hash_split(ml.colour_features(derived.colours(spark, d), space="lab"), "p_partkey", SPLIT_SEED)
     n_labels = c.select(F.count_distinct("word")).first()[0]
-    model = ml.mlp_pipeline(n_labels, max_iter=20).fit(c.where(F.col("split") == "train"))
-    pred = ml.with_predicted_label(model, model.transform(c))
-    return pred.select("p_partkey", "split", "word", "predicted_word")
+    return c, ml.mlp_pipeline(n_labels).fit(c.where(F.col("split") == "train"))
+
+
+def q_mlp_predictions(spark, d):
+    """Colour-word fit: every sample's key, split and word, and whether the
+    validation accuracy keeps its fixed bound."""
+    c, model = _colour_model(spark, d)
+    pred = materialize(ml.with_predicted_label(model, model.transform(c))
+                       .select("p_partkey", "split", "word", "predicted_word"))
+    m = ml.exact_accuracy(pred.where("split = 'validation'"), "word", "predicted_word").first()
+    return pred.select("p_partkey", "split", "word", F.lit(m["accuracy"] > ACCURACY_FLOOR).alias("accuracy_ok"),
+                       F.col("predicted_word").isNotNull().alias("predicted"))
+
+
+def q_prediction_grid(spark, d):
+    """The 256x256 LAB plane at L=70 through the colour-word model: each cell's
+    colour, and whether its word was found in the colour table."""
+    _, model = _colour_model(spark, d)
+    grid = ml.prediction_grid(model, ml.lab_grid(spark, GRID_LUM, GRID_SIZE))
+    return grid.select(*[_r6(F.col(c)).alias(c) for c in ("labA", "labB", "R", "G", "B")],
+                       F.col("word_R").isNotNull().alias("word_found"))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items())

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.colour import COLOUR_RGB
 from ..functions.numeric import cents
 from ..operators.joins import broadcast_if_small
 from .tables import load
@@ -21,8 +22,6 @@ TMAX_EVENT = "click"
 TMIN_EVENT = "view"
 QFLAG_EVERY = 10        # props k divisible by this -> quality flag 'X'
 BAD_LINE_EVERY = 17     # props k divisible by this -> malformed log line / path
-EDGE_MIN_QTY = 47       # lineitems with at least this quantity become edges
-STATION_BUCKETS = 20    # o_custkey % 20 is a weather "station"
 
 
 def props_k(props="props"):
@@ -88,10 +87,8 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = load(spark, sf_dir, "lineitem")
     n_parts = load(spark, sf_dir, "part").select(F.count(F.lit(1))).scalar()
-    return (li.where(F.col("l_quantity") >= EDGE_MIN_QTY)
-              .select(F.col("l_partkey").alias("source"),
-                      (F.col("l_orderkey") % n_parts).alias("node"))
-              .distinct())
+    return li.select(F.col("l_partkey").alias("source"),
+                     (F.col("l_orderkey") % n_parts).alias("node")).distinct()
 
 
 def adjacency_lines(edges_df: DataFrame, max_per_line: int = 1000) -> DataFrame:
@@ -117,28 +114,43 @@ def adjacency_lines(edges_df: DataFrame, max_per_line: int = 1000) -> DataFrame:
 
 
 def colours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(p_partkey, R, G, B, word) colour samples from ``part``."""
-    p = load(spark, sf_dir, "part")
-    k = F.col("p_partkey")
-    return p.select(
-        "p_partkey",
-        (k % 256).cast("int").alias("R"),
-        ((k * 7) % 256).cast("int").alias("G"),
-        ((k * 13) % 256).cast("int").alias("B"),
-        F.col("p_brand").alias("word"),
-    )
+    """(p_partkey, R, G, B, word) colour samples from ``part``: three
+    independent channels from the key's md5, labelled with the nearest word of
+    the colour table (the first of equals)."""
+    digest = F.md5(F.col("p_partkey").cast("string").cast("binary"))
+    channel = {c: F.conv(F.substring(digest, 1 + 2 * i, 2), 16, 10).cast("int").alias(c)
+               for i, c in enumerate("RGB")}
+    p = load(spark, sf_dir, "part").select("p_partkey", *channel.values())
+
+    def apart(rgb):
+        return sum(((F.col(c) - v) * (F.col(c) - v) for c, v in zip("RGB", rgb)), F.lit(0))
+
+    nearest = F.least(*[apart(rgb) * 100 + i for i, rgb in enumerate(COLOUR_RGB.values())]) % 100
+    words = F.array(*[F.lit(w) for w in COLOUR_RGB])
+    return p.select("p_partkey", "R", "G", "B", F.get(words, nearest).alias("word"))
 
 
 def tmax_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(station, date, tmax): daily maximum per station from ``orders``."""
-    o = load(spark, sf_dir, "orders")
-    return (o.select(
-                F.concat(F.lit("S"), (F.col("o_custkey") % STATION_BUCKETS).cast("string"))
-                 .alias("station"),
-                F.col("o_orderdate").cast("date").alias("date"),
-                F.col("o_totalprice"))
-             .groupBy("station", "date")
-             .agg(F.max("o_totalprice").alias("tmax")))
+    """(station, date, latitude, longitude, elevation, tmax) from ``orders``.
+
+    Every customer is a station, at a place given by its key; every order is
+    an observation on its day and on the next one.  The temperature (tenths of
+    a degree) has a yearly cycle, a station's level, a five-day weather term
+    and a little noise from the order's price; a day's maximum counts.
+    """
+    k, price = F.col("o_custkey"), F.floor("o_totalprice").cast("bigint")
+    day = F.to_date("o_orderdate")
+    o = load(spark, sf_dir, "orders").select(
+        k.alias("_k"), (price % 11).alias("_noise"), F.explode(F.array(day, F.date_add(day, 1))).alias("date"))
+    k = F.col("_k")
+    tenths = (F.lit(100) + F.abs((F.dayofyear("date") + 172) % 365 - 182) + k * 37 % 101
+              + F.floor(F.datediff("date", F.lit("1992-01-01").cast("date")) / 5) * 7919 % 61 + F.col("_noise"))
+    return (o.select(F.concat(F.lit("S"), k.cast("string")).alias("station"), "date",
+                     (k % 120 - 60).cast("double").alias("latitude"),
+                     (k * 7 % 360 - 180).cast("double").alias("longitude"),
+                     (k * 13 % 2500).cast("double").alias("elevation"), tenths.alias("_t"))
+             .groupBy("station", "date", "latitude", "longitude", "elevation")
+             .agg((F.max("_t") / F.lit(10.0)).alias("tmax")))
 
 
 def xy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from tessera.functions.colour import COLOUR_RGB
 from tessera.operators import ml
 from tessera.operators.sampling import hash_split
 from tessera.sources import derived
@@ -28,6 +29,20 @@ def test_previous_day_gap_and_year_change(spark):
     assert got == [("S1", datetime.date(2016, 1, 1), 1, 1.0)]
 
 
+def test_previous_day_carries_further_columns(spark):
+    f = ml.previous_day_features(derived.tmax_daily(spark, SF001))
+    assert f.columns == ["station", "date", "day_of_year", "tmax", "yesterday_tmax", "latitude", "longitude", "elevation"]
+    assert f.where("latitude IS NULL OR longitude IS NULL OR elevation IS NULL").count() == 0
+
+
+def test_ablation_yesterday_matters(spark):
+    f = ml.previous_day_features(derived.tmax_daily(spark, SF001)).cache()
+    full, without = (ml.gbt_pipeline(c, max_iter=3).fit(f) for c in (
+        ml.TEMPERATURE_FEATURES, tuple(c for c in ml.TEMPERATURE_FEATURES if c != "yesterday_tmax")))
+    assert ml.regression_metrics(full.transform(f))[0] > ml.regression_metrics(without.transform(f))[0]
+    assert dict(ml.feature_importances(full, ml.TEMPERATURE_FEATURES))["yesterday_tmax"] > 0.2
+
+
 def test_gbt_fit_save_load_predict(spark, tmp_path):
     f = ml.previous_day_features(derived.tmax_daily(spark, SF001))
     f = hash_split(f.withColumn("_id", F.concat_ws(":", "station", F.col("date").cast("string"))), "_id")
@@ -40,8 +55,8 @@ def test_gbt_fit_save_load_predict(spark, tmp_path):
     exact = ml.exact_regression_metrics(pred.withColumn("prediction", F.round("prediction", 2)),
                                         "tmax", "prediction").collect()[0]
     assert rmse > 0 and exact.rmse == pytest.approx(rmse, rel=1e-3)
-    imp = ml.feature_importances(loaded, ["day_of_year", "yesterday_tmax"])
-    assert [n for n, _ in imp] == ["day_of_year", "yesterday_tmax"] and sum(v for _, v in imp) == pytest.approx(1.0)
+    imp = ml.feature_importances(loaded, ml.TEMPERATURE_FEATURES)
+    assert tuple(n for n, _ in imp) == ml.TEMPERATURE_FEATURES and sum(v for _, v in imp) == pytest.approx(1.0)
     one = f.limit(1)
     assert isinstance(ml.predict_one(loaded, one), float)
 
@@ -71,11 +86,13 @@ def test_train_test_tomorrow_flow(spark, tmp_path):
 
 
 def test_colour_model_and_prediction_grid(spark):
-    colours = derived.colours(spark, SF001).where(F.col("word").isin("Brand#1", "Brand#2", "Brand#3"))
+    colours = derived.colours(spark, SF001)
     model, acc = ml.train_colour_model(colours, max_iter=5)
     assert 0.0 <= acc <= 1.0
     grid = ml.prediction_grid(model, ml.lab_grid(spark, 70.0, 8))
     rows_ = grid.collect()
     assert len(rows_) == 64
-    assert {r.predicted_word for r in rows_} <= {"Brand#1", "Brand#2", "Brand#3"}
+    assert {r.predicted_word for r in rows_} <= set(COLOUR_RGB)
+    assert all((r.word_R, r.word_G, r.word_B) == COLOUR_RGB[r.predicted_word] for r in rows_)
+    assert len({(r.labA, r.labB) for r in rows_}) == 64
     assert all(0 <= r.R <= 255 for r in rows_)
