@@ -5,7 +5,7 @@ Writers sort only where the output format promises an order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions.text import format_count_line
@@ -47,6 +47,14 @@ def write_split(pos: DataFrame, neg: DataFrame, path: str, fmt: str = "json") ->
     neg.write.mode("overwrite").format(fmt).save(f"{path}/negative")
 
 
+def write_split_once(df: DataFrame, positive: Column, path: str, fmt: str = "json") -> None:
+    """The same two outputs in one pass over ``df``: sub-folders
+    ``side=positive`` and ``side=negative``; rows where the condition is null
+    are in neither."""
+    side = F.when(positive, F.lit("positive")).otherwise(F.lit("negative")).alias("side")
+    df.where(positive.isNotNull()).select("*", side).write.mode("overwrite").partitionBy("side").format(fmt).save(path)
+
+
 def write_path(path_df: DataFrame, path: str) -> None:
     """Shortest path as text, one node per line in step order (at most
     max_hops + 1 rows, so a single file is fine)."""

@@ -67,3 +67,13 @@ def test_random_ids_are_unique(spark):
     df = spark.createDataFrame([(line,), (line,)], "value string")
     ids = [r.id for r in parse_log_lines(df, id_mode="random").collect()]
     assert len(set(ids)) == 2
+
+
+def test_split_in_one_pass(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tessera.sinks import write_split_once
+    df = spark.createDataFrame([(1, 5), (2, 0), (3, None), (4, -2)], "id int, v int")
+    write_split_once(df, F.col("v") > 0, str(tmp_path / "one"))
+    ids = {s: {r.id for r in spark.read.json(str(tmp_path / "one" / f"side={s}")).collect()}
+           for s in ("positive", "negative")}
+    assert ids == {"positive": {1}, "negative": {2, 4}}
