@@ -1,7 +1,7 @@
 """Byte-pair encoding with a minimal acyclic transducer as its lexicon.
 
-1. Words are counted in Spark over all documents; the ``LEXICON_WORDS`` most
-   frequent (ties by word) are encoded once on the driver.
+1. Words are counted in Spark over all documents; the most frequent, at most
+   ``LEXICON_WORDS``, are encoded once on the driver.
 2. They are compiled into a minimal acyclic automaton whose equal suffixes are
    shared.  Its transitions carry numbers that add up, along a word's path, to
    the word's rank, which points to its ids: a transducer from words to ids.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblock as tb
-from .common import documents
+from .common import documents, stored
 
 LEXICON_WORDS = 1 << 17
 HELD_WORDS = 400_000       # words a task remembers, or counts before it hands them on
@@ -40,6 +41,7 @@ NO_RANK = np.int64(1 << 40)
 
 # Unicode white space (what the splitting pattern's \\s stands for)
 _SPACE = "".join((r"\t-\r\x20\x85\xa0", "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _PRIVATE = 0xF0000         # private-use characters stand in for those of UnicodeGaps.others
 
 
@@ -104,7 +106,8 @@ class Vocabulary:
         self.tokens.update({i: t.encode() for t, i in self.special.items()})
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern.replace(r"\s", _SPACE))
-        self.gap = regex.compile("[" + gaps.others + "".join(gaps.lower) + "]") if gaps.others or gaps.lower else None
+        self.rare = frozenset(gaps.others).union(gaps.lower)
+        self.high = re.compile(f"[{min(self.rare)}-\U0010ffff]") if self.rare else None
         self.lower = str.maketrans(gaps.lower)
         self.stand_in = {ord(c): _PRIVATE + i for i, c in enumerate(gaps.others)}
         self.back = {v: k for k, v in self.stand_in.items()}
@@ -113,23 +116,42 @@ class Vocabulary:
 
     # -- text to words ----------------------------------------------------
 
-    def words(self, text: str) -> list[str]:
-        """Pieces of a text, normalised.  A special token comes as itself."""
-        if self.cut is None or not any(t in text for t in self.special):
-            return self._plain(text)
-        out = []
-        for part in self.cut.split(text):
-            out += [part] if part in self.special else self._plain(part)
-        return out
-
-    def _plain(self, text: str) -> list[str]:
+    def normal(self, text: str) -> str:
         if not text.isascii():
             # one character at a time there is no final-sigma rule
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            if self.gap and self.gap.search(text):
-                words = self.pattern.findall(text.lower().translate(self.lower).translate(self.stand_in))
-                return [w.translate(self.back) for w in words]
-        return self.pattern.findall(text.lower())
+            if self.lower and self._has_gap(text):
+                text = text.translate(self.lower)
+        return text.lower()
+
+    def _has_gap(self, text: str) -> bool:
+        # nearly every text ends at one of the first two tests
+        return bool(self.rare) and not text.isascii() and bool(self.high.search(text)) and not self.rare.isdisjoint(text)
+
+    def chunks(self, text: str) -> list[str]:
+        """Stretches between white space, normalised: no word crosses them, so
+        they are what is remembered.  A special token comes as itself."""
+        if self.cut is not None and any(t in text for t in self.special):
+            return [c for part in self.cut.split(text)
+                    for c in ([part] if part in self.special else self._split(part))]
+        return self._split(text)
+
+    def _split(self, text: str) -> list[str]:
+        text = self.normal(text)
+        # str.split() parts at \x1c-\x1f too, the pattern does not
+        return self.pieces(text) if _SEPARATORS.search(text) else text.split()
+
+    def pieces(self, chunk: str) -> list[str]:
+        """Words of a chunk."""
+        if chunk in self.special:
+            return [chunk]
+        if self._has_gap(chunk):
+            return [w.translate(self.back) for w in self.pattern.findall(chunk.translate(self.stand_in))]
+        return self.pattern.findall(chunk)
+
+    def words(self, text: str) -> list[str]:
+        """Words of a text, in order."""
+        return [w for c in self.chunks(text) for w in self.pieces(c)]
 
     # -- exact merging ----------------------------------------------------
 
@@ -329,10 +351,28 @@ class Transducer:
 
 
 class Encoder:
-    """Words to ids through the transducer, exact merging for the rest."""
+    """Texts to ids: words through the transducer, the rest by exact merging.
+    What is known of words and chunks is held, up to a bound."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Transducer):
-        self.vocab, self.lexicon, self.held = vocab, lexicon, {}
+        self.vocab, self.lexicon = vocab, lexicon
+        self.held: dict[str, bytes] = {}         # word -> ids
+        self.chunk_ids: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids (little-endian uint32) of each text."""
+        chunks = [self.vocab.chunks(t) for t in texts]
+        known = self.chunk_ids
+        new = [c for c in set().union(*chunks) if c not in known]
+        if len(known) + len(new) > HELD_WORDS:
+            known.clear()
+            new = list(set().union(*chunks))
+        pieces = [self.vocab.pieces(c) for c in new]
+        self.learn({w for p in pieces for w in p})
+        held = self.held
+        for c, p in zip(new, pieces):
+            known[c] = held[p[0]] if len(p) == 1 else b"".join([held[w] for w in p])
+        return [b"".join([known[c] for c in cs]) for cs in chunks]
 
     def learn(self, words: set[str]) -> None:
         """Resolve words that are not held yet."""
@@ -346,13 +386,14 @@ class Encoder:
         new = [w for w in new if w not in special]
         raw = [w.encode() for w in new]
         at = self.lexicon.lookup(raw)
-        first, ids = self.lexicon.first, self.lexicon.ids
+        first, ids = self.lexicon.first, self.lexicon.ids.tobytes()
         rest = []
+        cuts = (first * 4).tolist()
         for i, k in enumerate(at.tolist()):
             if k < 0:
                 rest.append(i)
             else:
-                self.held[new[i]] = ids[first[k]:first[k + 1]].tobytes()
+                self.held[new[i]] = ids[cuts[k]:cuts[k + 1]]
         for i, got in zip(rest, self.vocab.merge([raw[i] for i in rest])):
             self.held[new[i]] = got
 
@@ -361,36 +402,50 @@ def count_words(docs: DataFrame, vocab) -> DataFrame:
     """(word, n) over all documents; ``vocab`` broadcasts Vocabulary's arguments."""
 
     def run(batches):
-        v, counts = Vocabulary(*vocab.value), Counter()
-        for batch in batches:
-            for text in tb.column(batch, "text"):
-                counts.update(v.words(text.as_py()))
-                if len(counts) >= HELD_WORDS:
-                    yield _counted(counts)
-                    counts = Counter()
-        yield _counted(counts)
+        v, chunks = Vocabulary(*vocab.value), Counter()
 
-    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        def counted():
+            words = Counter()
+            for c, n in chunks.items():
+                for w in v.pieces(c):
+                    words[w] += n
+            chunks.clear()
+            return pa.RecordBatch.from_pydict({"word": list(words), "n": list(words.values())},
+                                              pa.schema([("word", pa.string()), ("n", pa.int64())]))
 
+        for batch in batches:
+            for text in tb.column(batch, "text").to_pylist():
+                chunks.update(v.chunks(text))
+                if len(chunks) >= HELD_WORDS:
+                    yield counted()
+        yield counted()
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"word": list(counts), "n": list(counts.values())},
-                                      pa.schema([("word", pa.string()), ("n", pa.int64())]))
+    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocab: tuple, size: int = LEXICON_WORDS) -> Transducer:
-    """Transducer of the ``size`` most frequent words (a bounded number reaches the driver)."""
+    """Transducer of at most ``size`` words: those above the count that leaves
+    no more of them (words that occur once are never frequent).  The cut is
+    read off the histogram of the counts, so no more than ``size`` words
+    reach the driver."""
     sc = docs.sparkSession.sparkContext
     v = Vocabulary(*vocab)
-    top = count_words(docs, sc.broadcast(vocab)).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    words = [r["word"].encode() for r in top if r["word"] not in v.special]
+    counts = stored(count_words(docs, sc.broadcast(vocab)).where("n > 1"), "words")
+    cut, total = 1, 0
+    for n, words in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size).collect():
+        total += words
+        if total > size:
+            cut = n
+            break
+    words = [w.encode() for w, in counts.where(F.col("n") > cut).select("word").collect() if w not in v.special]
     return Transducer.compile(dict(zip(words, v.merge(words))))
 
 
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
-           lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids (array<int>), ids_le (the
-    ids as little-endian uint32 bytes), decoded (the ids' text).
+           lexicon_words: int = LEXICON_WORDS, as_array: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids_le (the ids as
+    little-endian uint32 bytes), decoded (the ids' text), with ``as_array`` also
+    ids (array<int>).
 
     Encodes every whole text without adding special tokens; a special token's
     own string in a text becomes its id.  A null or empty text, or one of
@@ -411,17 +466,16 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             ids, col = batch.column(0), tb.column(batch, "text")
             for i, j, _, _ in tb.blocks(col):
-                pieces = [v.words(t) for t in col.slice(i, j - i).to_pylist()]
-                enc.learn(set().union(*pieces))
-                held = enc.held
-                le = [b"".join([held[w] for w in p]) for p in pieces]
-                offs = np.concatenate([[0], np.cumsum([len(x) // 4 for x in le])]).astype(np.int32)
-                flat = np.frombuffer(b"".join(le), "<u4").astype(np.int32)
+                le = enc.encode(col.slice(i, j - i).to_pylist())
                 decoded = [v.decode(np.frombuffer(x, "<u4")) for x in le]
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(i, j - i), pa.array(np.diff(offs).astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offs), pa.array(flat)),
-                    pa.array(le, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())],
-                    ["doc_id", "n_tokens", "ids", "ids_le", "decoded"])
+                columns = [ids.slice(i, j - i), pa.array([len(x) // 4 for x in le], pa.int64()),
+                           pa.array(le, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())]
+                if as_array:
+                    offs = np.concatenate([[0], np.cumsum([len(x) // 4 for x in le])]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(le), "<i4"))))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "n_tokens", "ids_le", "decoded"] + ["ids"] * as_array
+    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_le binary, decoded string"
+                           + ", ids array<int>" * as_array)
 
-    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids array<int>, ids_le binary, decoded string")

@@ -27,10 +27,7 @@ def library():
 
 
 def _ids(vocab, text, lexicon):
-    enc = bpe.Encoder(vocab, lexicon)
-    words = vocab.words(text)
-    enc.learn(set(words))
-    return np.frombuffer(b"".join(enc.held[w] for w in words), "<u4")
+    return np.frombuffer(bpe.Encoder(vocab, lexicon).encode([text])[0], "<u4")
 
 
 EMPTY = bpe.Transducer.compile({})
