@@ -7,9 +7,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-from tessera.session import build_session  # noqa: E402
+from llm_helpers import CLASHING, EDGE_ROWS, SF, frame  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+from tessera.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,22 +27,11 @@ def pairs(docs):
     return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
 
 
-def frame(spark, rows, parts=3):
-    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
-
-
 @pytest.fixture
 def rng():
     return random.Random(7)
 
 
-#: Names that operators use inside; as extra columns they must not matter.
-CLASHING = ("d k n lo hi a b at band bucket ord comp component family own blk spans extra kept words found "
-            "term pos y f score lang_pred regs set gram rep lead tail ids").split()
-EDGE_ROWS = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "one"), (5, "one"), (6, "..."), (None, "one two three"),
-             (None, None), (7, "é" * 300), (8, "word " * 30000), (9, "x" * 20000), (10, "a1 🙂 ß Σ\x00")]
-
-
 @pytest.fixture(scope="session")
 def edge(spark):
     """Nulls, empty and very long texts, ties, repeated rows, clashing columns."""

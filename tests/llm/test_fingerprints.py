@@ -2,12 +2,12 @@
 import hashlib
 
 import brute
-from conftest import EDGE_ROWS, frame
+from llm_helpers import EDGE_ROWS, frame
 
 from tessera.llm import minhash
 from tessera.llm.queries import QUERIES
 
-from conftest import SF
+from llm_helpers import SF
 
 
 def _exact(a, b, k=5):

@@ -1,7 +1,7 @@
 """op3 and op5: held-out quality, decoding, edge cases."""
 import numpy as np
 import pytest
-from conftest import EDGE_ROWS, SF
+from llm_helpers import EDGE_ROWS, SF
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, toxicity

@@ -2,7 +2,7 @@
 import brute
 import numpy as np
 import pytest
-from conftest import EDGE_ROWS, SF, frame
+from llm_helpers import EDGE_ROWS, SF, frame
 
 from tessera.llm import components, hyperminhash as hm
 from tessera.llm.queries import QUERIES

@@ -2,7 +2,7 @@
 import hashlib
 
 import brute
-from conftest import EDGE_ROWS, SF, frame
+from llm_helpers import EDGE_ROWS, SF, frame
 
 from tessera.llm import license_scan as ls
 from tessera.llm.decontaminate import decontaminate

@@ -3,7 +3,7 @@ import hashlib
 
 import brute
 import pytest
-from conftest import EDGE_ROWS, SF, frame
+from llm_helpers import EDGE_ROWS, SF, frame
 
 from tessera.llm import suffix_dedup as sd
 from tessera.llm.queries import QUERIES

@@ -3,7 +3,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from conftest import EDGE_ROWS, SF
+from llm_helpers import EDGE_ROWS, SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
