@@ -125,6 +125,7 @@ def window_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = shared.withColumn("n", F.col("b") - F.col("a")).join(same, ["gram", "lo", "hi", "n"])
     whole = placed.where("d > d0").select("d", "k", "a", (F.col("b") + window).alias("b"))
     several = same.groupBy("gram").agg(F.count(F.lit(1)).alias("n_stretches")).where("n_stretches > 1").select("gram")
+    several = small_side(stored(several, "grams"), 16)
     firsts = placed.where("d = d0").join(several, "gram", "leftsemi") \
                    .select("d", "k", "a", (F.col("b") + 1).alias("b"))
     wanted = stored(merge_gaps(firsts, parts), "wanted")
