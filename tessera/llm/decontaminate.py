@@ -78,12 +78,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Null or empty texts have no words; an item without words has no window; an
     empty benchmark hits nothing.  Rows with a repeated or null doc_id are
-    judged each on their own text; items of one id are tested each, and
-    reported under the id (a null id is never reported).
+    judged each on their own text; items of one id are tested each (one that
+    stands twice once), and reported under the id (a null id is never reported).
     """
     docs = documents(docs, id_col, text_col)
     items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words")) \
-                     .where(F.size("words") > 0).withColumn("item_key", F.xxhash64("item_id", "words")) \
+                     .where(F.size("words") > 0).dropDuplicates(["item_id", "words"]) \
+                     .withColumn("item_key", F.xxhash64("item_id", "words")) \
                      .withColumn("joined", F.array_join("words", "   "))
     items = stored(items, "items")
     vocabulary = stored(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")

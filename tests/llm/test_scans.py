@@ -79,3 +79,13 @@ def test_contamination_edge_rows(spark, edge, nothing):
     assert sorted(r.n_hit for r in got if r.doc_id in (4, 5)) == [1, 1, 1]
     assert decontaminate(nothing, bench).count() == 0
     assert decontaminate(edge, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_contamination_by_items_that_stand_twice(spark, rng):
+    words = [f"w{i}" for i in range(60)]
+    short, long = (" ".join(rng.choice(words) for _ in range(n)) for n in (10, 25))
+    items = [(1, short), (1, short), (2, long), (2, long), (2, long), (None, "x y z"), (None, "x y z"), (3, short)]
+    rows = [(1, "before " + short + " after"), (2, " ".join(long.split()[4:19])), (3, long), (4, "clean")]
+    _contamination(spark, rows, items[:5] + items[7:])
+    df = decontaminate(frame(spark, [(1, "a x y z b")]), spark.createDataFrame(items, "item_id long, text string"))
+    assert [(r.n_hit, r.n_items) for r in df.collect()] == [(3, 0)]
