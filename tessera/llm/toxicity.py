@@ -51,6 +51,10 @@ _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _RUN = re.compile(r"(\S)\1\1+")
 _APART = re.compile(r"(?<![^\s.,;:\"(])(?:[^\W_][ .\-_*]){2,}[^\W_](?![^\s.,;:!?\")])")
 _WORD = re.compile(r"[^\W\d_]+")
+REPEATS = 4      # a longer run of one letter is read as one of this length
+GLUED = 40       # longer tokens are cut at their separators before decoding
+_STRETCHED = re.compile(r"([^\W_]|[@$!|+(€])\1{%d,}" % REPEATS)
+_GLUE = re.compile(r"((?:[^\w@$!|+(€*]|_)+)")
 
 
 # -- the character model -----------------------------------------------------
@@ -128,28 +132,58 @@ class Decoder:
         return ord(c) - 96 if "a" <= c <= "z" else OTHER
 
     def decode(self, text: str) -> str:
-        """Most likely original of one stretch (lower case)."""
+        """Most likely original of one stretch (lower case) of any length.
+
+        A path is a chain (path before, letter), shared by the paths that go
+        on from it, so the cost is linear in the length.  Of a run of more than
+        ``REPEATS`` letters all but these are dropped: they cost the same on
+        every path that keeps no more.
+        """
+        text = _STRETCHED.sub(lambda m: m[1] * REPEATS, text)
         if text in self.held:
             return self.held[text]
-        paths: dict[tuple[int, int], tuple[float, str]] = {(BOUND, BOUND): (0.0, "")}
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(BOUND, BOUND): (0.0, None)}
         for options in self.lattice(text):
-            nxt: dict[tuple[int, int], tuple[float, str]] = {}
+            nxt: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, done) in paths.items():
                 for letter, channel in options:
                     if not letter:
                         state, total, got = (a, b), cost + channel, done
                     else:
                         c = self._code(letter)
-                        state, total, got = (b, c), cost + channel + self.costs[a][b][c], done + letter
-                    if state not in nxt or (total, got) < nxt[state]:
+                        state, total, got = (b, c), cost + channel + self.costs[a][b][c], (done, letter)
+                    if state not in nxt or total < nxt[state][0]:
                         nxt[state] = total, got
             paths = nxt
-        best = min((cost + self.costs[a][b][BOUND], got) for (a, b), (cost, got) in paths.items())[1]
-        if len(self.held) > 100_000:
-            self.held.clear()
-        self.held[text] = best
+        _, (_, path) = min(paths.items(), key=lambda x: x[1][0] + self.costs[x[0][0]][x[0][1]][BOUND])
+        letters = []
+        while path is not None:
+            path, letter = path
+            letters.append(letter)
+        best = "".join(reversed(letters))
+        if len(text) <= GLUED:
+            if len(self.held) > 100_000:
+                self.held.clear()
+            self.held[text] = best
         return best
 
+    def glued(self, t: str, triple: bool) -> list[str]:
+        """Restored words of a long token: each part between separators by
+        itself, but letters set apart by single ones as one stretch."""
+        parts = _GLUE.split(t)          # part, separators, part, ...
+        out, i = [], 0
+        while i < len(parts):
+            j = i
+            while j + 2 < len(parts) and len(parts[j]) == 1 == len(parts[j + 2]) and parts[j + 1] in (".", "-", "_"):
+                j += 2
+            if j > i + 2:
+                out += self.decode("".join(parts[i:j + 1])).split()
+            else:
+                for p in parts[i:j + 1:2]:
+                    out += self.word(p, triple)
+            i = j + 2
+        return out
+
     def restore(self, text: str) -> list[str]:
         """Restored words of a text, in order."""
         low = text.lower()
@@ -168,11 +202,14 @@ class Decoder:
                 return []
             if not bare.isalpha():
                 # '!' and '*' at the end are punctuation, inside a word letters
-                if len(bare) > 40 or not any(c in LEET for c in bare) or not any(c.isalpha() for c in bare):
+                if not any(c in LEET for c in bare) or not any(c.isalpha() for c in bare):
                     return _WORD.findall(bare)
+                bare = _STRETCHED.sub(lambda m: m[1] * REPEATS, bare)
+                if len(bare) > GLUED and _GLUE.search(bare):
+                    return self.glued(bare, triple)
                 return self.decode(bare).split()
             t = bare
-        if triple and _TRIPLE.search(t) and len(t) <= 60:
+        if triple and _TRIPLE.search(t):
             return self.decode(t).split()
         return [t]
 

@@ -71,6 +71,24 @@ def test_decoder_restores(decoder, seen, meant):
     assert " ".join(decoder.restore(seen)) == meant
 
 
+@pytest.mark.parametrize("glue", ["-", "/", ".", "_", "--", ",;"])
+def test_decoder_restores_long_tokens(decoder, glue):
+    words = {"1d10t": "idiot", "m0r0n": "moron", "w0rthl3ss": "worthless", "p@thet1c": "pathetic", "cl0wn": "clown", "loser": "loser"}
+    token = glue.join([*words] * 2)
+    assert len(token) > 40 and decoder.restore(token) == [*words.values()] * 2
+
+
+def test_decoder_restores_letters_apart_in_a_long_token(decoder):
+    assert decoder.restore("cl0wn/w0rthl3ss/s-t-u-p-1-d/p@thet1c/loser") == ["clown", "worthless", "stupid", "pathetic", "loser"]
+
+
+@pytest.mark.parametrize("n", [3, 5, 57, 70, 100_000])
+def test_decoder_restores_long_repeats(decoder, n):
+    assert decoder.restore("a stu" + "u" * n + "pid thing") == ["a", "stupid", "thing"]
+    assert decoder.restore("stu" + "u" * n + "p1d") == ["stupid"]
+    assert len(" ".join(decoder.restore("x1z" * n))) > 0
+
+
 def test_viterbi_finds_the_cheapest_path(decoder):
     import itertools
     costs = np.array(decoder.costs)
