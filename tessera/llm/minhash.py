@@ -6,8 +6,8 @@ shingles, of which 16 bits are kept.  The share of equal registers estimates
 the Jaccard similarity of the shingle sets (corrected for the 2^-16 chance of
 an accidental match).
 
-``near_pairs`` bands the registers, joins equal bands in Spark and verifies
-the Jaccard similarity on the full shingle sets.
+``near_pairs`` bands the registers, brings equal bands together in Spark and
+verifies the Jaccard similarity on the full shingle sets, over the whole table.
 """
 
 from __future__ import annotations
@@ -20,12 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textblock as tb
-from .common import MAX_ID, documents, shuffle_partitions
+from .common import MAX_ID, documents, shuffle_partitions, small_side, stored
+from .components import connected_components
+from .hyperminhash import _bands
 
 PERMS = 128
 SHINGLE_WORDS = 5
 CHANCE = 2.0 ** -16
 EMPTY = 0xFFFF
+PERCENT = 80             # linked when 100 * intersection >= PERCENT * union
+BLOCK_ROWS = 256         # sets of a block; one task compares two blocks
 
 _rng = np.random.RandomState(20240601)
 _A = _rng.randint(0, 2**63 - 1, PERMS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -198,3 +202,108 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     rows = _ordered_with_next(documents(docs, id_col, text_col))
     return rows.select("doc_id", "tail", "text").mapInArrow(run, EDIT_SCHEMA)
+
+
+def _class_rows(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, d, n, lo, hi, regs): size, 128-bit hash and registers of every row's set."""
+    def run(batches):
+        for batch in batches:
+            for i, j, buf, offs in tb.blocks(tb.column(batch, "text")):
+                h, begin = row_shingles(buf, offs, shingle_words)
+                sets = tb.unique_rows(h, begin)
+                lo = np.array([u.sum(dtype=np.uint64) for u in sets], np.uint64)
+                hi = np.array([tb.mix(u ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) for u in sets], np.uint64)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
+                    pa.array([len(u) for u in sets], pa.int64()), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)),
+                    pa.array([r.tobytes() for r in registers(h, begin)], pa.binary())],
+                    ["doc_id", "d", "n", "lo", "hi", "regs"])
+
+    return rows.select("doc_id", "d", "text").mapInArrow(
+        run, "doc_id bigint, d bigint, n bigint, lo bigint, hi bigint, regs binary")
+
+
+def _full_sets(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """(d, set): sorted distinct shingle hashes."""
+    def run(batches):
+        for batch in batches:
+            for i, j, buf, offs in tb.blocks(tb.column(batch, "text")):
+                sets = tb.unique_rows(*row_shingles(buf, offs, shingle_words))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i),
+                                                  pa.array([u.tobytes() for u in sets], pa.binary())], ["d", "set"])
+
+    return rows.select("d", "text").mapInArrow(run, "d bigint, set binary")
+
+
+def _count_links(percent: int):
+    """Counts, for two blocks of sets, the rows that each set is linked with."""
+    share = percent / 100
+    reach = share - 6 * np.sqrt(share * (1 - share) / PERMS)     # a true link fails here once in 1e9
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        blk, rows = table["blk"].to_numpy(), table["n_rows"].to_numpy()
+        regs = np.frombuffer(b"".join(table["regs"].to_pylist()), np.uint16).reshape(-1, PERMS)
+        sets = [np.frombuffer(s, np.uint64) for s in table["set"].to_pylist()]
+        size, links = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64)
+        left, right = np.flatnonzero(blk == x), np.flatnonzero(blk == y)
+        for i in left:
+            j = right[right > i] if x == y else right
+            j = j[100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])]
+            # registers of a small set depend on each other: nothing is pruned there
+            j = j[((regs[i] == regs[j]).mean(axis=1) >= reach) | (np.minimum(size[i], size[j]) < PERMS)]
+            for k in j.tolist():
+                u, v = (sets[i], sets[k]) if size[i] <= size[k] else (sets[k], sets[i])
+                same = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+                if 100 * same >= percent * (len(u) + len(v) - same):
+                    links[i] += rows[k]
+                    links[k] += rows[i]
+        return pa.table({"d": table["d"], "links": pa.array(links)})
+
+    return run
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, class_id, n_links.
+
+    ``class_id`` is the smallest doc_id among the rows of the same shingle set
+    (null where all of them have none), ``n_links`` the number of other rows,
+    anywhere in the table, whose set has a Jaccard similarity of at least
+    ``percent`` to the row's own; rows of one class are linked.
+
+    Equal sets are compared once, as a class.  Classes that share one of 32
+    bands of four registers, directly or through others, form a family (a pair
+    of similarity 0.8 shares none with a chance of 5e-8); a family is dealt
+    into blocks, one task compares two of them on the full sets, and only
+    counts leave it, never pairs.
+
+    A row without words is alone in its class and has no links.  Rows are
+    judged each on their own text, also where ids are null or repeated.
+    """
+    rows = documents(docs, id_col, text_col).withColumn("d", F.xxhash64("doc_id", "text"))
+    of_row = stored(_class_rows(rows, shingle_words), "registers")
+    classes = stored(of_row.where("n > 0").groupBy("lo", "hi", "n").agg(
+        F.min("d").alias("d"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"),
+        F.min("regs").alias("regs")), "classes")
+    bands = stored(_bands(classes), "bands")
+    shared = bands.groupBy("band").agg(F.min("d").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    star = bands.join(shared, "band").where("d != lead").select(F.col("lead").alias("a"), F.col("d").alias("b")).distinct()
+    family = stored(connected_components(star).select(F.col("node").alias("d"), F.col("component").alias("family")), "families")
+    sizes = stored(family.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")), "sizes")
+    dealt = family.join(small_side(sizes, 16), "family") \
+                  .withColumn("blk", F.pmod(F.xxhash64("d"), "blocks")) \
+                  .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))) \
+                  .select("family", "d", "blk", F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"))
+    wanted = rows.join(small_side(family.select("d"), 8), "d", "leftsemi").dropDuplicates(["d"])
+    sets = stored(_full_sets(wanted, shingle_words), "sets")
+    links = dealt.join(classes.select("d", "n_rows", "regs"), "d").join(sets, "d") \
+                 .select("family", "x", "y", "blk", "d", "n_rows", "regs", "set") \
+                 .groupBy("family", "x", "y").applyInArrow(_count_links(percent), "d bigint, links bigint") \
+                 .groupBy("d").agg(F.sum("links").alias("links"))
+    found = stored(classes.drop("regs").join(links, "d", "left").select(
+        "lo", "hi", "n", "class_id", (F.col("n_rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "links")
+    out = of_row.select("doc_id", "n", "lo", "hi").join(found, ["lo", "hi", "n"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+                      F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))

@@ -2,6 +2,7 @@
 import hashlib
 
 import brute
+import pytest
 from llm_helpers import EDGE_ROWS, frame
 
 from tessera.llm import minhash
@@ -45,3 +46,32 @@ def test_edge_rows(spark, edge, nothing):
 def test_single_document_follows_itself(spark):
     r = minhash.edit_fingerprints(frame(spark, [(1, "abcdefgh")])).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and r.near_next == 1.0
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_near_pairs_match_brute_force(spark, rng, monkeypatch, block):
+    """Copies, near copies and chance pairs anywhere in the table; null and repeated ids."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
+    words = [f"w{i}" for i in range(500)]
+    bases = [[rng.choice(words) for _ in range(n)] for n in (200, 60, 12, 3)]
+    texts = [" ".join(bases[0])] * 80 + [None, "", "one"]
+    for base in bases:
+        for _ in range(30):
+            w = list(base)
+            at = rng.randrange(len(w))
+            w[at:at + rng.randint(0, max(1, len(w) // 12))] = [rng.choice(words)]
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    rows = [(None if n % 9 == 0 else n // 2, t) for n, t in enumerate(texts)]
+    sets = [brute.shingle_set(t, 5) for _, t in rows]
+    want = []
+    for n, (i, _) in enumerate(rows):
+        same = [j for m, (j, _) in enumerate(rows) if sets[m] == sets[n] and j is not None]
+        links = sum(1 for m, s in enumerate(sets) if m != n and s and sets[n] and 10 * len(s & sets[n]) >= 8 * len(s | sets[n]))
+        want.append((i, len(sets[n]), min(same, default=None) if sets[n] else i, links))
+    got = [tuple(r) for r in minhash.near_pairs(frame(spark, rows, 5)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_near_pairs_of_an_empty_table(spark, nothing):
+    assert minhash.near_pairs(nothing).count() == 0
