@@ -86,6 +86,9 @@ def _features(buf: np.ndarray, offs: np.ndarray):
         yield bucket + k * DIM, ok
 
 
+ADD_PARTS = 64           # first sums of a language's partial tables
+
+
 def count_ngrams(train: DataFrame) -> list[tuple[str, np.ndarray]]:
     """(language, n-gram counts) over all rows of ``train(lang, text)``."""
     ship(train.sparkSession)
@@ -119,8 +122,11 @@ def count_ngrams(train: DataFrame) -> list[tuple[str, np.ndarray]]:
             v += np.frombuffer(x.as_py())
         return pa.table({"lang": table["lang"][:1], "counts": pa.array([v.tobytes()], pa.binary())})
 
-    partial = train.select("lang", "text").mapInArrow(count, "lang string, counts binary")
-    got = partial.groupBy("lang").applyInArrow(add, "lang string, counts binary")
+    # the tables of slices are added up in parallel before each language's last, small sum
+    partial = train.select("lang", "text").mapInArrow(count, "lang string, counts binary") \
+                   .withColumn("part", F.spark_partition_id() % ADD_PARTS)
+    once = partial.groupBy("lang", "part").applyInArrow(add, "lang string, counts binary")
+    got = once.groupBy("lang").applyInArrow(add, "lang string, counts binary")
     return sorted((r["lang"], np.frombuffer(r["counts"])) for r in got.collect())
 
 

@@ -129,3 +129,12 @@ def test_toxicity_edge_rows(spark, edge, nothing):
     assert toxicity.score(nothing, toxicity.fit(nothing, labels.limit(0))).count() == 0
     assert toxicity.restored(edge, model.costs).count() == len(EDGE_ROWS)
     assert edge.select(toxicity.held_out(), langid.held_out()).where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_ngram_tables_are_added_in_two_levels(spark, docs, monkeypatch):
+    plans, kind = [], type(docs)
+    one, collect = langid.count_ngrams(docs.coalesce(1)), kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    many = langid.count_ngrams(docs.repartition(70))
+    assert [x for x, _ in one] == [x for x, _ in many] and all((a == b).all() for (_, a), (_, b) in zip(one, many))
+    assert plans[0].split("Physical Plan")[1].count("FlatMapGroupsInArrow") >= 2
