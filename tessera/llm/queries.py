@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .bpe import encode
+from .collocations import collocations
 from .common import load
 from .decontaminate import decontaminate
 from .hyperminhash import near_duplicates
 from .license_scan import license_scan
+from .line_dedup import line_dedup
 from .minhash import edit_fingerprints
+from .oracle import SQL
+from .periodic_runs import periodic_runs, planted
 from .suffix_dedup import substring_dedup
 from .token_counts import section_tokens
 from .window_dedup import window_dedup
@@ -79,5 +83,21 @@ def op10_benchmark_decontamination(spark, d):
         F.size("near_item_ids").cast("bigint").alias("n_near_items"))
 
 
+def op11_phrase_collocations(spark, d):
+    return collocations(load(spark, d, "documents"))
+
+
+def op12_periodic_runs(spark, d):
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return periodic_runs(load(spark, d, "documents"), change=planted).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_line_dedup(spark, d):
+    return line_dedup(load(spark, d, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op") and callable(fn)}
-SQL: dict[str, str] = {}
