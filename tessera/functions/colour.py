@@ -78,6 +78,34 @@ def rgb_to_lab(df: DataFrame, r: str = "R", g: str = "G", b: str = "B",
     return df.withColumns({out_l: lab[0], out_a: lab[1], out_b: lab[2]})
 
 
+def lab_statement(passthrough: tuple[str, ...] = (), r: str = "R", g: str = "G", b: str = "B",
+                  source: str = "__THIS__") -> str:
+    """The same conversion as SQL text over ``source``: labL, labA, labB and
+    the passed-through columns.  ``__THIS__`` is the input of a SQL stage."""
+    def num(x: float) -> str:
+        return f"{float(x)!r}D"
+
+    def linear(c: str) -> str:
+        c = f"(`{c}` / {num(255)})"
+        return (f"CASE WHEN {c} > {num(LIN_THRESHOLD)} THEN power(({c} + {num(LIN_OFFSET)}) / {num(LIN_SCALE)}, {num(GAMMA)}) "
+                f"ELSE {c} / {num(LIN_SLOPE)} END")
+
+    def mixed(row, white: float) -> str:
+        return f"({' + '.join(f'{c} * {num(v)}' for c, v in zip(('_r', '_g', '_b'), row))}) / {num(white)}"
+
+    def companded(t: str) -> str:
+        return f"CASE WHEN {t} > {num(LAB_EPS)} THEN power({t}, {num(1.0 / 3)}) ELSE {num(LAB_KAPPA)} * {t} + {num(16.0 / 116)} END"
+
+    kept = "".join(f"`{c}`, " for c in passthrough)
+    steps = [", ".join(f"{linear(c)} AS {n}" for c, n in ((r, "_r"), (g, "_g"), (b, "_b"))),
+             ", ".join(f"{mixed(row, w)} AS {n}" for row, w, n in zip(XYZ_FROM_RGB, (WHITE_X, 1.0, WHITE_Z), ("_x", "_y", "_z"))),
+             ", ".join(f"{companded(c)} AS {c}" for c in ("_x", "_y", "_z")),
+             f"{num(116)} * _y - {num(16)} AS labL, {num(500)} * (_x - _y) AS labA, {num(200)} * (_y - _z) AS labB"]
+    for step in steps:
+        source = f"(SELECT {kept}{step} FROM {source})"
+    return source[1:-1]
+
+
 def rgb_to_hsv_cols(r: Column, g: Column, b: Column, input_bytes: bool = True):
     """(H, S, V) in [0, 1]; a grey (delta 0) has H = S = 0.
 

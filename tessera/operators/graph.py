@@ -65,7 +65,7 @@ BUCKET_BYTES = 128 << 20   # aimed size of one bucket of the edge table
 EDGE_BYTES = 16            # two ids
 
 
-def _bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None,
+def bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None,
               partition_by: str | None = None) -> None:
     """Create the table at ``path``, or append to it where none is given."""
     w = df.write.mode("errorifexists" if path else "append").bucketBy(buckets, key).sortBy(key)
@@ -76,6 +76,63 @@ def _bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None
     w.saveAsTable(name)
 
 
+def clean_edges(edges: DataFrame, src_col: str = "source", dst_col: str = "node") -> DataFrame:
+    """(_src, _dst) of the edges whose ends are both known."""
+    return (edges.select(F.col(src_col).cast("bigint").alias("_src"),
+                         F.col(dst_col).cast("bigint").alias("_dst"))
+                 .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()))
+
+
+class Links:
+    """Distinct edges (_src, _dst) stored once for look-ups by ``_src``.
+
+    Hot sources are those whose out-degree is above an average bucket (total /
+    buckets).  There are at most ``buckets`` of them, so their id list is a
+    proven-small broadcast.  Their edges are kept out of the bucketed table
+    (where one source would make one huge bucket and one huge task every hop)
+    and stored as a plain table that scans in size-balanced splits.
+    """
+
+    def __init__(self, e_all: DataFrame, buckets: int | None = None):
+        spark = e_all.sparkSession
+        self.spark, self.name, self.path = spark, f"tessera_edges_{uuid.uuid4().hex[:12]}", scratch_path(spark, "bfs-edges")
+        deg = e_all.groupBy("_src").agg(F.count(F.lit(1)).alias("_deg"))
+        total, top = deg.agg(F.sum("_deg"), F.max("_deg")).first()
+        nb = buckets or max(spark.sparkContext.defaultParallelism, -(-(total or 0) * EDGE_BYTES // BUCKET_BYTES))
+        self.buckets = nb
+        limit = max(1, (total or 0) // nb)
+        hot = None
+        if (top or 0) > limit:
+            hot = materialize(deg.where(F.col("_deg") > F.lit(limit)).select("_src"))
+            if not hot.count():
+                hot = None
+        regular = e_all.join(F.broadcast(hot), "_src", "left_anti") if hot is not None else e_all
+        # hash-partitioning on _src already clusters (_src, _dst), so distinct
+        # adds no shuffle, and each task then writes exactly one bucket file
+        bucketed(regular.repartition(nb, "_src").distinct(), self.name, "_src", nb, self.path)
+        self.hot, self.hot_ids, self.hot_path = None, None, None
+        if hot is not None:
+            self.hot_path = scratch_path(spark, "bfs-hot-edges")
+            e_all.join(F.broadcast(hot), "_src", "left_semi").distinct().write.parquet(self.hot_path)
+            self.hot = spark.read.parquet(self.hot_path)
+            self.hot_ids = F.broadcast(hot.withColumnRenamed("_src", "_hot"))
+
+    def reach(self, frontier: DataFrame) -> DataFrame:
+        """(node, _dst): every edge out of the frontier's nodes."""
+        e = self.spark.table(self.name)
+        pairs = frontier.join(e, frontier["node"] == e["_src"]).select("node", "_dst")
+        if self.hot is None:
+            return pairs
+        # frontier nodes that are hot: at most as many as buckets -> broadcast
+        f_hot = frontier.join(self.hot_ids, frontier["node"] == F.col("_hot"), "left_semi")
+        return pairs.unionByName(F.broadcast(f_hot).join(self.hot, F.col("node") == self.hot["_src"]).select("node", "_dst"))
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        for path in filter(None, (self.path, self.hot_path)):
+            delete_path(self.spark, path)
+
+
 def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | None = None,
         src_col: str = "source", dst_col: str = "node", snapshot_dir: str | None = None,
         buckets: int | None = None):
@@ -91,39 +148,12 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
     """
     spark: SparkSession = edges.sparkSession
     tag = uuid.uuid4().hex[:12]
-    e_name, v_name = f"tessera_bfs_edges_{tag}", f"tessera_bfs_visited_{tag}"
-
-    e_all = (edges.select(F.col(src_col).cast("bigint").alias("_src"),
-                          F.col(dst_col).cast("bigint").alias("_dst"))
-                  .where(F.col("_src").isNotNull() & F.col("_dst").isNotNull()))
-    # Hot sources: out-degree above an average bucket (total / nb).  There
-    # are at most nb of them, so their id list is a proven-small broadcast.
-    # Their edges are kept out of the bucketed table (where one source
-    # would make one huge bucket and one huge task every hop) and stored
-    # as a plain table that scans in size-balanced splits.
-    deg = e_all.groupBy("_src").agg(F.count(F.lit(1)).alias("_deg"))
-    total, top = deg.agg(F.sum("_deg"), F.max("_deg")).first()
-    nb = buckets or max(spark.sparkContext.defaultParallelism, -(-(total or 0) * EDGE_BYTES // BUCKET_BYTES))
-    limit = max(1, (total or 0) // nb)
-    n_hot, hot = 0, None
-    if (top or 0) > limit:
-        hot = materialize(deg.where(F.col("_deg") > F.lit(limit)).select("_src"))
-        n_hot = hot.count()
-    e_reg = e_all.join(F.broadcast(hot), "_src", "left_anti") if n_hot else e_all
-    # hash-partitioning on _src already clusters (_src, _dst), so distinct
-    # adds no shuffle, and each task then writes exactly one bucket file
-    e_path, v_path = scratch_path(spark, "bfs-edges"), scratch_path(spark, "bfs-visited")
-    _bucketed(e_reg.repartition(nb, "_src").distinct(), e_name, "_src", nb, e_path)
-    e = spark.table(e_name)
-    e_hot, hot_path = None, None
-    if n_hot:
-        hot_path = scratch_path(spark, "bfs-hot-edges")
-        e_all.join(F.broadcast(hot), "_src", "left_semi").distinct().write.parquet(hot_path)
-        e_hot = spark.read.parquet(hot_path)
-        hot_ids = F.broadcast(hot.withColumnRenamed("_src", "_hot"))
+    v_name, v_path = f"tessera_bfs_visited_{tag}", scratch_path(spark, "bfs-visited")
+    links = Links(clean_edges(edges, src_col, dst_col), buckets)
+    nb = links.buckets
 
     start = spark.createDataFrame([(int(source), None, [int(source)], 0)], VISITED_SCHEMA)
-    _bucketed(start, v_name, "node", nb, v_path, partition_by="distance")
+    bucketed(start, v_name, "node", nb, v_path, partition_by="distance")
     known = 1
     counts = [(0, known)]
     found = destination is not None and int(destination) == int(source)
@@ -134,13 +164,7 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
             break
         visited = spark.table(v_name)
         frontier = visited.where(F.col("distance") == hop - 1)
-        pairs = frontier.join(e, frontier["node"] == e["_src"]).select("node", "_dst")
-        if e_hot is not None:
-            # frontier nodes that are hot: at most n_hot rows -> broadcast
-            f_hot = frontier.join(hot_ids, frontier["node"] == F.col("_hot"), "left_semi")
-            pairs = pairs.unionByName(
-                F.broadcast(f_hot).join(e_hot, F.col("node") == e_hot["_src"])
-                 .select("node", "_dst"))
+        pairs = links.reach(frontier)
         reached = pairs.groupBy(F.col("_dst").alias("node")).agg(F.min("node").alias("parent"))
         paths = frontier.select(F.col("node").alias("_p"), F.col("path").alias("_path"))
         new = (reached.join(visited.select("node"), "node", "left_anti")
@@ -153,7 +177,7 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
         dest_hit = (F.col("node") == F.lit(destination)) if destination is not None else F.lit(False)
         new = new.observe(obs, F.count(F.lit(1)).alias("n"),
                           F.max(dest_hit.cast("int")).alias("hit"))
-        _bucketed(new, v_name, "node", nb, partition_by="distance")
+        bucketed(new, v_name, "node", nb, partition_by="distance")
         n_new = obs.get["n"]
         if n_new == 0:
             break
@@ -163,10 +187,8 @@ def bfs(edges: DataFrame, source: int, max_hops: int = 6, destination: int | Non
             _snapshot(spark.table(v_name), f"{snapshot_dir}/iter-{hop}")
         found = destination is not None and obs.get["hit"] == 1
     result = spark.read.schema(VISITED_SCHEMA).parquet(v_path)
-    for name in (e_name, v_name):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    for path in filter(None, (e_path, hot_path)):
-        delete_path(spark, path)
+    spark.sql(f"DROP TABLE IF EXISTS {v_name}")
+    links.drop()
     return result, counts
 
 

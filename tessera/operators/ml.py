@@ -7,17 +7,20 @@ plain aggregates so they can be checked against SQL.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.colour import rgb_to_lab_cols
+from ..functions.colour import lab_statement, rgb_to_lab_cols
 from ..functions.stats import significant
+from .joins import materialize
 
 TEMPERATURE_FEATURES = ("latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax")
 
@@ -44,23 +47,83 @@ def previous_day_features(daily: DataFrame) -> DataFrame:
         "station", "date", F.dayofyear("date").alias("day_of_year"), "tmax", "yesterday_tmax", *extra)
 
 
-class PreviousDay(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """``previous_day_features`` as a pipeline stage."""
+PREVIOUS_DAY = """
+SELECT today.station, today.date, dayofyear(today.date) AS day_of_year, today.tmax AS tmax,
+       yesterday.tmax AS yesterday_tmax, today.latitude, today.longitude, today.elevation
+FROM __THIS__ AS today INNER JOIN __THIS__ AS yesterday
+  ON date_sub(today.date, 1) = yesterday.date AND today.station = yesterday.station
+"""
+
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return previous_day_features(dataset)
+def previous_day_stage() -> SQLTransformer:
+    """The previous-day features as SQL text: a stage that any Spark session
+    can load with the model, without this library.  It expects one row per
+    station and date."""
+    return SQLTransformer(statement=PREVIOUS_DAY)
 
 
-def previous_day_stage() -> PreviousDay:
-    return PreviousDay()
+def lab_stage(passthrough: tuple[str, ...] = ("word",)) -> SQLTransformer:
+    """RGB to LAB as SQL text."""
+    return SQLTransformer(statement=lab_statement(passthrough))
 
 
-def gbt_pipeline(features=TEMPERATURE_FEATURES, label: str = "tmax",
-                 max_iter: int = 20, seed: int = 40, with_sql_stage: bool = False) -> Pipeline:
+def gbt_pipeline(features=TEMPERATURE_FEATURES, label: str = "tmax", max_iter: int = 20, seed: int = 40,
+                 with_sql_stage: bool = False, validation: str | None = None, tolerance: float = 0.01,
+                 checkpoint_interval: int = 10) -> Pipeline:
+    """Boosted trees over ``features``, with the previous-day SQL stage in
+    front if asked for.  ``validation`` names a boolean column: its rows are
+    held out, and boosting ends once a tree improves their error by less than
+    ``tolerance``.  Every ``checkpoint_interval`` trees the residuals' lineage
+    is cut in the shared checkpoint folder, if one is set."""
     stages = [previous_day_stage()] if with_sql_stage else []
-    stages += [VectorAssembler(inputCols=list(features), outputCol="features"),
-               GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)]
-    return Pipeline(stages=stages)
+    early = {"validationIndicatorCol": validation, "validationTol": tolerance} if validation else {}
+    trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed,
+                         checkpointInterval=checkpoint_interval, **early)
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=list(features), outputCol="features"), trees])
+
+
+def n_trees(model: PipelineModel) -> int:
+    return model.stages[-1].getNumTrees
+
+
+def ablation(rows: DataFrame, feature_sets: dict[str, tuple[str, ...]], label: str = "tmax", split: str = "split",
+             max_iter: int = 20, seed: int = 40, parallelism: int = 2) -> DataFrame:
+    """One row per feature set: name, n_features, r2 and rmse on the validation
+    rows, importances (map of feature to share).
+
+    ``rows`` holds every feature, the label and a ``split`` of 'train' and
+    'validation'.  They are stored once; the fits (``Pipeline.fitMultiple``)
+    run ``parallelism`` at a time on that copy, so one fit's serial parts
+    overlap with another's tasks.
+    """
+    columns = sorted({c for names in feature_sets.values() for c in names})
+    stored = materialize(rows.select(*columns, label, split))
+    train, held = stored.where(F.col(split) == "train"), stored.where(F.col(split) == "validation")
+    assembler = VectorAssembler(outputCol="features")
+    pipeline = Pipeline(stages=[assembler, GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, seed=seed)])
+    names = list(feature_sets)
+    fits = pipeline.fitMultiple(train, [{assembler.inputCols: list(feature_sets[n])} for n in names])
+
+    def judged(_) -> tuple:
+        i, model = next(fits)
+        r2, rmse = regression_metrics(model.transform(held), label)
+        return names[i], len(feature_sets[names[i]]), r2, rmse, dict(feature_importances(model, feature_sets[names[i]]))
+
+    with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
+        found = pool.map(inheritable_thread_target(rows.sparkSession)(judged), names)
+    return rows.sparkSession.createDataFrame(
+        found, "name string, n_features int, r2 double, rmse double, importances map<string,double>")
+
+
+def predict_next_day(model: PipelineModel, daily: DataFrame) -> DataFrame:
+    """(station, date, yesterday_tmax, prediction) for the day after each
+    station's last one: all stations in one job.  ``daily`` has one row per
+    station and date; the model starts behind the previous-day features."""
+    last = daily.groupBy("station").agg(F.max("date").alias("date"))
+    now = daily.join(last, ["station", "date"])
+    tomorrow = now.withColumns({"date": F.date_add("date", 1), "yesterday_tmax": F.col("tmax")}) \
+                  .withColumn("day_of_year", F.dayofyear("date"))
+    return model.transform(tomorrow).select("station", "date", "yesterday_tmax", "prediction")
 
 
 def regression_metrics(pred: DataFrame, label: str = "tmax", prediction: str = "prediction"):

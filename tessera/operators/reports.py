@@ -84,6 +84,20 @@ def semi_join_like(part: DataFrame, lineitem: DataFrame, orders: DataFrame, flag
     return j.groupBy("in_region").agg((exact_mean(cents(value)) / 100.0).alias("avg_price"))
 
 
+def semi_join_nested(amenities: DataFrame, lineitem: DataFrame, orders: DataFrame, flags: DataFrame,
+                     amenity: str, pattern: str, value: str = "l_extendedprice") -> DataFrame:
+    """AVG(value) by region flag over sales at amenities of one sort whose
+    ``tags.cuisine`` matches ``pattern``.  Of the nested column only that leaf
+    is read, and the tests on it reach the scan; null tags match nothing, an
+    amenity that stands twice counts once."""
+    cuisine = F.col("tags.cuisine")
+    hits = amenities.where((F.col("amenity") == amenity) & cuisine.ilike(pattern)).select("amenid")
+    sales = lineitem.select("l_orderkey", "l_partkey", value).join(hits, F.col("l_partkey") == F.col("amenid"), "left_semi")
+    buyers = orders.select("o_orderkey", "o_custkey").join(flags, F.col("o_custkey") == F.col("c_custkey"))
+    return sales.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")) \
+                .groupBy("in_region").agg((exact_mean(cents(value)) / 100.0).alias("avg_price"))
+
+
 def daily_mean_window(orders: DataFrame, month: int, max_day: int,
                       date_col: str = "o_orderdate", value: str = "o_totalprice") -> DataFrame:
     """AVG(value) per date for days 1..max_day of a month (every year)."""

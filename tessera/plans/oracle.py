@@ -445,3 +445,76 @@ SQL["prediction_grid"] = (
     GRID_SQL.replace("p_partkey / ", "cell // ").replace("p_partkey", "cell").replace(
         "FROM part)", f"FROM (SELECT unnest(range({Q.GRID_SIZE * Q.GRID_SIZE})) AS cell))").replace(
         "SELECT cell, (round", "SELECT (round").replace("FROM s5", ", true AS word_found FROM s5"))
+
+
+# --- keyed table, layouts, malformed input, nested columns, catalog ----------------
+
+SQL["keyed_upsert"] = SQL["stream_upsert"] = SQL["upsert_latest"]
+SQL["keyed_lookup"] = f"""
+SELECT * FROM ({SQL["upsert_latest"]}) WHERE event_type = 'purchase'
+  AND user_id IN (SELECT user_id FROM events WHERE event_type = 'error')"""
+SQL["etl_clustered"] = SQL["etl_json_gzip"] = SQL["etl_filter_project"]
+
+_FAULT = (f"CASE WHEN {K} % {V.MALFORMED_EVERY} = 0 THEN 'malformed' WHEN {K} % {V.WRONG_TYPE_EVERY} = 0 THEN 'wrong type' "
+          f"WHEN {K} % {V.MISSING_EVERY} = 0 THEN 'missing' ELSE 'none' END")
+_HEAD = """'{"author": "u' || event_id || '", "subreddit": "' || event_type"""
+_SCORE = f"""'", "score": ' || {CENTS.format(c='value')}"""
+SQL["json_good"] = f"""
+SELECT event_type AS subreddit, {CENTS.format(c='value')} AS score, 'u' || event_id AS author
+FROM events WHERE {_FAULT} = 'none'"""
+SQL["json_quarantine"] = f"""
+SELECT CASE {_FAULT} WHEN 'malformed' THEN {_HEAD} || {_SCORE} WHEN 'wrong type' THEN {_HEAD} || '", "score": "many"}}'
+                     ELSE {_HEAD} || '"}}' END AS line,
+       CASE {_FAULT} WHEN 'malformed' THEN 'malformed' WHEN 'wrong type' THEN 'wrong type: score'
+                     ELSE 'missing: score' END AS reason
+FROM events WHERE {_FAULT} <> 'none'"""
+_DAY = "strftime(ts, '%Y%m%d')"
+_NUMBER = "CAST(floor(value * 10) AS INTEGER)"
+SQL["csv_good"] = f"""
+SELECT 'U' || user_id AS station, {_DAY} AS date, event_type AS observation, {_NUMBER} AS value, 'E' || event_id AS sflag
+FROM events WHERE {_FAULT} = 'none'"""
+SQL["csv_quarantine"] = f"""
+SELECT CASE {_FAULT} WHEN 'malformed' THEN 'U' || user_id || ',' || {_DAY} || ',E' || event_id
+       WHEN 'wrong type' THEN 'U' || user_id || ',' || {_DAY} || ',' || event_type || ',warm,,,E' || event_id || ',0700'
+       ELSE ',' || {_DAY} || ',' || event_type || ',' || {_NUMBER} || ',,,E' || event_id || ',0700' END AS line,
+       CASE {_FAULT} WHEN 'malformed' THEN 'malformed' WHEN 'wrong type' THEN 'wrong type: value'
+                     ELSE 'missing: station' END AS reason
+FROM events WHERE {_FAULT} <> 'none'"""
+
+SQL["semi_join_nested"] = SQL["semi_join_like"].replace(
+    f"WHERE p_name ILIKE '{Q.PART_PATTERN}'", f"WHERE p_size % 2 = 0 AND p_name ILIKE '{Q.PART_PATTERN}'")
+SQL["catalog_avg_by_dimension"] = SQL["avg_by_dimension"]
+SQL["catalog_semi_join"] = SQL["semi_join_like"]
+SQL["catalog_daily_mean"] = SQL["daily_mean_window"]
+
+# --- models -----------------------------------------------------------------------
+
+SQL["lab_sql_stage"] = SQL["rgb_to_lab"]
+SQL["sql_stage_predictions"] = f"""WITH {TMAX_DAILY}
+SELECT station, date, day_of_year, tmax, yesterday_tmax, true AS same FROM features"""
+SQL["next_day_predictions"] = f"""WITH {TMAX_DAILY}
+SELECT station, date + 1 AS date, tmax AS yesterday_tmax, true AS near FROM tmax_daily t
+WHERE date = (SELECT max(date) FROM tmax_daily m WHERE m.station = t.station)"""
+SQL["feature_ablation"] = """
+SELECT * FROM (VALUES ('all', 5, true, true, 'yesterday_tmax'), ('without_yesterday', 4, false, false, 'day_of_year'),
+                      ('yesterday_only', 1, true, true, 'yesterday_tmax')) AS t(name, n_features, r2_ok, rmse_ok, first_feature)"""
+SQL["gbt_early_stop"] = f"""WITH {TMAX_DAILY}
+SELECT count(*) AS n, true AS stopped_early, true AS r2_ok, true AS rmse_ok FROM features
+WHERE {_split("station || ':' || CAST(date AS VARCHAR)")} = 'validation'"""
+SQL["path_both_ways"] = SQL["path_to_destination"]
+
+# --- written and read back ----------------------------------------------------------
+
+SQL["log_totals_gzip"] = SQL["log_host_totals"]
+SQL["split_files"] = f"""
+SELECT *, 'positive' AS side FROM ({SQL["split_positive"]})
+UNION ALL SELECT *, 'negative' AS side FROM ({SQL["split_non_positive"]})"""
+SQL["wordcount_lines"] = f"""SELECT word || ' ' || count AS value FROM ({SQL["wordcount_delimited"]})"""
+SQL["max_tab_separated"] = f"""SELECT hour || chr(9) || views || chr(9) || title AS value FROM ({SQL["max_by_group_one"]})"""
+SQL["max_json_arrays"] = f"""SELECT '["' || hour || '", ' || views || ']' AS value FROM ({SQL["max_by_group_value"]})"""
+SQL["top_pages_json"] = SQL["max_by_group_ties"]
+SQL["range_leader_csv"] = SQL["range_leader_df"]
+SQL["bfs_snapshots"] = _bfs_ctes() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT {k} AS hop, node, parent, distance FROM vis{k} WHERE EXISTS (SELECT 1 FROM v{k})" for k in range(_H + 1))
+SQL["path_lines"] = f"""SELECT CAST(node AS VARCHAR) AS value FROM ({SQL["path_to_destination"]})"""
+SQL["mean_by_key_full"] = SQL["mean_by_key"]

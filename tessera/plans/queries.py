@@ -7,19 +7,27 @@ fixed here and mirrored in ``oracle.py``.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..functions.colour import colour_table, lab_to_rgb_cols, rgb_to_hsv, rgb_to_lab
 from ..functions.numeric import cents
 from ..functions.text import path_to_hour
-from ..operators import etl, graph, logs, ml, ranges, ratios, reports, sampling, setops, topgroup, upsert
+from ..operators import etl, graph, logs, ml, paths, ranges, ratios, reports, sampling, setops, topgroup, upsert
+from ..operators.caching import held
 from ..operators.joins import materialize
+from ..operators.keyed import KeyedTable
 from ..operators.wordcount import word_count
-from ..session import scratch_path
+from ..session import rename_folders, scratch_path
 from ..sources import derived
-from ..sources.readers import read_csv, read_json, read_pagecounts, read_text
-from ..sources.schemas import COMMENT_SCHEMA, OBSERVATION_CSV_SCHEMA, PAGECOUNT_ROW_SCHEMA
+from ..sources.clustered import write_clustered
+from ..sources.quarantine import split_lines
+from ..sources.readers import read_compressed_lines, read_csv, read_json, read_pagecounts, read_text
+from ..sources.schemas import (COMMENT_FULL_SCHEMA, COMMENT_SCHEMA, OBSERVATION_CSV_SCHEMA, PAGECOUNT_FILE_SCHEMA,
+                               PAGECOUNT_ROW_SCHEMA, WEATHER_SCHEMA)
 from ..sources.tables import load
+from . import catalog
 
 # Fixed parameters of the registered queries (mirrored in oracle.py).
 PAGE_LANGUAGE, MAIN_PAGE, SPECIAL_PREFIX = "view", "P0", "P1"
@@ -38,6 +46,8 @@ PASSAGE_SEED, SPLIT_SEED = 42, 40
 LONG_DOC_CHARS = 2000
 GRID_SIZE, GRID_LUM = 256, 70.0
 ROUND = 6
+AMENITY = "restaurant"
+SHORT_FIT, MANY_TREES = 5, 60
 
 
 def _r6(c: F.Column) -> F.Column:
@@ -350,7 +360,8 @@ def q_rgb_to_hsv(spark, d):
 def q_colour_lookup(spark, d):
     words = load(spark, d, "part").select(
         "p_partkey", F.split(F.col("p_name"), " ").getItem(0).alias("word"))
-    return words.join(F.broadcast(colour_table(spark)), "word")     # 11 rows.select("p_partkey", "word", "R", "G", "B")
+    # 11 rows
+    return words.join(F.broadcast(colour_table(spark)), "word").select("p_partkey", "word", "R", "G", "B")
 
 
 def q_colour_grid(spark, d):
@@ -462,5 +473,262 @@ def q_prediction_grid(spark, d):
                        F.col("word_R").isNotNull().alias("word_found"))
 
 
+# --- keyed table -------------------------------------------------------------
+
+KEYS, NEWEST = ["user_id", "event_type"], ["ts", "event_id"]
+LOAD_SPLIT = "2024-01-16"
+
+
+def _keyed_table(spark, events):
+    return KeyedTable.create(spark, scratch_path(spark, "keyed"), events.schema, KEYS, NEWEST)
+
+
+def q_keyed_upsert(spark, d):
+    """Two loads into a keyed table, the later half of ``events`` first, and
+    the earlier one again: each key's newest row."""
+    events = load(spark, d, "events")
+    table = _keyed_table(spark, events)
+    later = F.col("ts") >= F.lit(LOAD_SPLIT).cast("timestamp_ntz")
+    for part in (events.where(later), events.where(~later), events.where(~later)):
+        table.upsert(part)
+    return table.read()
+
+
+def q_keyed_lookup(spark, d):
+    """The newest purchase of every user who met an error, by key look-up."""
+    events = load(spark, d, "events")
+    table = _keyed_table(spark, events)
+    table.overwrite(events, confirm_truncate=True)
+    keys = events.where("event_type = 'error'").select("user_id", F.lit("purchase").alias("event_type"))
+    return table.lookup(keys)
+
+
+def q_stream_upsert(spark, d):
+    """The same table filled by a stream over files, one merge per batch."""
+    from ..streaming.upserts import upsert_file_stream
+    events = load(spark, d, "events")
+    files = scratch_path(spark, "event-files")
+    events.repartition(4).write.parquet(files)
+    table = _keyed_table(spark, events)
+    return upsert_file_stream(spark, files, events.schema, table.root, "events", scratch_path(spark, "ckpt"), 2)
+
+
+# --- layouts, malformed input, nested columns, catalog ------------------------
+
+def q_etl_clustered(spark, d):
+    """The station ETL over a stored copy clustered by station and date."""
+    path = scratch_path(spark, "observations")
+    write_clustered(derived.observations(spark, d), path, ["observation", "station", "date"], bloom=("station",))
+    return etl.weather_etl(spark.read.parquet(path), STATION_PREFIX, "TMAX")
+
+
+def _lines(spark, d, kind):
+    path = scratch_path(spark, "lines")
+    if kind == "json":
+        derived.comment_lines(spark, d).write.text(path)
+        return split_lines(spark, path, "json", COMMENT_SCHEMA, ("subreddit", "score"))
+    derived.observation_lines(spark, d).write.text(path)
+    return split_lines(spark, path, "csv", WEATHER_SCHEMA, ("station", "date"))
+
+
+def q_json_good(spark, d):
+    return _lines(spark, d, "json")[0]
+
+
+def q_json_quarantine(spark, d):
+    return _lines(spark, d, "json")[1].select("line", "reason")
+
+
+def q_csv_good(spark, d):
+    return _lines(spark, d, "csv")[0].select("station", "date", "observation", "value", "sflag")
+
+
+def q_csv_quarantine(spark, d):
+    return _lines(spark, d, "csv")[1].select("line", "reason")
+
+
+def q_semi_join_nested(spark, d):
+    path = scratch_path(spark, "amenities")
+    derived.amenities(spark, d).write.parquet(path)
+    return reports.semi_join_nested(spark.read.parquet(path), load(spark, d, "lineitem"), load(spark, d, "orders"),
+                                    _flags(spark, d), AMENITY, PART_PATTERN)
+
+
+def _catalog_report(spark, d, tables, query, args, view=False):
+    with catalog.report_catalog(spark) as c:
+        for t in tables:
+            c.table(t, load(spark, d, t))
+        if view:
+            catalog.region_view(c, FLAG_REGION, PREFIX_LEN)
+        return c.report(query, args)
+
+
+def q_catalog_avg_by_dimension(spark, d):
+    return _catalog_report(spark, d, ("orders", "customer", "nation"), catalog.AVG_BY_PRIORITY,
+                           {"nation_name": REPORT_NATION})
+
+
+def q_catalog_semi_join(spark, d):
+    """Through a named view over catalog tables."""
+    return _catalog_report(spark, d, ("lineitem", "orders", "customer", "nation", "part"), catalog.AVG_BY_REGION,
+                           {"pattern": PART_PATTERN}, view=True)
+
+
+def q_catalog_daily_mean(spark, d):
+    return _catalog_report(spark, d, ("orders",), catalog.DAILY_MEAN, {"month": WINDOW_MONTH, "max_day": WINDOW_MAX_DAY})
+
+
+# --- SQL stages, ablation, early stop ----------------------------------------
+
+def q_lab_sql_stage(spark, d):
+    """LAB by a SQL stage of a pipeline that was saved and loaded."""
+    path = scratch_path(spark, "lab-model")
+    c = derived.colours(spark, d)
+    Pipeline(stages=[ml.lab_stage(("p_partkey", "R", "G", "B", "word"))]).fit(c).write().save(path)
+    lab = PipelineModel.load(path).transform(c)
+    return lab.select("p_partkey", "R", "G", "B", "word", *[_r6(F.col(c)).alias(c) for c in ("labL", "labA", "labB")])
+
+
+def _split_features(spark, d):
+    f = ml.previous_day_features(derived.tmax_daily(spark, d))
+    return sampling.hash_split(f.withColumn("_id", F.concat_ws(":", "station", F.col("date").cast("string"))),
+                               "_id", SPLIT_SEED)
+
+
+def q_sql_stage_predictions(spark, d):
+    """A fit whose features are a SQL stage: saved, loaded and applied to the
+    plain daily rows; ``same``: the loaded model predicts as the fitted one."""
+    daily, path = materialize(derived.tmax_daily(spark, d)), scratch_path(spark, "model")
+    model = ml.gbt_pipeline(max_iter=SHORT_FIT, with_sql_stage=True).fit(daily)
+    model.write().save(path)
+    keys = ["station", "date", "day_of_year", "tmax", "yesterday_tmax"]
+    ours = model.transform(daily).select("station", "date", F.col("prediction").alias("_fitted"))
+    return PipelineModel.load(path).transform(daily).join(ours, ["station", "date"]) \
+        .select(*keys, (F.col("prediction") == F.col("_fitted")).alias("same"))
+
+
+def q_next_day_predictions(spark, d):
+    """Every station's day after its last one, by a saved model."""
+    daily, path = materialize(derived.tmax_daily(spark, d)), scratch_path(spark, "model")
+    ml.gbt_pipeline(max_iter=SHORT_FIT).fit(ml.previous_day_features(daily)).write().save(path)
+    nxt = ml.predict_next_day(PipelineModel.load(path), daily)
+    return nxt.select("station", "date", "yesterday_tmax", (F.abs(F.col("prediction") - F.col("yesterday_tmax")) < 25).alias("near"))
+
+
+def q_feature_ablation(spark, d):
+    """All features, without yesterday's value, and that value alone: which
+    sets keep the bounds, and the most important feature of each."""
+    everything = ml.TEMPERATURE_FEATURES
+    sets = {"all": everything, "without_yesterday": tuple(c for c in everything if c != "yesterday_tmax"),
+            "yesterday_only": ("yesterday_tmax",)}
+    got = ml.ablation(_split_features(spark, d), sets, max_iter=SHORT_FIT)
+    first = F.array_max(F.transform(F.map_entries("importances"), lambda e: F.struct(e["value"], e["key"])))["key"]
+    return got.select("name", "n_features", (F.col("r2") > R2_FLOOR).alias("r2_ok"), (F.col("rmse") < RMSE_CEILING).alias("rmse_ok"),
+                      first.alias("first_feature"))
+
+
+def q_gbt_early_stop(spark, d):
+    """Boosting that ends when the held-out rows stop improving."""
+    f = _split_features(spark, d).withColumn("held", F.col("split") == "validation")
+    model = ml.gbt_pipeline(max_iter=MANY_TREES, validation="held").fit(f)
+    m = ml.exact_regression_metrics(model.transform(f.where("held")), "tmax", "prediction")
+    return m.select("n", F.lit(ml.n_trees(model) < MANY_TREES).alias("stopped_early"),
+                    (F.col("r2") > R2_FLOOR).alias("r2_ok"), (F.col("rmse") < RMSE_CEILING).alias("rmse_ok"))
+
+
+def q_path_both_ways(spark, d):
+    """The path of ``path_to_destination``, searched from both ends."""
+    return paths.path_between(derived.edges(spark, d), BFS_SOURCE, BFS_DESTINATION, BFS_HOPS)[0]
+
+
+# --- written and read back ----------------------------------------------------
+
+def q_log_totals_gzip(spark, d):
+    """Per-host totals of a folder of gzip logs."""
+    path = scratch_path(spark, "gzip-logs")
+    derived.loglines(spark, d).select(F.col("line").alias("value")).repartition(6).write.option("compression", "gzip").text(path)
+    return logs.host_totals(logs.parse_log_lines(read_compressed_lines(spark, path), with_id=False))
+
+
+def q_split_files(spark, d):
+    """The comment split written to its two folders from one cached frame."""
+    path, fields = scratch_path(spark, "split"), "subreddit string, score double, author bigint"
+    with held(_comments(spark, d)) as comments:
+        sinks.write_split(*etl.comment_split(comments, threshold=SCORE_SPLIT), path)
+    return spark.read.schema(fields).json([f"{path}/positive", f"{path}/negative"]) \
+        .select("subreddit", "score", "author", F.regexp_extract("_metadata.file_path", "/(positive|negative)/", 1).alias("side"))
+
+
+def q_wordcount_lines(spark, d):
+    """'word count' lines, sorted by word."""
+    path = scratch_path(spark, "counts")
+    sinks.write_count_lines(q_wordcount_delimited(spark, d), path)
+    return read_text(spark, path)
+
+
+def q_max_tab_separated(spark, d):
+    path = scratch_path(spark, "maxima")
+    sinks.write_tab_separated(q_max_by_group_one(spark, d).select("hour", "views", "title"), path)
+    return read_text(spark, path)
+
+
+def q_max_json_arrays(spark, d):
+    path = scratch_path(spark, "maxima")
+    sinks.write_json_arrays(q_max_by_group_value(spark, d).select("hour", "views"), path)
+    return read_text(spark, path)
+
+
+def q_etl_json_gzip(spark, d):
+    path = scratch_path(spark, "tmax")
+    sinks.write_json(q_etl_filter_project(spark, d), path, gzip=True)
+    return spark.read.schema("station string, date date, tmax double").json(path)
+
+
+def q_top_pages_json(spark, d):
+    """Pages tied for their hour's maximum; the hour is taken from the names of
+    the folders the page counts lie in."""
+    counts, out = scratch_path(spark, "dump"), scratch_path(spark, "top")
+    derived.pagecounts(spark, d).select("hour", F.concat_ws(" ", "language", "title", "views", F.lit("0")).alias("value")) \
+        .repartition("hour").write.partitionBy("hour").text(counts)
+    rename_folders(spark, counts, "hour=", "pagecounts-")
+    pages = read_pagecounts(spark, f"{counts}/pagecounts-*", PAGECOUNT_FILE_SCHEMA, hour_from_file=True)
+    pages = topgroup.page_filter(pages, PAGE_LANGUAGE, MAIN_PAGE, SPECIAL_PREFIX)
+    sinks.write_json(topgroup.max_by_group_ties(pages, "hour", "views", ["title"]).orderBy("hour", "title"), out)
+    return spark.read.schema("hour string, title string, views bigint").json(out)
+
+
+def q_range_leader_csv(spark, d):
+    path = scratch_path(spark, "leaders")
+    leaders = q_range_leader_df(spark, d).select("date", "station", "range", "pairs")
+    sinks.write_csv(leaders, path)
+    return spark.read.schema(leaders.schema).csv(path)
+
+
+def q_bfs_snapshots(spark, d):
+    """Known nodes after every hop, from the CSV snapshots of a search."""
+    path = scratch_path(spark, "snapshots")
+    graph.bfs(derived.edges(spark, d), BFS_SOURCE, BFS_HOPS, snapshot_dir=path)
+    hop = F.regexp_extract("_metadata.file_path", r"/iter-(\d+)/", 1).cast("int")
+    return spark.read.schema("node bigint, parent bigint, distance int").csv(f"{path}/iter-*") \
+        .select(hop.alias("hop"), "node", "parent", "distance")
+
+
+def q_path_lines(spark, d):
+    path = scratch_path(spark, "path")
+    sinks.write_path(q_path_both_ways(spark, d), path)
+    return read_text(spark, path)
+
+
+def q_mean_by_key_full(spark, d):
+    """The mean per key over comments with all 21 declared fields (and one more)."""
+    path = scratch_path(spark, "full-comments")
+    events = _scored(spark, d).select(F.col("event_type").alias("subreddit"), F.col("cents").alias("score"),
+                                      F.col("event_id").cast("string").alias("id"))
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in COMMENT_FULL_SCHEMA if f.name not in events.columns]
+    events.select("*", *rest, F.lit("x").alias("further")).write.option("ignoreNullFields", "false").json(path)
+    means = ratios.mean_by_key(read_json(spark, path, COMMENT_FULL_SCHEMA), "subreddit", "score", "avg_value", scale=100)
+    return means.withColumnRenamed("subreddit", "event_type")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

@@ -87,6 +87,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def rename_folders(spark: SparkSession, path: str, prefix: str, to: str) -> None:
+    """Sub-folders ``<prefix>x`` become ``<to>x`` (names only, no data moves
+    where the file system renames)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith(prefix):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, to + name.removeprefix(prefix)))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (local mode only) for Python-side checks."""
     return path[5:] if path.startswith("file:") else path

@@ -79,6 +79,48 @@ def loglines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("line_no"), line.alias("line"))
 
 
+MALFORMED_EVERY, WRONG_TYPE_EVERY, MISSING_EVERY = 17, 13, 11   # by the props number
+
+
+def _faulty(good, malformed, wrong_type, missing):
+    k = props_k()
+    return (F.when(k % MALFORMED_EVERY == 0, malformed).when(k % WRONG_TYPE_EVERY == 0, wrong_type)
+             .when(k % MISSING_EVERY == 0, missing).otherwise(good))
+
+
+def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): comments as JSON lines from ``events``; some are cut short,
+    some have a score that is no number, some have none."""
+    ev = load(spark, sf_dir, "events")
+    head = F.concat(F.lit('{"author": "u'), F.col("event_id").cast("string"), F.lit('", "subreddit": "'), F.col("event_type"))
+    score = F.concat(F.lit('", "score": '), cents("value").cast("string"))
+    return ev.select(_faulty(F.concat(head, score, F.lit("}")), F.concat(head, score),
+                             F.concat(head, F.lit('", "score": "many"}')), F.concat(head, F.lit('"}'))).alias("value"))
+
+
+def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): observations as CSV lines of eight fields from ``events``;
+    some are cut short, some values are no number, some stations are empty."""
+    ev = load(spark, sf_dir, "events")
+    station, day = F.concat(F.lit("U"), F.col("user_id").cast("string")), F.date_format("ts", "yyyyMMdd")
+    number = F.floor(F.col("value") * 10).cast("int").cast("string")
+    rest = F.concat(F.lit(",,,E"), F.col("event_id").cast("string"), F.lit(",0700"))
+
+    def line(who, value):
+        return F.concat(who, F.lit(","), day, F.lit(","), F.col("event_type"), F.lit(","), value, rest)
+
+    return ev.select(_faulty(line(station, number), F.concat(station, F.lit(","), day, F.lit(",E"), F.col("event_id").cast("string")),
+                             line(station, F.lit("warm")), line(F.lit(""), number)).alias("value"))
+
+
+def amenities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(amenid, amenity, tags{cuisine, kind, size}) from ``part``: the nested
+    column's fields are the part's name, type and size."""
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("amenid"), F.when(F.col("p_size") % 2 == 0, "restaurant").otherwise("cafe").alias("amenity"),
+        F.struct(F.col("p_name").alias("cuisine"), F.col("p_type").alias("kind"), F.col("p_size").alias("size")).alias("tags"))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, node) link graph from ``lineitem``; node ids wrap at |part|.
 

@@ -21,6 +21,22 @@ def read_text(spark: SparkSession, path: str, min_partitions: int | None = None)
     return df.repartition(min_partitions) if min_partitions else df
 
 
+def read_compressed_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Text lines of a folder of gzip files, dealt evenly over the cluster.
+
+    A gzip file is one split whatever its size.  Spark packs small files into
+    tasks by their bytes; a file above its fair share cannot be packed, so when
+    the listed sizes show one (or fewer files than tasks) the lines are dealt
+    round-robin behind the decompression.  Only sizes are read to decide.
+    """
+    n = partitions or spark.sparkContext.defaultParallelism
+    files, total, largest = spark.read.format("binaryFile").load(path).select("length") \
+        .agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
+    lines = spark.read.text(path)
+    even = files >= n and largest * n <= 2 * total
+    return lines if even else lines.repartition(n)
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON lines with a declared schema; a missing key is null and a
     malformed line yields all-null fields (then dropped by the caller)."""

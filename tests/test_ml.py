@@ -96,3 +96,67 @@ def test_colour_model_and_prediction_grid(spark):
     assert all((r.word_R, r.word_G, r.word_B) == COLOUR_RGB[r.predicted_word] for r in rows_)
     assert len({(r.labA, r.labB) for r in rows_}) == 64
     assert all(0 <= r.R <= 255 for r in rows_)
+
+
+def test_sql_stages_load_in_another_session(spark, tmp_path):
+    """The saved model holds its features: no library code is needed to apply it."""
+    daily = derived.tmax_daily(spark, SF001)
+    model = ml.gbt_pipeline(max_iter=2, with_sql_stage=True).fit(daily)
+    model.write().save(str(tmp_path / "m"))
+    want = rows(model.transform(daily), "station", "date", "yesterday_tmax", "prediction")
+    stored = str(tmp_path / "daily")
+    daily.write.parquet(stored)
+    code = f"""
+from pyspark.sql import SparkSession
+from pyspark.ml import PipelineModel
+import sys
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+out = PipelineModel.load({str(tmp_path / "m")!r}).transform(s.read.parquet({stored!r}))
+out.select("station", "date", "yesterday_tmax", "prediction").write.parquet({str(tmp_path / "out")!r})
+assert not any(m.startswith("tessera") for m in sys.modules)
+"""
+    import subprocess
+    import sys
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, capture_output=True, timeout=300)
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == want and len(want) > 100
+
+
+def test_lab_stage_equals_column_expressions(spark):
+    from tessera.functions.colour import rgb_to_lab
+    greys = [(v, v, v, "grey") for v in (0, 10, 11, 150, 255)]
+    c = spark.createDataFrame([(*rgb, w) for w, rgb in COLOUR_RGB.items()] + greys, "R int, G int, B int, word string")
+    a = rows(ml.lab_stage(("R", "G", "B", "word")).transform(c))
+    b = rows(rgb_to_lab(c), "R", "G", "B", "word", "labL", "labA", "labB")
+    assert [x[:4] for x in a] == [x[:4] for x in b]
+    assert all(x == pytest.approx(y, abs=1e-9) for p, q in zip(a, b) for x, y in zip(p[4:], q[4:]))
+
+
+def test_ablation_rows(spark):
+    f = ml.previous_day_features(derived.tmax_daily(spark, SF001))
+    f = hash_split(f.withColumn("_id", F.concat_ws(":", "station", F.col("date").cast("string"))), "_id")
+    sets = {"all": ml.TEMPERATURE_FEATURES, "place": ("latitude", "longitude"), "one": ("yesterday_tmax",)}
+    got = {r.name: r for r in ml.ablation(f, sets, max_iter=2, parallelism=3).collect()}
+    assert set(got) == set(sets) and got["all"].r2 > got["place"].r2
+    for name, features in sets.items():
+        assert got[name].n_features == len(features) and set(got[name].importances) == set(features)
+        assert sum(got[name].importances.values()) == pytest.approx(1.0) and got[name].rmse > 0
+    one = ml.gbt_pipeline(("yesterday_tmax",), max_iter=2).fit(f.where("split = 'train'"))
+    r2, rmse = ml.regression_metrics(one.transform(f.where("split = 'validation'")))
+    assert (got["one"].r2, got["one"].rmse) == (pytest.approx(r2), pytest.approx(rmse))
+
+
+def test_boosting_stops_early(spark):
+    f = ml.previous_day_features(derived.tmax_daily(spark, SF001)).withColumn("held", F.dayofmonth("date") > 20)
+    model = ml.gbt_pipeline(max_iter=40, validation="held", tolerance=0.05, checkpoint_interval=2).fit(f)
+    assert 1 <= ml.n_trees(model) < 40
+
+
+def test_next_day_of_every_station(spark):
+    d = datetime.date
+    daily = spark.createDataFrame(
+        [("A", d(2015, 12, 30), 1.0, 2.0, 3.0, 5.0), ("A", d(2015, 12, 31), 1.0, 2.0, 3.0, 6.0), ("B", d(2016, 2, 28), 0.0, 0.0, 0.0, 9.0)],
+        "station string, date date, latitude double, longitude double, elevation double, tmax double")
+    model = ml.gbt_pipeline(max_iter=2).fit(ml.previous_day_features(derived.tmax_daily(spark, SF001)))
+    got = ml.predict_next_day(model, daily)
+    assert rows(got, "station", "date", "yesterday_tmax") == [("A", d(2016, 1, 1), 6.0), ("B", d(2016, 2, 29), 9.0)]
+    assert got.where("prediction IS NULL").count() == 0

@@ -1,0 +1,62 @@
+"""Paths searched from both ends, against a search from one."""
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tessera.operators.graph import bfs
+from tessera.operators.paths import path_between
+
+from conftest import rows
+from test_graph import py_bfs
+
+
+def _edges(spark, pairs):
+    return spark.createDataFrame(pairs, "source long, node long")
+
+
+def _path(df):
+    return [n for _, n in rows(df, "step", "node")]
+
+
+def test_ends_that_meet_or_not(spark):
+    chain = [(i, i + 1) for i in range(10)] + [(3, 3), (5, 2)]
+    e = _edges(spark, chain + chain + [(None, 4), (4, None)])
+    assert _path(path_between(e, 0, 6)[0]) == list(range(7))
+    assert _path(path_between(e, 0, 7)[0]) == []               # seven hops away
+    assert _path(path_between(e, 0, 7, max_hops=7)[0]) == list(range(8))
+    assert _path(path_between(e, 0, 1)[0]) == [0, 1]
+    assert _path(path_between(e, 6, 0)[0]) == []               # links have a direction
+    assert _path(path_between(e, 4, 4)[0]) == [4]
+    assert _path(path_between(e, 0, 99)[0]) == [] == _path(path_between(e, 99, 0)[0])
+    assert _path(path_between(_edges(spark, []), 0, 1)[0]) == []
+
+
+def test_smallest_parents_behind_the_meeting_level(spark):
+    """Several shortest paths: the parents are those of a search from the source."""
+    pairs = [(0, 5), (0, 4), (5, 8), (4, 8), (4, 7), (8, 11), (7, 11), (8, 10), (10, 20), (11, 20), (20, 30)]
+    assert _path(path_between(_edges(spark, pairs), 0, 30)[0]) == py_bfs(pairs, 0, 6)[2][30] == [0, 4, 8, 10, 20, 30]
+
+
+def test_fewer_nodes_are_visited(spark):
+    rng = random.Random(4)
+    pairs = [(i, rng.randrange(3000)) for i in range(3000) for _ in range(6)]
+    dist, _, path = py_bfs(pairs, 0, 6)
+    target = max(n for n, d in dist.items() if d == max(dist.values()) - 1)
+    visited, _ = bfs(_edges(spark, pairs), 0, 6, destination=target)
+    both, known = path_between(_edges(spark, pairs), 0, target)
+    assert _path(both) == path[target]
+    assert known < 0.6 * visited.count()
+
+
+def test_hot_nodes_on_both_sides(spark):
+    """A node with most links out, and one with most links in."""
+    pairs = [(1, i) for i in range(2, 400)] + [(i, 1000) for i in range(2, 400)] + [(0, 1), (1000, 1001)]
+    assert _path(path_between(_edges(spark, pairs), 0, 1001, buckets=4)[0]) == [0, 1, 2, 1000, 1001]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=60), st.integers(0, 25), st.integers(0, 25))
+def test_equals_a_search_from_the_source(spark, pairs, source, target):
+    want = py_bfs(pairs, source, 6)[2].get(target, [])
+    assert _path(path_between(_edges(spark, pairs), source, target)[0]) == want
