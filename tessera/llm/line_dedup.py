@@ -33,7 +33,7 @@ from .common import MAX_ID, documents, small_side, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
-SEGMENT = 20000
+SEGMENT = 1000
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 DOC = ["d", "t1", "t2"]
 KEY = ["h1", "h2"]
