@@ -49,14 +49,22 @@ def special_folds() -> tuple[tuple[str, str], ...]:
 FINAL_SIGMA = r"(\p{L})σ([^\p{L}]|$)"      # a word's last sigma is written ς
 
 
+@lru_cache(maxsize=1)
+def special_class() -> str:
+    """Character class of everything that one-to-one mapping gets wrong."""
+    return "[" + "".join(char for char, _ in special_folds()) + "Σσς]"
+
+
 def case_fold(c: Column) -> Column:
-    """Python's ``upper().lower()``; ASCII text needs no special mapping."""
+    """Python's ``upper().lower()``; only a text that holds one of the special
+    characters goes through their mapping."""
     plain = F.lower(F.upper(c))
     folded = c
     for char, to in special_folds():
         folded = F.replace(folded, F.lit(char), F.lit(to))
     folded = F.regexp_replace(F.lower(F.upper(folded)), FINAL_SIGMA, "$1ς$2")
-    return F.when(F.octet_length(c) == F.char_length(c), plain).otherwise(folded)
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return F.when(ascii_only | ~c.rlike(special_class()), plain).otherwise(folded)
 
 
 def strip_punctuation(c: Column) -> Column:

@@ -13,7 +13,8 @@ from tessera.sources.tables import TABLES
 from conftest import SF001, SF01
 
 # Fits need more rows than the smallest tables hold.
-LARGER = {"gbt_predictions", "mlp_predictions", "prediction_grid"}
+LARGER = {"gbt_predictions", "mlp_predictions", "prediction_grid", "sql_stage_predictions", "next_day_predictions",
+          "feature_ablation", "gbt_early_stop"}
 
 
 def _norm(v):
