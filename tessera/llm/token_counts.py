@@ -37,6 +37,29 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+# The characters with the Unicode property White_Space (\\s of the splitting pattern).
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_WHITE = 10_000
+
+
+def encode_text(enc, text: str, long_white: int = LONG_WHITE) -> np.ndarray:
+    """Token ids of a text with white space of any length.
+
+    The splitting pattern (whose blanks are ``\\s+(?!\\S)|\\s+``) backtracks over
+    a run of white space, which its engine refuses for very long ones.  The
+    split has a closed form: a run at the text's end is one piece; another run
+    is one piece but for its last character, which begins the text behind it.
+    """
+    ids, at = [], 0
+    for run in re.finditer(f"[{WHITE}]{{{long_white},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids.append(enc.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+        if end > run.start():
+            ids.append(np.array(enc._encode_single_piece(text[run.start():end]), np.uint32))
+        at = end
+    return np.concatenate([*ids, enc.encode_to_numpy(text[at:], disallowed_special=())])
+
+
 def section_starts(data: bytes, kind: str) -> np.ndarray:
     """First byte of every section of a text (one section for an empty text)."""
     ends = [m.end() for m in SECTIONS[kind].finditer(data)]
@@ -115,7 +138,7 @@ def section_tokens(docs: DataFrame, rank_path: str, pattern: str, rule: str = "m
                 for r, text in enumerate(col.slice(i, j - i).to_pylist()):
                     size = int(offs[r + 1] - offs[r])
                     cuts = section_starts(raw[offs[r]:offs[r + 1]], sections)
-                    ends = np.cumsum(length[enc.encode_to_numpy(text, disallowed_special=())]) if text else np.zeros(0, np.int64)
+                    ends = np.cumsum(length[encode_text(enc, text)]) if text else np.zeros(0, np.int64)
                     if len(ends) and ends[-1] != size:
                         raise ValueError("token spans do not cover the text")
                     count, crossing = allocate(ends, cuts, size, rule)

@@ -3,7 +3,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from llm_helpers import EDGE_ROWS, SF
+from llm_helpers import EDGE_ROWS, SF, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -115,6 +115,55 @@ def test_section_tokens_add_up_to_the_library(spark, pairs):
     assert sum(r.n_crossing for r in rows) > 0
 
 
+def _byte_encoding():
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding("t", pat_str=BYTE_PATTERN, mergeable_ranks=tc.read_ranks(RANKS), special_tokens={})
+
+
+def test_white_space_is_cut_as_the_pattern_does(rng):
+    enc = _byte_encoding()
+    for _ in range(500):
+        text = "".join(rng.choice(["a", "B7", "!", " ", "  ", "\t", "\n\n", "\u3000", "\x85", "\x1c", "é", "'s"])
+                       for _ in range(rng.randint(0, 40)))
+        for n in (1, 2, 3, 5):
+            assert tc.encode_text(enc, text, n).tolist() == enc.encode_ordinary(text)
+
+
+def test_very_long_white_space(spark):
+    blanks = {1: " " * 1000000, 2: "\t" * 1000000 + "end", 3: "a " + "\n " * 600000 + " b", 4: "x" * 300000 + " " * 50000}
+    got = tc.section_tokens(frame(spark, list(blanks.items())), RANKS, BYTE_PATTERN, "most", "lines").groupBy("doc_id") \
+            .sum("n_tokens", "n_bytes").collect()
+    enc = _byte_encoding()
+    assert {r[0]: r[2] for r in got} == {i: len(t) for i, t in blanks.items()}
+    assert {r[0]: r[1] for r in got} == {i: len(tc.encode_text(enc, t)) for i, t in blanks.items()}
+
+
+def test_sections_match_plain_allocation(spark, rng):
+    """Sections, boundary-crossing tokens and their allocation, token by token."""
+    enc = _byte_encoding()
+    texts = {i: "".join(rng.choice(["One two. ", "three!\n", "x.y ", "4? ", "\n\n", "é. ", "the end"]) for _ in range(12)) for i in range(30)}
+    for rule in tc.RULES:
+        got = {(r.doc_id, r.section): r for r in tc.section_tokens(
+            frame(spark, list(texts.items())), RANKS, BYTE_PATTERN, rule, "sentences").collect()}
+        for i, text in texts.items():
+            raw = text.encode()
+            cuts = [0, *[m.end() for m in tc.SECTIONS["sentences"].finditer(raw) if m.end() < len(raw)], len(raw)]
+            want, crossing, at = [0.0] * (len(cuts) - 1), [0] * (len(cuts) - 1), 0
+            for token in enc.decode_tokens_bytes(enc.encode_ordinary(text)):
+                share = [max(0, min(at + len(token), b) - max(at, a)) for a, b in zip(cuts, cuts[1:])]
+                held = [k for k, n in enumerate(share) if n]
+                for k in held:
+                    crossing[k] += len(held) > 1
+                    if rule == "share":
+                        want[k] += share[k] / len(token)
+                if rule != "share":
+                    want[held[0] if rule == "start" else share.index(max(share))] += 1
+                at += len(token)
+            rows = [got[i, k] for k in range(len(cuts) - 1)]
+            assert [r.n_tokens for r in rows] == pytest.approx(want) and [r.n_crossing for r in rows] == crossing
+            assert [(r.first_byte, r.n_bytes) for r in rows] == [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
 def test_section_edge_rows(spark, edge, nothing):
     got = tc.section_tokens(edge, RANKS, BYTE_PATTERN, "share", "lines").collect()
     assert {r.doc_id for r in got} == {i for i, _ in EDGE_ROWS}
