@@ -31,6 +31,7 @@ from .common import BROADCAST_BYTES, MAX_ID, documents, small_side, stored
 WINDOW = 10
 NEAR = 8
 RAREST = 2
+ROW = ["d", "t1", "t2"]
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -81,7 +82,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     judged each on their own text; items of one id are tested each (one that
     stands twice once), and reported under the id (a null id is never reported).
     """
-    docs = documents(docs, id_col, text_col)
+    # a row is its id and two hashes of its text: rows without id stay apart
+    docs = documents(docs, id_col, text_col).select(
+        "doc_id", "text", F.coalesce("doc_id", F.lit(MAX_ID)).alias("d"), F.xxhash64("text").alias("t1"),
+        F.xxhash64(F.lit(1), "text").alias("t2"))
     items = benchmark.select(F.col(item_col).alias("item_id"), tokens(F.col(item_text_col)).alias("words")) \
                      .where(F.size("words") > 0).dropDuplicates(["item_id", "words"]) \
                      .withColumn("item_key", F.xxhash64("item_id", "words")) \
@@ -92,20 +96,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     counts = words.join(small_side(vocabulary, 32, "term"), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     anchors = stored(_window_anchors(items, stored(counts, "counts"), window), "anchors")
 
-    places = docs.select(F.coalesce("doc_id", F.lit(MAX_ID)).alias("d"),
-                         F.posexplode(tokens(F.col("text"))).alias("pos", "term"))
+    places = docs.select(*ROW, F.posexplode(tokens(F.col("text"))).alias("pos", "term"))
     terms = stored(anchors.select("term").distinct(), "terms")
-    index = stored(places.join(small_side(terms, 32, "term"), "term").select("term", "d", "pos"), "postings")
+    index = stored(places.join(small_side(terms, 32, "term"), "term").select("term", *ROW, "pos"), "postings")
     need = F.least(F.lit(RAREST), F.size("words"))
     lists = index.join(small_side(anchors, 48, "term"), "term") \
-                 .groupBy("d", "item_key", (F.col("pos") - F.col("at")).alias("at")).agg(F.count(F.lit(1)).alias("agree"))
+                 .groupBy(*ROW, "item_key", (F.col("pos") - F.col("at")).alias("at")).agg(F.count(F.lit(1)).alias("agree"))
     found = lists.join(small_side(items, 128, "joined"), "item_key") \
                  .where(F.col("agree") >= need)
-    candidates = stored(found.groupBy("d").agg(
+    candidates = stored(found.groupBy(*ROW).agg(
         F.collect_list(F.struct(F.col("item_id").cast("string").alias("item"), "at", "words")).alias("found")),
         "candidates")
 
-    rows = docs.withColumn("d", F.coalesce("doc_id", F.lit(MAX_ID))).join(_sized(candidates), "d", "left")
+    rows = docs.join(_sized(candidates), ROW, "left")
     rows = rows.select("doc_id", tokens(F.col("text")).alias("words"), "found")
 
     def judge(c: Column) -> Column:

@@ -71,6 +71,16 @@ def test_proximity_matches_include_near_misses(spark):
     assert got[2].item_ids == ["5"] and got[2].near_item_ids == ["5"] and not got[3].near_item_ids
 
 
+def test_rows_without_id_are_judged_apart(spark):
+    """Many null-id rows, half of them contaminated: each by its own text."""
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(None, f"{item} tail {i}" if i % 2 else f"clean text number {i}") for i in range(400)] + [(7, item), (7, "other")]
+    bench = spark.createDataFrame([("q", item)], "item_id string, text string")
+    got = decontaminate(frame(spark, rows), bench).collect()
+    assert sum(r.contaminated for r in got) == 201 and len(got) == 402
+    assert {(r.n_words, r.n_hit) for r in got if r.doc_id is None} == {(13, 11), (4, 0)}
+
+
 def test_contamination_edge_rows(spark, edge, nothing):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (None, "one two three"), (3, "one")],
                                   "item_id long, text string")
