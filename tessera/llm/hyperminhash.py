@@ -125,7 +125,7 @@ def _signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
                     pa.array(np.array(lo, np.uint64).view(np.int64)), pa.array(np.array(hi, np.uint64).view(np.int64)),
                     pa.array([r.tobytes() for r in regs], pa.binary())], ["d", "n", "lo", "hi", "regs"])
 
-    return docs.mapInArrow(run, SIG_SCHEMA)
+    return docs.mapInArrow(tb.tidied(run), SIG_SCHEMA)
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -142,7 +142,7 @@ def _bands(reps: DataFrame) -> DataFrame:
             d = np.repeat(np.asarray(batch.column(0)), SEEDS)
             yield pa.RecordBatch.from_arrays([pa.array(band.ravel()), pa.array(d)], ["band", "d"])
 
-    return reps.select("d", "regs").mapInArrow(run, "band bigint, d bigint")
+    return reps.select("d", "regs").mapInArrow(tb.tidied(run), "band bigint, d bigint")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
@@ -159,7 +159,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
                     ["d", "set"])
 
     held = docs.join(small_side(wanted, 16), docs["doc_id"] == wanted["d"], "leftsemi")
-    return held.mapInArrow(run, "d bigint, set binary")
+    return held.mapInArrow(tb.tidied(run), "d bigint, set binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,7 +179,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sa = sets.select(F.col("d").alias("a"), F.col("set").alias("sa"))
     sb = sets.select(F.col("d").alias("b"), F.col("set").alias("sb"))
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb") \
-                .mapInArrow(run, "a bigint, b bigint")
+                .mapInArrow(tb.tidied(run), "a bigint, b bigint")
 
 
 def _within_reach(pairs: DataFrame, percent: int) -> DataFrame:
@@ -193,7 +193,7 @@ def _within_reach(pairs: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(_possible(ra, rb, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(tb.tidied(run), "a bigint, b bigint")
 
 
 def _open_blocks(members: DataFrame, comp: DataFrame) -> DataFrame | None:
@@ -268,7 +268,7 @@ def _rest_links(dealt: DataFrame, regs: DataFrame, sets: DataFrame, percent: int
 
     full = dealt.join(regs, "d").join(sets, "d")
     return full.select("family", "x", "y", "blk", "d", "comp", "regs", "set") \
-               .groupBy("family", "x", "y").applyInArrow(run, "a bigint, b bigint")
+               .groupBy("family", "x", "y").applyInArrow(tb.tidied_group(run), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -39,7 +39,8 @@ GRAM = 32
 BUCKETS_PER_PARTITION = 4
 FILTER_BYTES = 64 << 20       # largest gram filter sent to the executors
 PAIRWISE = 16                 # stretches around one gram compared pair by pair
-RUN_KEYS = 400_000            # keys that a task holds before it writes a run
+RUN_KEYS = 150_000            # keys that a task holds before it writes a run
+GAP_ROWS = 20_000             # gaps that go to one bucket together
 CHUNK = 1 << 22               # window starts handled at once (fits the packed position)
 POS_BITS = np.uint64(23)
 CODEC = "zstd"
@@ -96,8 +97,8 @@ def _repeated_grams(docs: DataFrame, buckets: int, window: int, gram: int) -> Da
         twice = np.unique(u[1:][u[1:] == u[:-1]])
         return pa.table({"grams": pa.array([twice.tobytes()], pa.binary())})
 
-    return docs.select("text").mapInArrow(held, "bucket int, grams binary").groupBy("bucket") \
-               .applyInArrow(repeated, "grams binary")
+    return docs.select("text").mapInArrow(tb.tidied(held), "bucket int, grams binary").groupBy("bucket") \
+               .applyInArrow(tb.tidied_group(repeated), "grams binary")
 
 
 def _prefixes(keys: list[bytes]) -> np.ndarray:
@@ -120,8 +121,10 @@ def _prefixes(keys: list[bytes]) -> np.ndarray:
     return out
 
 
-PLACE = np.dtype([("d", "<i8"), ("k", "<i4"), ("at", "<i8"), ("right", "u1"), ("left", "u1")])
-GAP = np.dtype([("d", "<i8"), ("k", "<i4"), ("a", "<i8"), ("b", "<i8")])
+# a document is its id and two hashes of its text: ids may be null or repeated
+DOC = ("d", "k", "k2")
+PLACE = np.dtype([*((c, "<i8") for c in DOC), ("at", "<i8"), ("right", "u1"), ("left", "u1")])
+GAP = np.dtype([*((c, "<i8") for c in DOC), ("a", "<i8"), ("b", "<i8")])
 
 
 def encode_run(keys: list[bytes], prefixes: np.ndarray, places: np.ndarray) -> bytes:
@@ -228,7 +231,7 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]):
 
 def _pairwise(group, window: int, out: list) -> None:
     """Windows that stretches around one gram share, removed in the later one.
-    ``group``: (key, right, left, (d, k, at), shared prefix with the one before)."""
+    ``group``: (key, right, left, (d, k, k2, at), shared prefix with the one before)."""
     for j in range(1, len(group)):
         kb, rb, lb, pb, lcp = group[j]
         for i in range(j - 1, -1, -1):
@@ -242,8 +245,8 @@ def _pairwise(group, window: int, out: list) -> None:
             left = _common(ka[ra:ra + la], kb[rb:rb + lb], 0)
             # offsets of the window's start before the anchor
             if low <= left:
-                d, k, at = max(pa_, pb)
-                out.append((d, k, at - left, at - low + window))
+                *doc, at = max(pa_, pb)
+                out.append((*doc, at - left, at - low + window))
 
 
 def _by_offset(group, window: int, out: list) -> None:
@@ -252,12 +255,12 @@ def _by_offset(group, window: int, out: list) -> None:
     n = len(group)
     right = np.array([g[1] for g in group])
     left = np.array([g[2] for g in group])
-    place = np.array([g[3] for g in group], dtype=np.int64).reshape(n, 3)
+    place = np.array([g[3] for g in group], dtype=np.int64).reshape(n, 4)
     lcp_r = np.array([g[4] for g in group])
     backs = [g[0][g[1]:g[1] + g[2]] for g in group]
     order = sorted(range(n), key=backs.__getitem__)
     lcp_l = _prefixes([backs[i] for i in order])
-    by_place = np.lexsort((place[:, 2], place[:, 1], place[:, 0]))
+    by_place = np.lexsort(place.T[::-1])
     rank = np.empty(n, np.int64)
     rank[by_place] = np.arange(n)
     order = np.array(order)
@@ -273,21 +276,21 @@ def _by_offset(group, window: int, out: list) -> None:
         hit = who[1:][(cr[who[1:]] == cr[who[:-1]]) & (cl[who[1:]] == cl[who[:-1]])]
         gone = np.setdiff1d(np.flatnonzero(high >= 0), hit)     # an interval ends here
         for g in gone.tolist():
-            d, k, at = place[g].tolist()
-            out.append((d, k, at - int(high[g]), at - int(low[g]) + window))
+            *doc, at = place[g].tolist()
+            out.append((*doc, at - int(high[g]), at - int(low[g]) + window))
         low[gone], high[gone] = 256, -1
         low[hit] = np.minimum(low[hit], o)
         high[hit] = o
     for g in np.flatnonzero(high >= 0).tolist():
-        d, k, at = place[g].tolist()
-        out.append((d, k, at - int(high[g]), at - int(low[g]) + window))
+        *doc, at = place[g].tolist()
+        out.append((*doc, at - int(high[g]), at - int(low[g]) + window))
 
 
 def _merge_bucket(window: int, gram: int):
     def merge(table: pa.Table) -> pa.Table:
         gaps = [np.frombuffer(x.as_py(), GAP) for x in table["gaps"] if x.is_valid]
         runs = [decode_run(x.as_py()) for x in table["run"] if x.is_valid]
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, ...]] = []
         group: list = []
 
         def close():
@@ -302,12 +305,11 @@ def _merge_bucket(window: int, gram: int):
 
         def settle(key, lcp):
             """The first place stands for its stretch, the others go."""
-            first = min(p[:3] for p in same)
-            d0, k0, at0 = first
-            _, _, _, right, left = same[0]
-            for d, k, at, r, le in same:
-                if (d, k, at) != first:
-                    out.append((d, k, at - le, at + r))
+            first = min(p[:4] for p in same)
+            *_, right, left = same[0]
+            for *doc, at, r, le in same:
+                if (*doc, at) != first:
+                    out.append((*doc, at - le, at + r))
             group.append((key, right, left, first, lcp))
             same.clear()
 
@@ -329,7 +331,7 @@ def _merge_bucket(window: int, gram: int):
         if out:
             gaps.append(np.array(out, GAP))
         all_ = np.concatenate(gaps) if gaps else np.zeros(0, GAP)
-        return pa.table({"d": all_["d"].copy(), "k": all_["k"].copy(), "a": all_["a"].copy(), "b": all_["b"].copy()})
+        return pa.table({c: all_[c].copy() for c in GAP.names})
 
     return merge
 
@@ -341,9 +343,9 @@ def _runs(docs: DataFrame, grams, buckets: int, window: int, gram: int) -> DataF
     def write(keys, places, where):
         """One run per bucket of the keys gathered so far."""
         places, where = np.concatenate(places), np.concatenate(where)
-        by_place = np.lexsort((places["at"], places["k"], places["d"], where))
+        by_place = np.lexsort((places["at"], *(places[c] for c in DOC[::-1]), where))
         cut = np.searchsorted(where[by_place], np.arange(buckets + 1))
-        out_b, out_run, out_gap = [], [], []
+        out_b, out_run, gone_here = [], [], []
         for b in range(buckets):
             own = by_place[cut[b]:cut[b + 1]].tolist()
             if not own:
@@ -356,24 +358,31 @@ def _runs(docs: DataFrame, grams, buckets: int, window: int, gram: int) -> DataF
             order = np.array(own)
             lead = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))]
             x, y = places[order], places[lead]
-            gone = again & ~((x["d"] == y["d"]) & (x["k"] == y["k"]) & (x["at"] == y["at"]))
+            gone = again & ~np.logical_and.reduce([x[c] == y[c] for c in (*DOC, "at")])
             g = np.zeros(int(gone.sum()), GAP)
-            g["d"], g["k"] = x["d"][gone], x["k"][gone]
+            for c in DOC:
+                g[c] = x[c][gone]
             g["a"] = x["at"][gone] - x["left"][gone]
             g["b"] = x["at"][gone] + x["right"][gone]
             keep = np.flatnonzero(~again)
             out_b.append(b)
             out_run.append(encode_run([ks[i] for i in keep], prefix[keep], x[keep]))
-            out_gap.append(g.tobytes() if len(g) else None)
-        return pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_run, pa.binary()),
-                                           pa.array(out_gap, pa.binary())], ["bucket", "run", "gaps"])
+            gone_here.append(g)
+        # what is decided here needs no bucket of its gram: it goes to any, so a
+        # hot gram's bucket doesn't get the gaps of all its copies
+        gaps = np.concatenate(gone_here)
+        cut = [gaps[c:c + GAP_ROWS] for c in range(0, len(gaps), GAP_ROWS)]
+        out_b += [int((g["d"][0] ^ g["a"][0]) % buckets) for g in cut]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(out_b, pa.int32()), pa.array(out_run + [None] * len(cut), pa.binary()),
+             pa.array([None] * len(out_run) + [g.tobytes() for g in cut], pa.binary())], ["bucket", "run", "gaps"])
 
     def build(batches):
         known = grams.value if grams is not None else None
         keys, places, where = [], [], []
         for batch in batches:
             ids, col = tb.ids(batch, "doc_id"), tb.column(batch, "text")
-            kcol = np.asarray(batch.column(2), dtype=np.int32)
+            k, k2 = text_hashes(batch)
             for i, j, buf, offs in tb.blocks(col):
                 row, at, first, last, h = anchors(buf, offs, window, gram)
                 if known is not None:
@@ -385,7 +394,7 @@ def _runs(docs: DataFrame, grams, buckets: int, window: int, gram: int) -> DataF
                 raw, back, n = buf.tobytes(), buf[::-1].tobytes(), len(buf)
                 right, left = last + window - at, at - first
                 p = np.zeros(len(row), PLACE)
-                p["d"], p["k"], p["at"] = ids[i:j][row], kcol[i:j][row], at - offs[row]
+                p["d"], p["k"], p["k2"], p["at"] = ids[i:j][row], k[i:j][row], k2[i:j][row], at - offs[row]
                 p["right"], p["left"] = right, left
                 keys += [raw[a:a + r] + back[n - a:n - f] + bytes((r,)) for a, r, f in
                          zip(at.tolist(), right.tolist(), first.tolist())]
@@ -397,7 +406,22 @@ def _runs(docs: DataFrame, grams, buckets: int, window: int, gram: int) -> DataF
         if keys:
             yield write(keys, places, where)
 
-    return docs.select("doc_id", "text", "k").mapInArrow(build, "bucket int, run binary, gaps binary")
+    return docs.select("doc_id", "text", "k", "k2").mapInArrow(tb.tidied(build), "bucket int, run binary, gaps binary")
+
+
+def with_text_hashes(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, k, k2): null ids last, and two 64-bit hashes of the text."""
+    return docs.select(F.coalesce("doc_id", F.lit(MAX_ID)).alias("doc_id"), "text",
+                       F.xxhash64("text").alias("k"), F.xxhash64(F.lit(1), "text").alias("k2"))
+
+
+def text_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.asarray(batch.column(batch.schema.get_field_index(c)), dtype=np.int64) for c in ("k", "k2"))
+
+
+def of_document(docs: DataFrame, spans: DataFrame):
+    """Join condition of ``with_text_hashes`` rows with (d, k, k2) rows."""
+    return (docs["doc_id"] == spans["d"]) & (docs["k"] == spans["k"]) & (docs["k2"] == spans["k2"])
 
 
 def union_intervals(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -409,21 +433,21 @@ def union_intervals(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def merge_gaps(gaps: DataFrame, parts: int) -> DataFrame:
-    """(d, k, spans): maximal removed runs of each document, as packed int64 pairs."""
+    """(d, k, k2, spans): maximal removed runs of each document, as packed int64 pairs."""
 
     def merge(table: pa.Table) -> pa.Table:
-        d, k, a, b = (table[c].to_numpy() for c in ("d", "k", "a", "b"))
-        order = np.lexsort((a, k, d))
-        d, k, a, b = d[order], k[order], a[order], b[order]
-        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))
+        d, k, k2, a, b = (table[c].to_numpy() for c in GAP.names)
+        order = np.lexsort((a, k2, k, d))
+        d, k, k2, a, b = (x[order] for x in (d, k, k2, a, b))
+        new = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in (d, k, k2)])]))
         spans = []
         for i, j in zip(new, np.append(new[1:], len(d))):
             x, y = union_intervals(a[i:j], b[i:j])
             spans.append(np.stack([x, y], 1).astype("<i8").tobytes())
-        return pa.table({"d": d[new], "k": k[new], "spans": pa.array(spans, pa.binary())})
+        return pa.table({"d": d[new], "k": k[new], "k2": k2[new], "spans": pa.array(spans, pa.binary())})
 
-    return gaps.withColumn("part", F.pmod(F.xxhash64("d", "k"), F.lit(parts)).cast("int")) \
-               .groupBy("part").applyInArrow(merge, "d bigint, k int, spans binary")
+    return gaps.select(*GAP.names, F.pmod(F.xxhash64(*DOC), F.lit(parts)).cast("int").alias("part")) \
+               .groupBy("part").applyInArrow(tb.tidied_group(merge), "d bigint, k bigint, k2 bigint, spans binary")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -439,15 +463,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null text counts as empty; a text shorter than the window stays whole.  A
     null doc_id comes after every other.  Rows of one doc_id with different
-    texts are ordered by a hash of the text; identical rows (id and text) are
+    texts are ordered by 128 bits of hash of the text; identical rows (id and text) are
     one document, each returned with the same result.  An empty table gives
     an empty result.
     """
     if not gram <= window <= 127:
         raise ValueError("gram <= window <= 127 is needed (lengths are stored in a byte)")
     spark = docs.sparkSession
-    source = documents(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(MAX_ID)).alias("doc_id"), "text", F.hash("text").alias("k"))
+    source = with_text_hashes(documents(docs, id_col, text_col))
     buckets = BUCKETS_PER_PARTITION * shuffle_partitions(spark)
     repeated = stored(_repeated_grams(source, buckets, window, gram), "grams")
     size = repeated.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
@@ -456,14 +479,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         parts = [np.frombuffer(r[0], np.uint64) for r in repeated.collect()]
         known = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.uint64), *parts])))
     gaps = _runs(source, known, buckets, window, gram).groupBy("bucket") \
-        .applyInArrow(_merge_bucket(window, gram), "d bigint, k int, a bigint, b bigint")
+        .applyInArrow(tb.tidied_group(_merge_bucket(window, gram)), "d bigint, k bigint, k2 bigint, a bigint, b bigint")
     spans = stored(merge_gaps(gaps, buckets), "gaps")
     side = small_side(spans, 32, "spans")
     whole = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(MAX_ID)).alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"),
-                        F.hash(F.col(text_col).cast("string")).alias("k"),
+                        F.xxhash64(F.col(text_col).cast("string")).alias("k"),
+                        F.xxhash64(F.lit(1), F.col(text_col).cast("string")).alias("k2"),
                         F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("extra"))
-    rows = whole.join(side, (whole["doc_id"] == side["d"]) & (whole["k"] == side["k"]), "left") \
+    rows = whole.join(side, of_document(whole, side), "left") \
                 .select(whole["doc_id"], "text", "spans", "extra")
     kept_type = rows.schema["extra"].dataType
 
@@ -501,7 +525,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     batch.column(3).slice(i, j - i)],
                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text", "spans", "extra"])
 
-    out = rows.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, "
+    out = rows.mapInArrow(tb.tidied(cut), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, "
                                f"kept_text string, spans array<struct<first:bigint,end:bigint>>, extra {kept_type.simpleString()}")
     return out if keep else out.drop("extra")
 

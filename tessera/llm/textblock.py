@@ -9,6 +9,7 @@ arithmetic and end in a 64-bit finaliser.
 
 from __future__ import annotations
 
+import ctypes
 from functools import lru_cache
 
 import numpy as np
@@ -63,6 +64,35 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: Spark uses a Python worker again
+    for other stages, and it would keep what its largest task once needed."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidied(job):
+    """The same job over Arrow batches, giving memory back at its end."""
+
+    def run(batches):
+        yield from job(batches)
+        give_back()
+
+    return run
+
+
+def tidied_group(job):
+    """The same job over one group's table, giving memory back at its end."""
+
+    def run(table):
+        out = job(table)
+        give_back()
+        return out
+
+    return run
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     col = batch.column(batch.schema.get_field_index(name))
     return pc.fill_null(col, "") if col.null_count else col

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import textblock as tb
 from .common import MAX_ID, documents, shuffle_partitions, small_side, stored
-from .suffix_dedup import CHUNK, POS_BITS, SPANS, merge_gaps
+from .suffix_dedup import CHUNK, POS_BITS, SPANS, merge_gaps, of_document, text_hashes, with_text_hashes
 
 WINDOW = 50
 GRAM = 10
@@ -65,25 +65,25 @@ def stretches(words: np.ndarray, first: np.ndarray, window: int, gram: int):
 def _stretch_table(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            ids, ks = tb.ids(batch, "doc_id"), np.asarray(batch.column(2), dtype=np.int32)
+            ids, (k, k2) = tb.ids(batch, "doc_id"), text_hashes(batch)
             for i, j, _, _, _, _, first, h in _words(tb.column(batch, "text")):
                 row, a, b, g = stretches(h, first, window, gram)
                 lo, hi = (tb.range_hash(h, a, b + window, base).view(np.int64) for base in tb.BASES)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (g.view(np.int64), lo, hi, ids[i:j][row], ks[i:j][row],
+                    [pa.array(x) for x in (g.view(np.int64), lo, hi, ids[i:j][row], k[i:j][row], k2[i:j][row],
                                            a - first[row], b - first[row])],
-                    ["gram", "lo", "hi", "d", "k", "a", "b"])
+                    ["gram", "lo", "hi", "d", "k", "k2", "a", "b"])
 
-    return docs.select("doc_id", "text", "k").mapInArrow(
-        run, "gram bigint, lo bigint, hi bigint, d bigint, k int, a bigint, b bigint")
+    return docs.select("doc_id", "text", "k", "k2").mapInArrow(
+        run, "gram bigint, lo bigint, hi bigint, d bigint, k bigint, k2 bigint, a bigint, b bigint")
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(lo, hi, d, k, a): Rabin-Karp hash of every wanted window.
-    ``wanted(d, k, spans)``: packed ranges of window starts."""
+    """(lo, hi, d, k, k2, a): Rabin-Karp hash of every wanted window.
+    ``wanted(d, k, k2, spans)``: packed ranges of window starts."""
     def run(batches):
         for batch in batches:
-            ids, ks, spans = tb.ids(batch, "doc_id"), np.asarray(batch.column(2), dtype=np.int32), batch.column(3)
+            ids, (k, k2), spans = tb.ids(batch, "doc_id"), text_hashes(batch), batch.column(4)
             for i, j, _, _, _, _, first, h in _words(tb.column(batch, "text")):
                 lo, hi = (tb.rolling(h, window, base) for base in tb.BASES)
                 at, row = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -94,11 +94,11 @@ def _windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 at, row = np.concatenate(at), np.concatenate(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (lo[at].view(np.int64), hi[at].view(np.int64), ids[i:j][row],
-                                           ks[i:j][row], at - first[row])], ["lo", "hi", "d", "k", "a"])
+                                           k[i:j][row], k2[i:j][row], at - first[row])],
+                    ["lo", "hi", "d", "k", "k2", "a"])
 
-    held = docs.join(wanted, (docs["doc_id"] == wanted["d"]) & (docs["k"] == wanted["k"])) \
-               .select("doc_id", "text", docs["k"], "spans")
-    return held.mapInArrow(run, "lo bigint, hi bigint, d bigint, k int, a bigint")
+    held = docs.join(wanted, of_document(docs, wanted)).select("doc_id", "text", docs["k"], docs["k2"], "spans")
+    return held.mapInArrow(run, "lo bigint, hi bigint, d bigint, k bigint, k2 bigint, a bigint")
 
 
 def window_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -113,8 +113,7 @@ def window_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     from each other.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    source = documents(docs, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(MAX_ID)).alias("doc_id"), "text", F.hash("text").alias("k"))
+    source = with_text_hashes(documents(docs, id_col, text_col))
     parts = 4 * shuffle_partitions(spark)
     table = stored(_stretch_table(source, window, gram), "stretches")
     grams = stored(table.groupBy("gram").agg(F.min("d").alias("d0"), F.max("d").alias("d1"))
@@ -123,19 +122,19 @@ def window_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     same = shared.groupBy("gram", "lo", "hi", (F.col("b") - F.col("a")).alias("n")).agg(F.min("d").alias("d0"))
     same = stored(same, "stretches")
     placed = shared.withColumn("n", F.col("b") - F.col("a")).join(same, ["gram", "lo", "hi", "n"])
-    whole = placed.where("d > d0").select("d", "k", "a", (F.col("b") + window).alias("b"))
+    whole = placed.where("d > d0").select("d", "k", "k2", "a", (F.col("b") + window).alias("b"))
     several = same.groupBy("gram").agg(F.count(F.lit(1)).alias("n_stretches")).where("n_stretches > 1").select("gram")
     several = small_side(stored(several, "grams"), 16)
     firsts = placed.where("d = d0").join(several, "gram", "leftsemi") \
-                   .select("d", "k", "a", (F.col("b") + 1).alias("b"))
+                   .select("d", "k", "k2", "a", (F.col("b") + 1).alias("b"))
     wanted = stored(merge_gaps(firsts, parts), "wanted")
     windows = stored(_windows(source, small_side(wanted, 32, "spans"), window), "windows")
     least = windows.groupBy("lo", "hi").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 < d1")
     single = windows.join(least, ["lo", "hi"]).where("d > d0") \
-                    .select("d", "k", "a", (F.col("a") + window).alias("b"))
+                    .select("d", "k", "k2", "a", (F.col("a") + window).alias("b"))
     gaps = stored(merge_gaps(whole.union(single), parts), "gaps")
     side = small_side(gaps, 32, "spans")
-    rows = source.join(side, (source["doc_id"] == side["d"]) & (source["k"] == side["k"]), "left") \
+    rows = source.join(side, of_document(source, side), "left") \
                  .select(source["doc_id"], "text", "spans")
 
     def cut(batches):

@@ -69,6 +69,22 @@ def test_query_matches_brute_force(spark, pairs):
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][3]).hexdigest()
 
 
+def hash_twins(spark):
+    """Two different texts with one 32-bit hash."""
+    from pyspark.sql import functions as F
+    texts = spark.range(300000).select(F.concat(*[F.sha2(F.concat("id", F.lit(f"-{k}")), 256) for k in range(5)]).alias("t"))
+    twins = texts.groupBy(F.hash("t").alias("h")).agg(F.collect_set("t").alias("ts")).where("size(ts) > 1")
+    return twins.first().ts[:2]
+
+
+def test_rows_without_id_are_told_apart(spark):
+    """Three null-id rows, two of them copies; the third shares their 32-bit hash."""
+    a, b = hash_twins(spark)
+    rows = [(1, a), (None, a), (None, b)]
+    got = sorted((r.doc_id or 0, r.kept_text, r.n_removed) for r in sd.substring_dedup(frame(spark, rows)).collect())
+    assert got == sorted([(1, a, 0), (0, b, 0), (0, "", len(a))])
+
+
 def test_edge_rows(spark, edge, nothing):
     got = sd.substring_dedup(edge, keep=("k", "spans")).collect()
     assert len(got) == len(EDGE_ROWS)

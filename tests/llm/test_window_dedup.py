@@ -40,6 +40,16 @@ def test_query_matches_brute_force(spark, pairs):
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][2].encode()).hexdigest()
 
 
+def test_rows_without_id_are_told_apart(spark, rng):
+    from pyspark.sql import functions as F
+    words = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.substring(F.md5(F.concat("id", i)), 1, 5))
+    texts = spark.range(300000).select(F.array_join(words, " ").alias("t"))
+    twins = texts.groupBy(F.hash("t").alias("h")).agg(F.collect_set("t").alias("ts")).where("size(ts) > 1")
+    a, b = twins.first().ts[:2]
+    got = window_dedup.window_dedup(frame(spark, [(1, a), (None, a), (None, b)])).collect()
+    assert sorted((r.doc_id or 0, r.kept, r.n_removed) for r in got) == sorted([(1, a, 0), (0, b, 0), (0, "", 60)])
+
+
 def test_edge_rows(spark, edge, nothing):
     got = window_dedup.window_dedup(edge).collect()
     assert len(got) == len(EDGE_ROWS) and sum(r.n_removed for r in got) == 0
