@@ -17,6 +17,7 @@ suffix and no decoder, so decoding joins the tokens by blanks).
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -35,7 +36,8 @@ from . import textblock as tb
 from .common import documents, stored
 
 LEXICON_WORDS = 1 << 17
-HELD_WORDS = 400_000       # words a task remembers, or counts before it hands them on
+HELD_BYTES = 64 << 20       # of words and chunks that a task remembers
+ENTRY_BYTES = 160           # of a remembered one, besides its letters and ids
 LONG_WORD = 200            # symbols beyond which a word is merged by a heap
 NO_RANK = np.int64(1 << 40)
 
@@ -352,34 +354,34 @@ class Transducer:
 
 class Encoder:
     """Texts to ids: words through the transducer, the rest by exact merging.
-    What is known of words and chunks is held, up to a bound."""
+    What is known of words and chunks is held, up to about ``held_bytes``."""
 
-    def __init__(self, vocab: Vocabulary, lexicon: Transducer):
+    def __init__(self, vocab: Vocabulary, lexicon: Transducer, held_bytes: int = HELD_BYTES):
+        self.held_bytes = held_bytes
         self.vocab, self.lexicon = vocab, lexicon
         self.held: dict[str, bytes] = {}         # word -> ids
         self.chunk_ids: dict[str, bytes] = {}
+        self.size = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian uint32) of each text."""
         chunks = [self.vocab.chunks(t) for t in texts]
+        if self.size > self.held_bytes:
+            self.held, self.chunk_ids, self.size = {}, {}, 0
         known = self.chunk_ids
         new = [c for c in set().union(*chunks) if c not in known]
-        if len(known) + len(new) > HELD_WORDS:
-            known.clear()
-            new = list(set().union(*chunks))
         pieces = [self.vocab.pieces(c) for c in new]
         self.learn({w for p in pieces for w in p})
         held = self.held
         for c, p in zip(new, pieces):
-            known[c] = held[p[0]] if len(p) == 1 else b"".join([held[w] for w in p])
+            known[c] = got = held[p[0]] if len(p) == 1 else b"".join([held[w] for w in p])
+            self.size += ENTRY_BYTES + len(c) + len(got)
         return [b"".join([known[c] for c in cs]) for cs in chunks]
 
     def learn(self, words: set[str]) -> None:
         """Resolve words that are not held yet."""
         new = [w for w in words if w not in self.held]
-        if len(self.held) + len(new) > HELD_WORDS:
-            self.held.clear()
-            new = list(words)
+        self.size += sum(ENTRY_BYTES + 5 * len(w) for w in new)
         special = self.vocab.special
         for w in [w for w in new if w in special]:
             self.held[w] = np.array([special[w]], "<u4").tobytes()
@@ -398,7 +400,7 @@ class Encoder:
             self.held[new[i]] = got
 
 
-def count_words(docs: DataFrame, vocab) -> DataFrame:
+def count_words(docs: DataFrame, vocab, held_bytes: int = HELD_BYTES) -> DataFrame:
     """(word, n) over all documents; ``vocab`` broadcasts Vocabulary's arguments."""
 
     def run(batches):
@@ -416,21 +418,21 @@ def count_words(docs: DataFrame, vocab) -> DataFrame:
         for batch in batches:
             for text in tb.column(batch, "text").to_pylist():
                 chunks.update(v.chunks(text))
-                if len(chunks) >= HELD_WORDS:
+                if len(chunks) >= held_bytes // ENTRY_BYTES:
                     yield counted()
         yield counted()
 
-    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tb.tidied(run), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(docs: DataFrame, vocab: tuple, size: int = LEXICON_WORDS) -> Transducer:
+def build_lexicon(docs: DataFrame, vocab: tuple, size: int = LEXICON_WORDS, held_bytes: int = HELD_BYTES) -> Transducer:
     """Transducer of at most ``size`` words: those above the count that leaves
     no more of them (words that occur once are never frequent).  The cut is
     read off the histogram of the counts, so no more than ``size`` words
     reach the driver."""
     sc = docs.sparkSession.sparkContext
     v = Vocabulary(*vocab)
-    counts = stored(count_words(docs, sc.broadcast(vocab)).where("n > 1"), "words")
+    counts = stored(count_words(docs, sc.broadcast(vocab), held_bytes).where("n > 1"), "words")
     cut, total = 1, 0
     for n, words in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(size).collect():
         total += words
@@ -442,10 +444,11 @@ def build_lexicon(docs: DataFrame, vocab: tuple, size: int = LEXICON_WORDS) -> T
 
 
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text",
-           lexicon_words: int = LEXICON_WORDS, as_array: bool = False) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids_le (the ids as
-    little-endian uint32 bytes), decoded (the ids' text), with ``as_array`` also
-    ids (array<int>).
+           lexicon_words: int = LEXICON_WORDS, columns: tuple[str, ...] = ("ids_le", "decoded"),
+           held_bytes: int = HELD_BYTES) -> DataFrame:
+    """One row per input row: doc_id, n_tokens and the ``columns`` asked for:
+    ids_le (the ids as little-endian uint32 bytes), ids (array<int>), decoded
+    (the ids' text), decoded_sha256 (lowercase hex of its UTF-8).
 
     Encodes every whole text without adding special tokens; a special token's
     own string in a text becomes its id.  A null or empty text, or one of
@@ -458,24 +461,29 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
         spec = f.read(), UnicodeGaps.of(vocab_path)
     sc = docs.sparkSession.sparkContext
     vocab = sc.broadcast(spec)
-    lexicon = sc.broadcast(build_lexicon(docs, spec, lexicon_words).to_bytes())
+    lexicon = sc.broadcast(build_lexicon(docs, spec, lexicon_words, held_bytes).to_bytes())
 
     def run(batches):
         v = Vocabulary(*vocab.value)
-        enc = Encoder(v, Transducer.mapped(lexicon.value))
+        enc = Encoder(v, Transducer.mapped(lexicon.value), held_bytes)
         for batch in batches:
             ids, col = batch.column(0), tb.column(batch, "text")
             for i, j, _, _ in tb.blocks(col):
                 le = enc.encode(col.slice(i, j - i).to_pylist())
-                decoded = [v.decode(np.frombuffer(x, "<u4")) for x in le]
-                columns = [ids.slice(i, j - i), pa.array([len(x) // 4 for x in le], pa.int64()),
-                           pa.array(le, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())]
-                if as_array:
+                made = {"doc_id": ids.slice(i, j - i), "n_tokens": pa.array([len(x) // 4 for x in le], pa.int64())}
+                if "ids_le" in columns:
+                    made["ids_le"] = pa.array(le, pa.binary())
+                if "ids" in columns:
                     offs = np.concatenate([[0], np.cumsum([len(x) // 4 for x in le])]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(le), "<i4"))))
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["doc_id", "n_tokens", "ids_le", "decoded"] + ["ids"] * as_array
-    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_le binary, decoded string"
-                           + ", ids array<int>" * as_array)
+                    made["ids"] = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(le), "<i4")))
+                if "decoded" in columns or "decoded_sha256" in columns:
+                    decoded = [v.decode(np.frombuffer(x, "<u4")) for x in le]
+                    made["decoded"] = pa.array(decoded, pa.binary()).cast(pa.string())
+                    made["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded])
+                yield pa.RecordBatch.from_arrays([made[c] for c in names], names)
+
+    names = ["doc_id", "n_tokens", *columns]
+    types = {"doc_id": "bigint", "n_tokens": "bigint", "ids_le": "binary", "ids": "array<int>", "decoded": "string",
+             "decoded_sha256": "string"}
+    return docs.mapInArrow(tb.tidied(run), ", ".join(f"{c} {types[c]}" for c in names))
 

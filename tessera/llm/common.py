@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import load
 
-__all__ = ["MAX_ID", "cores", "documents", "load", "ship", "shuffle_partitions", "small_side", "stored"]
+__all__ = ["MAX_ID", "cores", "documents", "load", "ship", "shuffle_partitions", "small_side", "stored", "tokenizer_file"]
 
 MAX_ID = 2**63 - 1
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file: in the folder ``TOKENIZER_DIR``
+    names, else where the ``public_tokenizers`` package has it."""
+    if folder := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package (once per context), so
     that a job doesn't depend on where the driver was started."""

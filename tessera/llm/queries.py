@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import langid, toxicity
 from .bpe import encode
 from .collocations import collocations
-from .common import load
+from .common import load, tokenizer_file
 from .decontaminate import decontaminate
 from .hyperminhash import near_duplicates
 from .license_scan import license_scan
@@ -24,7 +24,7 @@ from .suffix_dedup import substring_dedup
 from .token_counts import section_tokens
 from .window_dedup import window_dedup
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+TOKENIZERS = os.path.dirname(tokenizer_file("word_bpe_49k.json"))
 
 
 def op1_minhash_fingerprints(spark, d):
