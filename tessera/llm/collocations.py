@@ -37,8 +37,9 @@ from .common import ship, shuffle_partitions, stored
 MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2000
-FLUSH = 1_000_000  # words; with one more block their codes fit in 21 bits
-PARTITION_MASS = 4_000_000
+FLUSH = 1_800_000  # words; with one more step their codes fit in 21 bits
+STEP = 1 << 18     # words of one document added at once
+PARTITION_MASS = 8_000_000
 PHRASES_PER_BYTE = 0.45  # rough: sizes the number of partitions only
 UNKNOWN = "und"
 U64 = np.uint64
@@ -114,7 +115,7 @@ def pack(words: pa.Array, codes: np.ndarray, counts: np.ndarray) -> bytes:
     head = np.array([len(words), len(codes), codes.shape[1], offs[-1] - offs[0], len(big)], "<i8").tobytes()
     body = b"".join([head, np.diff(offs).astype("<u4").tobytes(), buf[offs[0]:offs[-1]].tobytes(), *planes,
                      big.astype("<i8").tobytes()])
-    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd", 6).compress(body, asbytes=True)
 
 
 def unpack(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -140,31 +141,33 @@ class _Buffer:
     """Words of one language waiting to be counted."""
 
     def __init__(self):
-        self.hash, self.check, self.linked, self.counted, self.words, self.named = [], [], [], [], [], []
+        self.named, self.check, self.words = [], [], []          # of each step's distinct words
+        self.code, self.linked, self.counted = [], [], []        # of all words
 
     def add(self, buf, starts, ends, linked, counted):
         """Words at the spans.  ``linked``: the next word follows in the same
         piece; ``counted``: phrases that begin here are counted."""
-        h = tb.span_hash(buf, starts, ends)
-        _, at = np.unique(h, return_index=True)
+        names, at, code = np.unique(tb.span_hash(buf, starts, ends), return_index=True, return_inverse=True)
+        check = tb.span_hash(buf, starts, ends, tb.BASES[1])
+        if not (check == check[at][code]).all():
+            raise ValueError("two words share a 64-bit hash")
         size = ends[at] - starts[at]
         offs = np.zeros(len(at) + 1, np.int32)
         np.cumsum(size, out=offs[1:])
         place = np.repeat(starts[at] - offs[:-1], size) + np.arange(offs[-1])
         self.words.append(pa.StringArray.from_buffers(len(at), pa.py_buffer(offs), pa.py_buffer(buf[place].tobytes())))
-        for column, values in ((self.hash, h), (self.check, tb.span_hash(buf, starts, ends, tb.BASES[1])),
-                               (self.linked, linked), (self.counted, counted), (self.named, h[at])):
+        for column, values in ((self.named, names), (self.check, check[at]), (self.code, code.astype(np.int32)),
+                               (self.linked, linked), (self.counted, counted)):
             column.append(values)
 
     def _coded(self) -> tuple[pa.Array, np.ndarray]:
         """The distinct words, frequent ones first, and each word's code from 1."""
-        h, check = np.concatenate(self.hash), np.concatenate(self.check)
-        names, first = np.unique(np.concatenate(self.named), return_index=True)
-        code = np.searchsorted(names, h)
-        seen = np.zeros(len(names), U64)
-        seen[code] = check
-        if not (seen[code] == check).all():
-            raise ValueError("two words share a 64-bit hash within one flush")
+        names, first, place = np.unique(np.concatenate(self.named), return_index=True, return_inverse=True)
+        check = np.concatenate(self.check)
+        if not (check == check[first][place]).all():
+            raise ValueError("two words share a 64-bit hash")
+        begins = np.cumsum([0, *map(len, self.named)])
+        code = np.concatenate([place[a:a + len(n)][c] for a, n, c in zip(begins, self.named, self.code)])
         by_count = np.argsort(-np.bincount(code, minlength=len(names)), kind="stable")
         rank = np.empty(len(names), I64)
         rank[by_count] = np.arange(1, len(names) + 1)
@@ -226,12 +229,13 @@ def _dealt(parts: int, width: int, flush: int):
                     where.setdefault(langs[i + k], []).append(np.arange(first[k], first[k + 1]))
                 for lang, places in where.items():
                     places = np.concatenate(places)
-                    for a in range(0, len(places), flush):  # one turn but for a document of more words
-                        at = places[a:a + flush + width - 1]
+                    step = min(STEP, flush)
+                    for a in range(0, len(places), step):  # a long document's steps overlap by the words that follow
+                        at = places[a:a + step + width - 1]
                         buffer = held.setdefault(lang, _Buffer())
                         link = linked[at]
                         link[-1] = False
-                        buffer.add(buf, starts[at], ends[at], link, np.arange(len(at)) < flush)
+                        buffer.add(buf, starts[at], ends[at], link, np.arange(len(at)) < step)
                         waiting += len(at)
                         if waiting >= flush:
                             yield from rows(held)

@@ -63,7 +63,7 @@ def _random(rng, n, words=12):
             for _ in range(n)]
 
 
-@pytest.mark.parametrize("mass,flush", [(4_000_000, 1_000_000), (500, 1_000_000), (300, 17)])
+@pytest.mark.parametrize("mass,flush", [(8_000_000, 1_800_000), (500, 1_800_000), (300, 17)])
 def test_random_texts(spark, rng, mass, flush):
     """Any number of partitions and any size of the counted pieces."""
     rows = _random(rng, 120)
