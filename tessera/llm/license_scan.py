@@ -3,14 +3,16 @@
 Templates are short word sequences with a label and mandatory key phrases.
 1. One pass counts in how many documents each template word occurs (a
    vocabulary of a few hundred words, so the driver holds a bounded table).
-2. Each template is looked up by its rarest words: the words of highest IDF
-   are its *anchors*.  A document's anchor occurrences (position, anchor) are
-   its postings; ``position - anchor offset`` is the place where the template
-   would start, and a template is aligned where enough postings agree on it.
+2. A file's licence words are ranked by IDF, and the highest of them that a
+   template holds are looked up in its postings (word, offset): where the file
+   lacks a template's rarest word, its next ones take over.  ``position -
+   offset`` is the place where the template would start, and a template is
+   aligned where enough postings agree on it.
 3. An aligned place counts only if one of the mandatory key phrases stands
-   there word for word.
+   there word for word; a file without all words of a key phrase can't hold it
+   and is not looked up.
 
-A key phrase is itself a template whose every word must agree, so all places
+A base phrase is itself a template whose every word must agree, so all places
 of a phrase come out of the same postings.
 """
 
@@ -56,7 +58,7 @@ TEMPLATES = [
     ("cc0", "cc0 1 0 universal public domain dedication", "cc0 1 0 universal"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 ]
-ANCHORS = 3          # rarest words looked up per template
+ANCHORS = 6          # words of a file looked up per template, of highest IDF
 MIN_AGREE = 0.6      # share of a template's words that must agree at the place
 
 
@@ -113,18 +115,54 @@ def document_frequencies(docs: DataFrame, words: list[str]) -> tuple[int, dict[s
     return got.get(len(words), 0), {w: got.get(c, 0) for c, w in enumerate(words)}
 
 
-def _index(templates, total: int, df: dict[str, int]):
-    """Postings of the anchors: word code -> [(template, offset)]."""
-    vocab = _vocabulary(templates)
-    code = {w: i for i, w in enumerate(vocab)}
-    idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) for w in vocab}
-    postings: dict[int, list[tuple[int, int]]] = {}
-    for t, (_, words, exact) in enumerate(templates):
-        order = sorted(range(len(words)), key=lambda p: (-idf[words[p]], p))
-        # an exact phrase needs one anchor (its rarest word); a template several
-        for p in order[:1 if exact is None else ANCHORS]:
-            postings.setdefault(code[words[p]], []).append((t, p))
-    return vocab, [np.array([code[w] for w in words]) for _, words, _ in templates], postings, idf
+class _Index:
+    """Postings of every template word, and the IDF order of the words.
+
+    ``words[t]`` are a template's word codes, ``keys[t]`` those of its key phrase
+    (None: a base phrase, all of it), ``ranked[t]`` its distinct codes from the
+    highest IDF down, ``offsets[t, code]`` the word's places in it.
+    """
+
+    def __init__(self, rules, total: int, df: dict[str, int]):
+        self.vocab = _vocabulary(rules)
+        code = {w: i for i, w in enumerate(self.vocab)}
+        idf = [math.log((1 + total) / (1 + df.get(w, 0))) for w in self.vocab]
+        self.words = [np.array([code[w] for w in words]) for _, words, _ in rules]
+        self.keys = [None if key is None else np.array([code[w] for w in key]) for _, _, key in rules]
+        self.ranked = [sorted(set(x.tolist()), key=lambda c: (-idf[c], c)) for x in self.words]
+        self.offsets = {(t, c): np.flatnonzero(x == c) for t, x in enumerate(self.words) for c in set(x.tolist())}
+        self.needed = np.zeros((len(rules), len(self.vocab)), bool)
+        for t, key in enumerate(self.keys):
+            self.needed[t, self.words[t] if key is None else key] = True
+
+    def open(self, codes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """(which words a file of these codes has, rules whose mandatory words are among them)."""
+        here = np.zeros(len(self.vocab), bool)
+        here[codes] = True
+        return here, np.flatnonzero(~(self.needed & ~here).any(axis=1)).tolist()
+
+    def places(self, seq: np.ndarray, here: np.ndarray, rules: list[int]):
+        """[(rule, first word, end word, share)] in one document's word codes
+        (-1: not in the vocabulary)."""
+        out = []
+        for t in rules:
+            words, key = self.words[t], self.keys[t]
+            # all words of a base phrase must be there, so its rarest is enough
+            look = [c for c in self.ranked[t] if here[c]][:1 if key is None else ANCHORS]
+            at = np.concatenate([(np.flatnonzero(seq == c)[:, None] - self.offsets[t, c]).ravel() for c in look])
+            starts, votes = np.unique(at, return_counts=True)
+            if key is None:
+                out += [(t, at, at + len(words), 1.0) for at in starts.tolist()
+                        if at >= 0 and np.array_equal(seq[at:at + len(words)], words)]
+                continue
+            for at in starts[votes >= min(2, len(words))].tolist():
+                a, b = max(at, 0), min(at + len(words), len(seq))
+                inside = seq[a:b]
+                share = float((inside == words[a - at:b - at]).sum()) / len(words)
+                if share >= MIN_AGREE and any(np.array_equal(inside[p:p + len(key)], key)
+                                              for p in range(len(inside) - len(key) + 1)):
+                    out.append((t, a, b, share))
+        return out
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -147,44 +185,16 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rules += [(label, words.split(), key.split()) for label, words, key in (TEMPLATES if templates is None else templates)]
     docs = documents(docs, id_col, text_col)
     total, df = document_frequencies(docs, _vocabulary(rules))
-    vocab, coded, postings, _ = _index(rules, total, df)
-    code = {w: i for i, w in enumerate(vocab)}
-    keys = [None if key is None else np.array([code[w] for w in key]) for _, _, key in rules]
-    anchor = np.zeros(len(vocab), bool)
-    anchor[list(postings)] = True
+    index = _Index(rules, total, df)
     labels = [label for label, _, _ in rules]
 
-    def places(seq: np.ndarray):
-        """[(rule, first word, end word, share)] in one document's word codes
-        (-1: not in the vocabulary)."""
-        votes: dict[tuple[int, int], int] = {}
-        for pos in np.flatnonzero((seq >= 0) & anchor[seq]).tolist():
-            for t, off in postings[int(seq[pos])]:
-                votes[t, pos - off] = votes.get((t, pos - off), 0) + 1
-        out = []
-        for (t, at), n in votes.items():
-            words, key = coded[t], keys[t]
-            if key is None:
-                if at >= 0 and np.array_equal(seq[at:at + len(words)], words):
-                    out.append((t, at, at + len(words), 1.0))
-                continue
-            if n < min(2, len(words)):
-                continue
-            a, b = max(at, 0), min(at + len(words), len(seq))
-            share = float((seq[a:b] == words[a - at:b - at]).mean()) * (b - a) / len(words)
-            inside = seq[a:b]
-            found = any(np.array_equal(inside[p:p + len(key)], key) for p in range(len(inside) - len(key) + 1))
-            if share >= MIN_AGREE and found:
-                out.append((t, a, b, share))
-        return sorted(out)
-
     def spelled(buf, s, e, word, place):
         """A base place, checked byte for byte."""
         t, a, b, _ = place
         return [buf[s[w]:e[w]].tobytes().decode("utf-8", "replace") for w in range(word + a, word + b)] == rules[t][1]
 
     def scan(batches):
-        lex = _Lexicon(vocab)
+        lex = _Lexicon(index.vocab)
         for batch in batches:
             rows: dict[str, list] = {k: [] for k in SCHEMA.names}
             rows["doc_id"] = batch.column(0).to_pylist()
@@ -195,10 +205,12 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 for r in range(j - i):
                     a, b = at[r], at[r + 1]
                     found = []
-                    if b > a and anchor[c[a:b]].any():
+                    here, opened = index.open(c[a:b])
+                    if opened:
                         seq = np.full(first[r + 1] - first[r], -1, np.int64)
                         seq[hit[a:b] - first[r]] = c[a:b]
-                        found = [x for x in places(seq) if x[0] >= len(phrases) or spelled(buf, s, e, first[r], x)]
+                        found = [x for x in index.places(seq, here, opened)
+                                 if x[0] >= len(phrases) or spelled(buf, s, e, first[r], x)]
                     base = [x for x in found if x[0] < len(phrases)]
                     rows["n_base"].append(len(base))
                     rows["first_word"].append(min((x[1] for x in base), default=None))

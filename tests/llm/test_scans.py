@@ -28,6 +28,48 @@ def test_license_phrases_in_odd_places(spark):
     assert got[8].labels == "mit" and got[8].n_base == 0 and got[8].score > 0.9
 
 
+def _edited(rng, words, key, share):
+    """The words with a share of those outside the key phrase replaced."""
+    at = next(p for p in range(len(words)) if words[p:p + len(key)] == key)
+    free = [p for p in range(len(words)) if not at <= p < at + len(key)]
+    gone = set(rng.sample(free, int(share * len(free))))
+    return [f"x{rng.randint(0, 99)}" if p in gone else w for p, w in enumerate(words)]
+
+
+def _holds(seq, words, key):
+    """Whether some alignment agrees in enough words and holds the key phrase."""
+    for at in range(1 - len(words), len(seq)):
+        a, b = max(at, 0), min(at + len(words), len(seq))
+        same = sum(seq[i] == words[i - at] for i in range(a, b))
+        if same >= ls.MIN_AGREE * len(words) and any(seq[p:p + len(key)] == key for p in range(a, b - len(key) + 1)):
+            return True
+    return False
+
+
+def test_edited_licences_are_found(spark, rng):
+    """Recall of the aligned templates against every alignment, and no false label."""
+    filler, rows, want = ["the", "of", "this", "file", "and", "word", "software", "license"], [], {}
+    for share in (0.0, 0.2, 0.5, 0.9):
+        for label, words, key in ls.TEMPLATES:
+            body = _edited(rng, words.split(), key.split(), share)
+            seq = [rng.choice(filler) for _ in range(30)] + body + [rng.choice(filler) for _ in range(30)]
+            want[len(rows)] = {x for x, w, k in ls.TEMPLATES if _holds(seq, w.split(), k.split())}
+            rows.append((len(rows), " ".join(seq)))
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in ls.license_scan(frame(spark, rows), phrases={}).collect()}
+    pairs = [(i, x) for i, labels in want.items() for x in labels]
+    assert len(pairs) > 25 and sum(x in got[i] for i, x in pairs) >= 0.95 * len(pairs)
+    assert all(got[i] <= want[i] for i in got)
+
+
+def test_licence_without_its_rarest_words_is_found(spark):
+    """The next words of the file by IDF take over from those it lacks."""
+    rule = ("own", "zyx wvu tsr key phrase here and some more words", "key phrase")
+    common = [(i, "key phrase here and some more words all over") for i in range(1, 9)]
+    rows = [(0, "lead key phrase here and some more words tail"), (9, "zyx wvu tsr"), (10, "key words phrase")]
+    got = {r.doc_id: r.labels for r in ls.license_scan(frame(spark, rows + common), phrases={}, templates=[rule]).collect()}
+    assert got[0] == "own" and got[9] == got[10] == ""
+
+
 def test_license_edge_rows(spark, edge, nothing):
     assert ls.license_scan(edge).count() == len(EDGE_ROWS)
     assert ls.license_scan(nothing).count() == 0
