@@ -26,19 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textblock as tb
-from .common import documents, ship
+from .common import documents, ship, stored
 
 TRAIN_ROWS = 100_000     # labelled rows of each class used for training, at most
-MAX_CANDIDATES = 50_000  # features counted in clean documents
-MAX_FEATURES = 20_000    # weighted features kept
 MIN_DOCS = 4             # toxic training documents that a feature must be in
-MIN_WEIGHT = 1.5
+MIN_WEIGHT = 1.5         # log-odds from which a feature is kept
 PREFIXES = (4, 5)
 
 # Look-alikes of letters, as commonly used in leetspeak.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou"}
-COST_LEET, COST_REPEAT, COST_JOIN, COST_APART, COST_DROP = 1.0, 0.3, 0.4, 2.0, 6.0
+COST_LEET, COST_REPEAT, COST_DROP = 1.0, 0.3, 6.0
+SHORT = 2                        # a separator beside a piece of at most so many characters
+COST_JOIN, COST_APART = 0.4, 2.0    # was likely put inside a word,
+COST_GLUE, COST_SPLIT = 4.0, 0.4    # any other between two words
 
 BOUND, OTHER, LETTERS = 0, 27, 28
 _CODE = np.zeros(256, np.int64)
@@ -51,10 +52,8 @@ _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _RUN = re.compile(r"(\S)\1\1+")
 _APART = re.compile(r"(?<![^\s.,;:\"(])(?:[^\W_][ .\-_*]){2,}[^\W_](?![^\s.,;:!?\")])")
 _WORD = re.compile(r"[^\W\d_]+")
-REPEATS = 4      # a longer run of one letter is read as one of this length
-GLUED = 40       # longer tokens are cut at their separators before decoding
-_STRETCHED = re.compile(r"([^\W_]|[@$!|+(€])\1{%d,}" % REPEATS)
-_GLUE = re.compile(r"((?:[^\w@$!|+(€*]|_)+)")
+_GLUE = re.compile(r"(?:[^\w@$!|+(€*]|_)+")
+HELD = 40        # longer stretches are not remembered
 
 
 # -- the character model -----------------------------------------------------
@@ -103,18 +102,25 @@ class Decoder:
         self.costs = costs.tolist()
         self.held: dict[str, str] = {}
 
+    @staticmethod
+    def separators(text: str) -> dict[int, bool]:
+        """Place of each separator -> whether a short piece is beside it."""
+        gaps = [m.span() for m in _GLUE.finditer(text)]
+        ends, starts = [0, *(j for _, j in gaps)], [*(i for i, _ in gaps), len(text)]
+        return {x: min(i - ends[k], starts[k + 1] - j) <= SHORT for k, (i, j) in enumerate(gaps) for x in range(i, j)}
+
     @staticmethod
     def lattice(text: str) -> list[list[tuple[str, float]]]:
         """Options (letter, '' or ' ') with channel costs for each character.
         A run of three or more of one letter may lose any of its repeats."""
-        out, before = [], ""
+        out, before, apart = [], "", Decoder.separators(text)
         repeats = {i for m in _RUN.finditer(text) for i in range(*m.span())}
         for i, c in enumerate(text):
             options = []
             if c.isalpha():
                 options.append((c, 0.0))
-            elif c in " .-_" and text[0] != c:
-                options += [("", COST_JOIN), (" ", COST_APART)]
+            elif i in apart:
+                options += [("", COST_JOIN), (" ", COST_APART)] if apart[i] else [("", COST_GLUE), (" ", COST_SPLIT)]
             for x in LEET.get(c, ""):
                 options.append((x, COST_LEET))
             if c == before and i in repeats:
@@ -135,11 +141,8 @@ class Decoder:
         """Most likely original of one stretch (lower case) of any length.
 
         A path is a chain (path before, letter), shared by the paths that go
-        on from it, so the cost is linear in the length.  Of a run of more than
-        ``REPEATS`` letters all but these are dropped: they cost the same on
-        every path that keeps no more.
+        on from it, so the cost is linear in the length.
         """
-        text = _STRETCHED.sub(lambda m: m[1] * REPEATS, text)
         if text in self.held:
             return self.held[text]
         paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(BOUND, BOUND): (0.0, None)}
@@ -161,29 +164,12 @@ class Decoder:
             path, letter = path
             letters.append(letter)
         best = "".join(reversed(letters))
-        if len(text) <= GLUED:
+        if len(text) <= HELD:
             if len(self.held) > 100_000:
                 self.held.clear()
             self.held[text] = best
         return best
 
-    def glued(self, t: str, triple: bool) -> list[str]:
-        """Restored words of a long token: each part between separators by
-        itself, but letters set apart by single ones as one stretch."""
-        parts = _GLUE.split(t)          # part, separators, part, ...
-        out, i = [], 0
-        while i < len(parts):
-            j = i
-            while j + 2 < len(parts) and len(parts[j]) == 1 == len(parts[j + 2]) and parts[j + 1] in (".", "-", "_"):
-                j += 2
-            if j > i + 2:
-                out += self.decode("".join(parts[i:j + 1])).split()
-            else:
-                for p in parts[i:j + 1:2]:
-                    out += self.word(p, triple)
-            i = j + 2
-        return out
-
     def restore(self, text: str) -> list[str]:
         """Restored words of a text, in order."""
         low = text.lower()
@@ -204,9 +190,6 @@ class Decoder:
                 # '!' and '*' at the end are punctuation, inside a word letters
                 if not any(c in LEET for c in bare) or not any(c.isalpha() for c in bare):
                     return _WORD.findall(bare)
-                bare = _STRETCHED.sub(lambda m: m[1] * REPEATS, bare)
-                if len(bare) > GLUED and _GLUE.search(bare):
-                    return self.glued(bare, triple)
                 return self.decode(bare).split()
             t = bare
         if triple and _TRIPLE.search(t):
@@ -319,35 +302,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = sc.broadcast(costs)
     marked = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y")) \
                    .where("doc_id IS NOT NULL AND y IS NOT NULL").groupBy("doc_id").agg(F.max("y").alias("y"))
-    chosen = _sample(marked, rows)          # at most 2 * rows ids: small enough to broadcast
+    chosen = stored(_sample(marked, rows), "chosen")    # at most 2 * rows ids: small enough to broadcast
     train = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
-    def count(only=None):
-        def run(batches):
-            decoder, n = Decoder(held.value), {}
-            for batch in batches:
-                for _, words, _ in word_sets(batch, decoder):
-                    seen = {f for w in words for f in features(w)}
-                    for f in seen if only is None else seen & only.value:
-                        n[f] = n.get(f, 0) + 1
-                    if len(n) > 300_000:
-                        yield pa.RecordBatch.from_pydict({"f": list(n), "n": list(n.values())}, FEATURE_COUNTS)
-                        n = {}
-            yield pa.RecordBatch.from_pydict({"f": list(n), "n": list(n.values())}, FEATURE_COUNTS)
-        return run
-
-    def counted(y, only=None):
-        part = train.where(F.col("y") == y).select("text").mapInArrow(count(only), "f string, n bigint")
-        return part.groupBy("f").agg(F.sum("n").alias("n"))
+    def count(batches):
+        decoder, n = Decoder(held.value), ({}, {})
+
+        def counts():
+            return pa.RecordBatch.from_pydict({"f": [*n[0], *n[1]], "y": [0] * len(n[0]) + [1] * len(n[1]),
+                                               "n": [*n[0].values(), *n[1].values()]}, FEATURE_COUNTS)
+
+        for batch in batches:
+            y = batch.column(1).to_pylist()
+            for r, words, _ in word_sets(batch, decoder):
+                own = n[y[r]]
+                for f in {f for w in words for f in features(w)}:
+                    own[f] = own.get(f, 0) + 1
+                if len(n[0]) + len(n[1]) > 300_000:
+                    yield counts()
+                    n = ({}, {})
+        yield counts()
 
     totals = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic = {r["f"]: r["n"] for r in counted(1).where(F.col("n") >= MIN_DOCS)
-             .orderBy(F.desc("n"), "f").limit(MAX_CANDIDATES).collect()}
-    clean = {r["f"]: r["n"] for r in counted(0, sc.broadcast(frozenset(toxic))).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    odds = {f: math.log((n + .5) / (n1 + 1)) - math.log((clean.get(f, 0) + .5) / (n0 + 1)) for f, n in toxic.items()}
-    best = sorted(((w, f) for f, w in odds.items() if w >= MIN_WEIGHT), reverse=True)[:MAX_FEATURES]
-    model = Model(costs, {f: w for w, f in best}, np.array([0.0, 0.0, 0.0, 0.0]))
+    both = train.select("text", "y").mapInArrow(count, "f string, y int, n bigint").groupBy("f").agg(
+        *[F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).alias(c) for y, c in ((1, "toxic"), (0, "clean"))])
+    odds = F.log((F.col("toxic") + .5) / (n1 + 1)) - F.log((F.col("clean") + .5) / (n0 + 1))
+    weighted = both.where(F.col("toxic") >= MIN_DOCS).select("f", odds.alias("w")).where(F.col("w") >= MIN_WEIGHT)
+    model = Model(costs, {r["f"]: r["w"] for r in weighted.collect()}, np.array([0.0, 0.0, 0.0, 0.0]))
     first = sc.broadcast(model)
 
     def measure(batches):
@@ -368,7 +350,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-FEATURE_COUNTS = pa.schema([("f", pa.string()), ("n", pa.int64())])
+FEATURE_COUNTS = pa.schema([("f", pa.string()), ("y", pa.int32()), ("n", pa.int64())])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

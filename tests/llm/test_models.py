@@ -82,6 +82,59 @@ def test_decoder_restores_letters_apart_in_a_long_token(decoder):
     assert decoder.restore("cl0wn/w0rthl3ss/s-t-u-p-1-d/p@thet1c/loser") == ["clown", "worthless", "stupid", "pathetic", "loser"]
 
 
+@pytest.mark.parametrize("length", [20, 33, 50, 500])
+@pytest.mark.parametrize("glue", ["-", "/", ".", "--"])
+def test_decoder_restores_alike_at_any_length(decoder, glue, length):
+    """A glued token gives the same words whatever its length, also where
+    letters are set apart by mixed separators."""
+    for unit, words in ((["cl0wn", "m0r0n"], {"clown", "moron"}), (["st.u-p1d"], None), (["p@thet1c", "s-t.u_p1d"], None)):
+        once = glue.join(unit)
+        token = glue.join(unit * (1 + length // len(once)))
+        assert words is None or set(decoder.restore(token)) == words
+        alone, many = "".join(decoder.restore(once)), "".join(decoder.restore(token))
+        assert many == alone * (1 + length // len(once))
+
+
+@pytest.mark.parametrize("n", range(1, 9))
+def test_decoder_reads_whole_repeats(decoder, n):
+    """Every repeat is in the lattice: no run is cut before decoding."""
+    text = "s" + "o" * n + "0"
+    assert len(decoder.lattice(text)) == len(text)
+    best = _cheapest(decoder, text)
+    assert _cheapest(decoder, text, decoder.decode(text)) == pytest.approx(best)
+
+
+def _cheapest(decoder, text, out=None):
+    """Cost of the cheapest path through the lattice, of those that spell ``out`` if given."""
+    import itertools
+    best = np.inf
+    for path in itertools.product(*decoder.lattice(text)):
+        word = "".join(x for x, _ in path)
+        if out is None or word == out:
+            codes = [0, 0, *(decoder._code(c) for c in word), 0]
+            best = min(best, sum(c for _, c in path) + sum(decoder.costs[a][b][c] for a, b, c in zip(codes, codes[1:], codes[2:])))
+    return best
+
+
+def test_weights_match_plain_counts(spark):
+    """Every feature of enough weight is kept, with its log-odds over the labelled rows."""
+    import math
+    import random
+    rng, rows = random.Random(3), []
+    for i in range(120):
+        words = [rng.choice(["table", "floor", "window", "garden", "and", "the"]) for _ in range(20)]
+        rows.append((i, " ".join(words + rng.sample(["grobian", "lummel", "schuft", "flegels"], 2) if i % 3 == 0 else words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    decoder, n = toxicity.Decoder(model.costs), {0: {}, 1: {}}
+    for i, text in rows:
+        for f in {f for w in decoder.restore(text) for f in toxicity.features(w)}:
+            n[int(i % 3 == 0)][f] = n[int(i % 3 == 0)].get(f, 0) + 1
+    odds = {f: math.log((k + .5) / 41) - math.log((n[0].get(f, 0) + .5) / 81) for f, k in n[1].items() if k >= toxicity.MIN_DOCS}
+    want = {f: w for f, w in odds.items() if w >= toxicity.MIN_WEIGHT}
+    assert len(want) >= 8 and model.weights == pytest.approx(want)
+
+
 @pytest.mark.parametrize("n", [3, 5, 57, 70, 100_000])
 def test_decoder_restores_long_repeats(decoder, n):
     assert decoder.restore("a stu" + "u" * n + "pid thing") == ["a", "stupid", "thing"]
