@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import case_fold, clean_word, delimited_tokens, split_lines, whitespace_tokens
+from ..functions.text import case_fold, delimited_tokens, split_lines, strip_punctuation, whitespace_tokens
 from .partitioning import spread
 
 
@@ -29,7 +29,9 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
     character of the text, and a second small aggregate merges tokens that
     map to the same word.  Both maps are per token (case mapping is per
     word and never creates or removes a delimiter), so the result equals
-    applying them to the text first.
+    applying them to the text first.  The test that drops tokens of punctuation
+    only includes the count: Spark would move one of the word alone below
+    the first aggregate, and run the maps on every token.
     """
     if mode not in ("whitespace", "delimited"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -44,9 +46,8 @@ def word_count(df: DataFrame, text_col: str = "value", mode: str = "whitespace",
         raw = raw.where(F.col("_w") != "")
     raw_counts = raw.groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     if mode == "whitespace":
-        words = raw_counts.select(clean_word(F.col("_w")).alias(word_col), "_n")
-        if not keep_empty:
-            words = words.where(F.col(word_col) != "")        # punctuation-only tokens
-    else:
-        words = raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
+        raw_counts = raw_counts.select(strip_punctuation(F.col("_w")).alias("_w"), "_n")
+        if not keep_empty:                                    # punctuation-only tokens
+            raw_counts = raw_counts.where(F.least(F.octet_length("_w"), "_n") > 0)
+    words = raw_counts.select(case_fold(F.col("_w")).alias(word_col), "_n")
     return words.groupBy(word_col).agg(F.sum("_n").alias(count_col))

@@ -120,3 +120,28 @@ def test_whitespace_count_keeps_the_empty_word(spark):
     got = word_count(_frame(spark), keep_empty=True)
     assert rows(got) == _expected(py_whitespace(LINES, keep_empty=True))
     assert py_whitespace(LINES, keep_empty=True)[""] > 0
+
+
+def test_words_are_cleaned_once_per_distinct_token(spark):
+    df = spark.createDataFrame([(t,) for t in LINES], "value string")
+    for keep_empty in (False, True):
+        plan = word_count(df, keep_empty=keep_empty)._jdf.queryExecution().optimizedPlan().toString()
+        _, _, below = plan[plan.rindex("Aggregate"):].partition("\n")
+        assert "regexp_replace" in plan and "regexp_replace" not in below
+        assert "replace(replace(" not in plan        # more code than the JVM compiles
+
+
+def test_blanks_and_delimiters_of_every_code_point(spark):
+    points = [c for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000] + [0xFEFF, 0x1D7CE, 0x1F600]
+    df = spark.createDataFrame([(f"a{chr(c)}b",) for c in points], "value string")
+    lines = [f"a{chr(c)}b" for c in points]
+    for mode, expected in (("whitespace", py_whitespace(lines)), ("delimited", py_delimited(lines))):
+        got = dict(rows(word_count(df, mode=mode)))
+        assert (got["a"], sum(got.values())) == (expected["a"], expected.total())
+
+
+def test_every_special_mapping_inside_a_word(spark):
+    from tessera.functions.text import special_folds
+    lines = [f"x{c}\U0001F600é{c}Y, {c}" for c, _ in special_folds()] + ["--- ... Σ ΑΣ ΑΣΣΑ"]
+    df = spark.createDataFrame([(t,) for t in lines], "value string")
+    assert rows(word_count(df)) == _expected(py_whitespace(lines))
