@@ -22,6 +22,7 @@ from ..functions.colour import lab_statement, rgb_to_lab_cols
 from ..functions.stats import significant
 from .joins import materialize
 
+from .partitioning import spread_rows
 TEMPERATURE_FEATURES = ("latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax")
 
 
@@ -241,7 +242,7 @@ def train_colour_model(colours: DataFrame, space: str = "lab", seed: int = 40,
                        max_iter: int = 100):
     """MLP colour-word model on RGB or LAB features; returns (model, validation accuracy)."""
     from .sampling import hash_split
-    c = hash_split(colour_features(colours, space=space), "p_partkey", seed)
+    c = materialize(spread_rows(hash_split(colour_features(colours, space=space), "p_partkey", seed)))
     n_labels = c.select(F.count_distinct("word")).first()[0]
     model = mlp_pipeline(n_labels, max_iter=max_iter, seed=seed).fit(c.where(F.col("split") == "train"))
     return model, accuracy(model.transform(c.where(F.col("split") == "validation")))

@@ -21,3 +21,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < n:
         return df.repartition(n)
     return df
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over at least the cluster's cores, whatever its input
+    splits: of a file's splits only those that hold the middle of a row group
+    read rows, so a few large groups feed a few tasks.  For narrow rows that
+    are read many times."""
+    return df.repartition(max(cores(df), df.rdd.getNumPartitions()))

@@ -18,6 +18,7 @@ from ..operators import etl, graph, logs, ml, paths, ranges, ratios, reports, sa
 from ..operators.caching import held
 from ..operators.joins import materialize
 from ..operators.keyed import KeyedTable
+from ..operators.partitioning import spread_rows
 from ..operators.wordcount import word_count
 from ..session import rename_folders, scratch_path
 from ..sources import derived
@@ -449,6 +450,7 @@ def q_gbt_predictions(spark, d):
 
 def _colour_model(spark, d):
     c = sampling.hash_split(ml.colour_features(derived.colours(spark, d), space="lab"), "p_partkey", SPLIT_SEED)
+    c = materialize(spread_rows(c))
     n_labels = c.select(F.count_distinct("word")).first()[0]
     return c, ml.mlp_pipeline(n_labels).fit(c.where(F.col("split") == "train"))
 

@@ -160,3 +160,13 @@ def test_next_day_of_every_station(spark):
     got = ml.predict_next_day(model, daily)
     assert rows(got, "station", "date", "yesterday_tmax") == [("A", d(2016, 1, 1), 6.0), ("B", d(2016, 2, 29), 9.0)]
     assert got.where("prediction IS NULL").count() == 0
+
+
+def test_colour_fit_reads_rows_in_every_core(spark, tmp_path):
+    from tessera.operators.partitioning import cores
+    from tessera.plans.queries import _colour_model
+    spark.range(4000).select(F.col("id").alias("p_partkey")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows, model = _colour_model(spark, str(tmp_path))
+    held = rows.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert sum(held) == 4000 and len(held) >= cores(rows) and min(held) > 0
+    assert len(model.stages) == 2
