@@ -7,6 +7,7 @@ plain aggregates so they can be checked against SQL.
 
 from __future__ import annotations
 
+from itertools import takewhile
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.colour import lab_statement, rgb_to_lab_cols
 from ..functions.stats import significant
 from .joins import materialize
-
 from .partitioning import spread_rows
+
 TEMPERATURE_FEATURES = ("latitude", "longitude", "elevation", "day_of_year", "yesterday_tmax")
 
 
@@ -83,6 +84,15 @@ def gbt_pipeline(features=TEMPERATURE_FEATURES, label: str = "tmax", max_iter: i
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=list(features), outputCol="features"), trees])
 
 
+def fit_stored(pipeline: Pipeline, rows: DataFrame) -> tuple[PipelineModel, DataFrame]:
+    """(the fitted pipeline, the stored output of its leading SQL stages).  A
+    fit reads its rows several times; stored, they are made once."""
+    stages = pipeline.getStages()
+    head = list(takewhile(lambda s: isinstance(s, SQLTransformer), stages))
+    stored = materialize(PipelineModel(head).transform(rows))
+    return PipelineModel([*head, *Pipeline(stages=stages[len(head):]).fit(stored).stages]), stored
+
+
 def n_trees(model: PipelineModel) -> int:
     return model.stages[-1].getNumTrees
 

@@ -601,10 +601,10 @@ def q_sql_stage_predictions(spark, d):
     """A fit whose features are a SQL stage: saved, loaded and applied to the
     plain daily rows; ``same``: the loaded model predicts as the fitted one."""
     daily, path = materialize(derived.tmax_daily(spark, d)), scratch_path(spark, "model")
-    model = ml.gbt_pipeline(max_iter=SHORT_FIT, with_sql_stage=True).fit(daily)
+    model, features = ml.fit_stored(ml.gbt_pipeline(max_iter=SHORT_FIT, with_sql_stage=True), daily)
     model.write().save(path)
     keys = ["station", "date", "day_of_year", "tmax", "yesterday_tmax"]
-    ours = model.transform(daily).select("station", "date", F.col("prediction").alias("_fitted"))
+    ours = PipelineModel(model.stages[1:]).transform(features).select("station", "date", F.col("prediction").alias("_fitted"))
     return PipelineModel.load(path).transform(daily).join(ours, ["station", "date"]) \
         .select(*keys, (F.col("prediction") == F.col("_fitted")).alias("same"))
 
@@ -612,7 +612,7 @@ def q_sql_stage_predictions(spark, d):
 def q_next_day_predictions(spark, d):
     """Every station's day after its last one, by a saved model."""
     daily, path = materialize(derived.tmax_daily(spark, d)), scratch_path(spark, "model")
-    ml.gbt_pipeline(max_iter=SHORT_FIT).fit(ml.previous_day_features(daily)).write().save(path)
+    ml.gbt_pipeline(max_iter=SHORT_FIT).fit(materialize(ml.previous_day_features(daily))).write().save(path)
     nxt = ml.predict_next_day(PipelineModel.load(path), daily)
     return nxt.select("station", "date", "yesterday_tmax", (F.abs(F.col("prediction") - F.col("yesterday_tmax")) < 25).alias("near"))
 

@@ -170,3 +170,21 @@ def test_colour_fit_reads_rows_in_every_core(spark, tmp_path):
     held = rows.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
     assert sum(held) == 4000 and len(held) >= cores(rows) and min(held) > 0
     assert len(model.stages) == 2
+
+
+def test_fit_behind_a_sql_stage_stores_its_rows(spark):
+    daily = spark.range(60).selectExpr(
+        "concat('S', id % 3) AS station", "date_add(DATE'2024-01-01', CAST(id / 3 AS INT)) AS date", "1.0D AS latitude",
+        "2.0D AS longitude", "3.0D AS elevation", "CAST(id AS DOUBLE) AS tmax")
+    model, features = ml.fit_stored(ml.gbt_pipeline(max_iter=2, with_sql_stage=True), daily)
+    assert features.count() == 57 and "Join" not in features._jdf.queryExecution().optimizedPlan().toString()
+    key = ["station", "date", "prediction"]
+    by_all = model.transform(daily).select(key).collect()
+    assert sorted(by_all) == sorted(PipelineModel(model.stages[1:]).transform(features).select(key).collect())
+
+
+def test_sql_stage_predictions_joins_days_once(spark):
+    from conftest import SF01
+    from tessera.plans.queries import QUERIES
+    plan = QUERIES["sql_stage_predictions"](spark, SF01)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2      # the days of the loaded model's stage; with the fitted predictions
